@@ -1,0 +1,70 @@
+"""Per-key sequence numbers and per-key totals that stay parallel when one key is huge.
+
+``row_number() OVER (PARTITION BY key ORDER BY ...)`` puts every row of a key in one
+task. When a single visitor holds a large share of all rows, that task becomes the
+whole job. ``sequence_within`` splits the keys in two:
+
+* cold keys (at most ``hot_rows`` rows each) use the plain window; all window functions
+  share one exchange on ``key`` and one sort;
+* hot keys (more than ``hot_rows`` rows) are found with an aggregation (map-side partial
+  counts), so their number is at most ``total_rows / hot_rows``: that bounded table is
+  broadcast. Their rows are range-partitioned on ``(key, order...)`` into a fixed number
+  of partitions, so one hot key spans many tasks. Each row's position inside its
+  partition comes from ``monotonically_increasing_id`` after a local sort; a small
+  aggregate per (key, partition) (at most hot keys + partitions rows) gives each
+  partition's offset within the key. ``seq = offset + position - first position + 1``.
+
+The explicit partition count keeps adaptive execution from coalescing the range
+partitions, and both uses of the range shuffle are one reused exchange, so positions and
+offsets agree.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+_ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row index
+
+
+def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: int,
+                    seq_col: str = "seq", count_col: str = "n",
+                    key_aggs: dict[str, Column] | None = None,
+                    hot_partitions: int | None = None) -> DataFrame:
+    """Add ``seq_col`` (1-based position of the row in its key, by ``order_cols``),
+    ``count_col`` (rows of the key) and one column per ``key_aggs`` entry (an aggregate
+    expression evaluated over all rows of the key, e.g. ``F.sum("x")``)."""
+    key_aggs = dict(key_aggs or {})
+    spark = df.sparkSession
+    parts = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out_cols = df.columns + [seq_col, count_col, *key_aggs]
+
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col),
+                                  *[expr.alias(name) for name, expr in key_aggs.items()])
+    # At most total_rows / hot_rows keys: a proven bound, so this table is broadcast.
+    hot = per_key.where(F.col(count_col) > hot_rows).withColumn("_hot", F.lit(True))
+    tagged = df.join(F.broadcast(hot.select(key, "_hot")), key, "left")
+
+    # Cold keys: one exchange on key, one sort, all window functions together.
+    by_key = Window.partitionBy(key)
+    cold = (tagged.where(F.col("_hot").isNull()).drop("_hot")
+            .withColumn(seq_col, F.row_number().over(by_key.orderBy(*order_cols)).cast("bigint"))
+            .withColumn(count_col, F.count(F.lit(1)).over(by_key)))
+    for name, expr in key_aggs.items():
+        cold = cold.withColumn(name, expr.over(by_key))
+
+    # Hot keys: range partitions over (key, order), positions from the local sort.
+    ranged = (tagged.where(F.col("_hot")).drop("_hot")
+              .repartitionByRange(parts, key, *order_cols)
+              .sortWithinPartitions(key, *order_cols)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_pid", F.shiftrightunsigned("_mid", _ROW_BITS))
+              .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS)))
+    blocks = (ranged.groupBy(key, "_pid")
+              .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    hot_rows_out = (ranged.join(F.broadcast(offsets), [key, "_pid"])
+                    .join(F.broadcast(hot.drop("_hot")), key)
+                    .withColumn(seq_col, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")))
+    return cold.select(*out_cols).unionByName(hot_rows_out.select(*out_cols))

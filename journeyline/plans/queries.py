@@ -55,3 +55,42 @@ def q_src_shard_range(spark, sf_dir):
 @query("stg_sessions")
 def q_stg_sessions(spark, sf_dir):
     return staged(spark, sf_dir)
+
+
+# ---- campaign performance ------------------------------------------------------------
+from ..functions.channels import campaign_identifier, channel_grouping  # noqa: E402
+from ..operators.campaign import int_campaign_metrics, mart_campaign_performance  # noqa: E402
+
+
+@query("channel_grouping_full")
+def q_channel_grouping_full(spark, sf_dir):
+    """Channel of every (source, medium) seen, with its session count."""
+    return (staged(spark, sf_dir).groupBy("traffic_source", "traffic_medium")
+            .agg(F.count(F.lit(1)).alias("sessions"))
+            .withColumn("channel_grouping", channel_grouping(full=True)))
+
+
+@query("channel_grouping_short")
+def q_channel_grouping_short(spark, sf_dir):
+    """The attribution/funnel variant of the channel rule."""
+    return (staged(spark, sf_dir).groupBy("traffic_source", "traffic_medium")
+            .agg(F.count(F.lit(1)).alias("sessions"))
+            .withColumn("channel_grouping", channel_grouping(full=False)))
+
+
+@query("campaign_identifier")
+def q_campaign_identifier(spark, sf_dir):
+    """Identifier of every raw (source, medium, campaign)."""
+    return (staged(spark, sf_dir).groupBy("traffic_source", "traffic_medium", "campaign_name")
+            .agg(F.count(F.lit(1)).alias("sessions"))
+            .withColumn("campaign_identifier", campaign_identifier()))
+
+
+@query("int_campaign_metrics")
+def q_int_campaign_metrics(spark, sf_dir):
+    return int_campaign_metrics(staged(spark, sf_dir))
+
+
+@query("mart_campaign_performance")
+def q_mart_campaign_performance(spark, sf_dir):
+    return mart_campaign_performance(staged(spark, sf_dir))
