@@ -94,3 +94,34 @@ def q_int_campaign_metrics(spark, sf_dir):
 @query("mart_campaign_performance")
 def q_mart_campaign_performance(spark, sf_dir):
     return mart_campaign_performance(staged(spark, sf_dir))
+
+
+# ---- attribution ------------------------------------------------------------------------
+from ..operators import attribution as attr  # noqa: E402
+from ..session import hot_key_rows  # noqa: E402
+
+
+@query("session_sequence")
+def q_session_sequence(spark, sf_dir):
+    """W1 + W2: position of each session in its visitor's journey and the journey length."""
+    seq = attr.sequenced_sessions(staged(spark, sf_dir), hot_key_rows(spark))
+    return seq.select("session_id", "visitor_id", "session_start_timestamp", "session_sequence",
+                      "total_sessions_per_visitor")
+
+
+@query("touch_flags")
+def q_touch_flags(spark, sf_dir):
+    """First / last touch flags and the linear weight."""
+    df = attr.with_touch_flags(attr.sequenced_sessions(staged(spark, sf_dir), hot_key_rows(spark)))
+    return df.select("session_id", "visitor_id", "session_sequence", "total_sessions_per_visitor",
+                     "is_first_touch", "is_last_touch", "linear_weight")
+
+
+@query("int_session_attribution")
+def q_int_session_attribution(spark, sf_dir):
+    return attr.int_session_attribution(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+@query("mart_attribution_analysis")
+def q_mart_attribution_analysis(spark, sf_dir):
+    return attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
