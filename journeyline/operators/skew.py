@@ -68,3 +68,18 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
                     .join(F.broadcast(hot.drop("_hot")), key)
                     .withColumn(seq_col, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")))
     return cold.select(*out_cols).unionByName(hot_rows_out.select(*out_cols))
+
+
+def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot_rows: int) -> DataFrame:
+    """N:1 join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``.
+
+    Hot keys (more than ``hot_rows`` rows, so at most ``total_rows / hot_rows`` of them) are
+    joined against a broadcast of their per-key rows; every other key goes through the
+    ordinary shuffle join, where no key has more than ``hot_rows`` rows. The key's rows
+    are never gathered in one task.
+    """
+    hot = per_key.where(F.col(rows_col) > hot_rows)
+    tagged = df.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
+    cold = tagged.where(F.col("_hot").isNull()).drop("_hot").join(per_key, key)
+    hot_part = tagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot), key)
+    return cold.unionByName(hot_part)

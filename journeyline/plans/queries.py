@@ -125,3 +125,42 @@ def q_int_session_attribution(spark, sf_dir):
 @query("mart_attribution_analysis")
 def q_mart_attribution_analysis(spark, sf_dir):
     return attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+# ---- funnel -------------------------------------------------------------------------------
+from ..operators import funnel  # noqa: E402
+
+
+@query("funnel_flags")
+def q_funnel_flags(spark, sf_dir):
+    """The four stage flags of every session."""
+    return funnel.funnel_sessions(staged(spark, sf_dir)).select(
+        "session_id", "reached_landing", "reached_engagement", "reached_deep_engagement", "reached_conversion")
+
+
+@query("funnel_exit_stage")
+def q_funnel_exit_stage(spark, sf_dir):
+    """Sessions per exit stage."""
+    return (funnel.funnel_sessions(staged(spark, sf_dir)).groupBy("funnel_exit_stage")
+            .agg(F.count(F.lit(1)).alias("sessions")))
+
+
+@query("engagement_score")
+def q_engagement_score(spark, sf_dir):
+    """C14: engagement score of every session (NULL when pageviews is NULL)."""
+    return funnel.funnel_sessions(staged(spark, sf_dir)).select("session_id", "engagement_score")
+
+
+@query("visitor_journey")
+def q_visitor_journey(spark, sf_dir):
+    return funnel.visitor_journey(staged(spark, sf_dir))
+
+
+@query("int_funnel_steps")
+def q_int_funnel_steps(spark, sf_dir):
+    return funnel.int_funnel_steps(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+@query("mart_conversion_funnel")
+def q_mart_conversion_funnel(spark, sf_dir):
+    return funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
