@@ -164,3 +164,34 @@ def q_int_funnel_steps(spark, sf_dir):
 @query("mart_conversion_funnel")
 def q_mart_conversion_funnel(spark, sf_dir):
     return funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+# ---- data tests ------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ..operators import quality  # noqa: E402
+
+DQ_START, DQ_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)
+
+
+@query("dq_staging")
+def q_dq_staging(spark, sf_dir):
+    return quality.run_checks(staged(spark, sf_dir), "stg_ga_sessions", quality.staging_tests(DQ_START, DQ_END))
+
+
+@query("dq_campaign")
+def q_dq_campaign(spark, sf_dir):
+    return quality.run_checks(mart_campaign_performance(staged(spark, sf_dir)), "mart_campaign_performance",
+                              quality.CAMPAIGN_TESTS)
+
+
+@query("dq_attribution")
+def q_dq_attribution(spark, sf_dir):
+    mart = attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
+    return quality.run_checks(mart, "mart_attribution_analysis", quality.ATTRIBUTION_TESTS)
+
+
+@query("dq_funnel")
+def q_dq_funnel(spark, sf_dir):
+    mart = funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
+    return quality.run_checks(mart, "mart_conversion_funnel", quality.FUNNEL_TESTS)
