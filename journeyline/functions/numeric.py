@@ -49,3 +49,24 @@ def usd_from_nanos(nanos) -> Column:
 def exact_sum(c) -> Column:
     """SUM over an integer column that cannot overflow (decimal(38,0) accumulator)."""
     return F.sum(col(c).cast("decimal(38,0)"))
+
+
+def scaled_int(c, places: int) -> Column:
+    """A double already rounded to ``places`` decimals, as an exact integer count of units."""
+    return F.round(col(c) * float(10 ** places)).cast("bigint")
+
+
+def sum_rounded(c, places: int = 2) -> Column:
+    """Exact SUM of values already rounded to ``places`` decimals (double result)."""
+    return F.sum(scaled_int(c, places)).cast("double") / F.lit(float(10 ** places))
+
+
+def avg_rounded(c, places: int = 2) -> Column:
+    """Exact AVG of values already rounded to ``places`` decimals; NULLs skipped."""
+    return F.try_divide(F.sum(scaled_int(c, places)).cast("double"),
+                        F.count(col(c)).cast("double") * float(10 ** places))
+
+
+def sum_usd(c) -> Column:
+    """Exact SUM of dollar amounts (doubles holding whole micros)."""
+    return F.sum(F.round(col(c) * MICROS_PER_USD).cast("bigint")).cast("double") / F.lit(MICROS_PER_USD)

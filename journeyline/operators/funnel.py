@@ -146,40 +146,15 @@ def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
         *[F.sum(c).alias(c) for c in EXIT_COUNT_COLUMNS],
         *[F.sum(c).alias(c) for c in ["_n_score", "_n_vavg", "_n_days", *sums]])
 
-    def rate(a, b):
-        return round_to(safe_div(a, b), 4)
-
-    land, eng, deep, conv = (F.col(c) for c in ["sessions_landing", "sessions_engagement",
-                                                 "sessions_deep_engagement", "sessions_conversion"])
-    revenue = usd_from_micros("_conv_micros")
-    m = g.select(
-        *MART_KEYS, *[F.col(c) for c in ["sessions_landing", "sessions_engagement", "sessions_deep_engagement",
-                                         "sessions_conversion", "visitors_landing", "visitors_converted"]],
-        *EXIT_COUNT_COLUMNS,
-        rate("visitors_converted", "visitors_landing").alias("visitor_conversion_rate"),
-        rate("sessions_engagement", "sessions_landing").alias("landing_to_engagement_rate"),
-        rate("sessions_deep_engagement", "sessions_engagement").alias("engagement_to_deep_rate"),
-        rate("sessions_conversion", "sessions_deep_engagement").alias("deep_to_conversion_rate"),
-        rate("sessions_conversion", "sessions_landing").alias("overall_conversion_rate"),
-        round_to(safe_div(land - eng, land), 4).alias("dropoff_after_landing_pct"),
-        round_to(safe_div(eng - deep, eng), 4).alias("dropoff_after_engagement_pct"),
-        round_to(safe_div(deep - conv, deep), 4).alias("dropoff_after_deep_pct"),
+    m = stage_metrics(g).select(
+        "*",
         round_to(F.try_divide(F.col("_score_tenths").cast("double"), F.col("_n_score") * 10.0), 2)
         .alias("avg_engagement_score"),
         round_to(F.try_divide(F.col("_vavg").cast("double"), F.col("_n_vavg").cast("double")), 2)
         .alias("avg_visitor_engagement_score"),
         round_to(safe_div("visitor_days_active", "_n_days"), 2).alias("avg_visitor_days_active"),
-        revenue.alias("_revenue"),
     )
-    w1, w2, w3 = HEALTH_WEIGHTS
-    dl, de, dd = (F.col(c) for c in ["dropoff_after_landing_pct", "dropoff_after_engagement_pct",
-                                      "dropoff_after_deep_pct"])
-    de0, dd0, dl0 = F.coalesce(de, F.lit(0.0)), F.coalesce(dd, F.lit(0.0)), F.coalesce(dl, F.lit(0.0))
-    stage = (F.when((dl >= de0) & (dl >= dd0), "Landing")
-             .when((de0 >= dl0) & (de0 >= dd0), "Engagement")
-             .when((dd0 >= dl0) & (dd0 >= de0), "Deep Engagement")
-             .otherwise("Multiple"))
-    revenue = F.col("_revenue")
+    revenue = usd_from_micros("_conv_micros")
     return m.select(
         *MART_KEYS[:3],
         campaign_identifier().alias("campaign_identifier"),
@@ -189,7 +164,7 @@ def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
         "visitors_landing", "visitors_converted", "visitor_conversion_rate", "landing_to_engagement_rate",
         "engagement_to_deep_rate", "deep_to_conversion_rate", "overall_conversion_rate",
         "dropoff_after_landing_pct", "dropoff_after_engagement_pct", "dropoff_after_deep_pct",
-        stage.alias("primary_dropoff_stage"),
+        "primary_dropoff_stage",
         *EXIT_COUNT_COLUMNS,
         "avg_engagement_score", "avg_visitor_engagement_score", "avg_visitor_days_active",
         round_to(revenue, 2).alias("total_revenue"),
@@ -197,6 +172,38 @@ def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
         .alias("revenue_per_visitor_conversion"),
         round_to(F.try_divide(revenue, F.col("sessions_conversion").cast("double")), 2).alias("revenue_per_conversion"),
         round_to(F.try_divide(revenue, F.col("sessions_landing").cast("double")), 2).alias("revenue_per_landing"),
-        round_to((F.col("landing_to_engagement_rate") * 100) * w1 + (F.col("engagement_to_deep_rate") * 100) * w2
-                 + (F.col("deep_to_conversion_rate") * 100) * w3, 1).alias("funnel_health_score"),
+        "funnel_health_score",
     )
+
+
+def stage_metrics(df: DataFrame) -> DataFrame:
+    """Stage rates, drop-off rates (4 places), primary drop-off stage and health score
+    from the columns sessions_landing / _engagement / _deep_engagement / _conversion, plus the
+    visitor conversion rate when visitors_landing / visitors_converted are present."""
+    def rate(a, b):
+        return round_to(safe_div(a, b), 4)
+
+    land, eng, deep, conv = (F.col(c) for c in ["sessions_landing", "sessions_engagement",
+                                                 "sessions_deep_engagement", "sessions_conversion"])
+    if "visitors_landing" in df.columns:
+        df = df.withColumn("visitor_conversion_rate", rate("visitors_converted", "visitors_landing"))
+    df = df.withColumns({
+        "landing_to_engagement_rate": rate("sessions_engagement", "sessions_landing"),
+        "engagement_to_deep_rate": rate("sessions_deep_engagement", "sessions_engagement"),
+        "deep_to_conversion_rate": rate("sessions_conversion", "sessions_deep_engagement"),
+        "overall_conversion_rate": rate("sessions_conversion", "sessions_landing"),
+        "dropoff_after_landing_pct": round_to(safe_div(land - eng, land), 4),
+        "dropoff_after_engagement_pct": round_to(safe_div(eng - deep, eng), 4),
+        "dropoff_after_deep_pct": round_to(safe_div(deep - conv, deep), 4),
+    })
+    w1, w2, w3 = HEALTH_WEIGHTS
+    dl, de, dd = (F.col(c) for c in ["dropoff_after_landing_pct", "dropoff_after_engagement_pct",
+                                      "dropoff_after_deep_pct"])
+    de0, dd0, dl0 = F.coalesce(de, F.lit(0.0)), F.coalesce(dd, F.lit(0.0)), F.coalesce(dl, F.lit(0.0))
+    stage = (F.when((dl >= de0) & (dl >= dd0), "Landing")
+             .when((de0 >= dl0) & (de0 >= dd0), "Engagement")
+             .when((dd0 >= dl0) & (dd0 >= de0), "Deep Engagement")
+             .otherwise("Multiple"))
+    health = round_to((F.col("landing_to_engagement_rate") * 100) * w1 + (F.col("engagement_to_deep_rate") * 100) * w2
+                      + (F.col("deep_to_conversion_rate") * 100) * w3, 1)
+    return df.withColumns({"primary_dropoff_stage": stage, "funnel_health_score": health})

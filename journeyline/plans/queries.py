@@ -195,3 +195,36 @@ def q_dq_attribution(spark, sf_dir):
 def q_dq_funnel(spark, sf_dir):
     mart = funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
     return quality.run_checks(mart, "mart_conversion_funnel", quality.FUNNEL_TESTS)
+
+
+# ---- dashboard ---------------------------------------------------------------------------
+from ..operators import dashboard as dash  # noqa: E402
+
+
+def _campaign_mart(spark, sf_dir):
+    return mart_campaign_performance(staged(spark, sf_dir))
+
+
+def _attribution_mart(spark, sf_dir):
+    return attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+def _funnel_mart(spark, sf_dir):
+    return funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
+
+
+for _name, _fn, _mart in [
+    ("dash_campaign_kpis", dash.campaign_kpis, _campaign_mart),
+    ("dash_roas_by_channel", dash.roas_by_channel, _campaign_mart),
+    ("dash_device_share", dash.device_share, _campaign_mart),
+    ("dash_campaign_table", dash.campaign_table, _campaign_mart),
+    ("dash_attribution_totals", dash.attribution_totals, _attribution_mart),
+    ("dash_attribution_by_channel", dash.attribution_by_channel, _attribution_mart),
+    ("dash_channel_roles", dash.channel_roles, _attribution_mart),
+    ("dash_attribution_table", dash.attribution_table, _attribution_mart),
+    ("dash_funnel_totals", dash.funnel_totals, _funnel_mart),
+    ("dash_dropoff_distribution", dash.dropoff_distribution, _funnel_mart),
+    ("dash_dropoff_table", dash.dropoff_table, _funnel_mart),
+    ("dash_health_by_channel", dash.health_by_channel, _funnel_mart),
+]:
+    QUERIES[_name] = (lambda fn, mart: lambda spark, sf_dir: fn(mart(spark, sf_dir)))(_fn, _mart)
