@@ -63,7 +63,7 @@ def funnel_sessions(stg: DataFrame) -> DataFrame:
     )
 
 
-def _visitor_totals(fs: DataFrame) -> DataFrame:
+def visitor_totals(fs: DataFrame) -> DataFrame:
     """A4 with exact sums; COUNT(DISTINCT session_id) in two skew-safe levels."""
     sums = ["reached_landing", "reached_engagement", "reached_deep_engagement", "reached_conversion",
             "_rev_micros", "_score_tenths"]
@@ -80,7 +80,7 @@ def _visitor_totals(fs: DataFrame) -> DataFrame:
 
 def visitor_journey(stg: DataFrame) -> DataFrame:
     """One row per visitor: sessions per stage, conversion, revenue, engagement, first/last date."""
-    v = _visitor_totals(funnel_sessions(stg))
+    v = visitor_totals(funnel_sessions(stg))
     return v.select(
         "visitor_id", "total_sessions",
         F.col("reached_landing").alias("sessions_at_landing"),
@@ -95,7 +95,7 @@ def visitor_journey(stg: DataFrame) -> DataFrame:
 
 def _funnel_steps(stg: DataFrame, hot_rows: int) -> DataFrame:
     fs = funnel_sessions(stg)
-    v = _visitor_totals(fs).select(
+    v = visitor_totals(fs).select(
         "visitor_id", "_rows",
         F.col("total_sessions").alias("visitor_total_sessions"),
         F.col("reached_engagement").alias("visitor_sessions_at_engagement"),

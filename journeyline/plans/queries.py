@@ -228,3 +228,34 @@ for _name, _fn, _mart in [
     ("dash_health_by_channel", dash.health_by_channel, _funnel_mart),
 ]:
     QUERIES[_name] = (lambda fn, mart: lambda spark, sf_dir: fn(mart(spark, sf_dir)))(_fn, _mart)
+
+
+# ---- metrics -------------------------------------------------------------------------------
+from ..operators import metrics  # noqa: E402
+
+for _name, _fn in [
+    ("metric_new_vs_returning", metrics.new_vs_returning),
+    ("metric_goal_completion", metrics.goal_completion),
+    ("metric_engagement_rate", metrics.engagement_rate),
+    ("metric_page_depth", metrics.page_depth),
+    ("metric_dwell_time", metrics.dwell_time),
+    ("metric_revenue_per_visitor", metrics.revenue_per_visitor),
+    ("metric_exit_distribution", metrics.exit_distribution),
+    ("metric_country", metrics.country_metrics),
+]:
+    QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir)))(_fn)
+
+
+@query("metric_cost_per_session")
+def q_metric_cost_per_session(spark, sf_dir):
+    return metrics.cost_per_session(_campaign_mart(spark, sf_dir))
+
+
+@query("metric_benchmark_bands")
+def q_metric_benchmark_bands(spark, sf_dir):
+    return metrics.benchmark_bands(_campaign_mart(spark, sf_dir))
+
+
+@query("metric_assisted_conversions")
+def q_metric_assisted_conversions(spark, sf_dir):
+    return metrics.assisted_conversions(attr.int_session_attribution(staged(spark, sf_dir), hot_key_rows(spark)))
