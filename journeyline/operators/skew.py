@@ -17,6 +17,10 @@ whole job. ``sequence_within`` splits the keys in two:
 The explicit partition count keeps adaptive execution from coalescing the range
 partitions, and both uses of the range shuffle are one reused exchange, so positions and
 offsets agree.
+
+Whether any hot key exists is asked once, with one aggregation whose answer is a single
+row; when none exists the plan is just the window (or the shuffle join), with no extra
+broadcast, range sampling or union.
 """
 
 from __future__ import annotations
@@ -39,19 +43,25 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
     parts = hot_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     out_cols = df.columns + [seq_col, count_col, *key_aggs]
 
+    by_key = Window.partitionBy(key)
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        # One exchange on key, one sort, all window functions together.
+        return rows.select(
+            *df.columns,
+            F.row_number().over(by_key.orderBy(*order_cols)).cast("bigint").alias(seq_col),
+            F.count(F.lit(1)).over(by_key).alias(count_col),
+            *[expr.over(by_key).alias(name) for name, expr in key_aggs.items()])
+
+    if not has_hot_keys(df, key, hot_rows):
+        return windowed(df)
+
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col),
                                   *[expr.alias(name) for name, expr in key_aggs.items()])
     # At most total_rows / hot_rows keys: a proven bound, so this table is broadcast.
     hot = per_key.where(F.col(count_col) > hot_rows).withColumn("_hot", F.lit(True))
     tagged = df.join(F.broadcast(hot.select(key, "_hot")), key, "left")
-
-    # Cold keys: one exchange on key, one sort, all window functions together.
-    by_key = Window.partitionBy(key)
-    cold = (tagged.where(F.col("_hot").isNull()).drop("_hot")
-            .withColumn(seq_col, F.row_number().over(by_key.orderBy(*order_cols)).cast("bigint"))
-            .withColumn(count_col, F.count(F.lit(1)).over(by_key)))
-    for name, expr in key_aggs.items():
-        cold = cold.withColumn(name, expr.over(by_key))
+    cold = windowed(tagged.where(F.col("_hot").isNull()).drop("_hot"))
 
     # Hot keys: range partitions over (key, order), positions from the local sort.
     ranged = (tagged.where(F.col("_hot")).drop("_hot")
@@ -70,6 +80,12 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
     return cold.select(*out_cols).unionByName(hot_rows_out.select(*out_cols))
 
 
+def has_hot_keys(df: DataFrame, key: str, hot_rows: int) -> bool:
+    """True when some key has more than ``hot_rows`` rows (one aggregation, one-row answer)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return bool(counts.agg(F.max("_n") > hot_rows).first()[0])
+
+
 def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot_rows: int) -> DataFrame:
     """N:1 join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``.
 
@@ -78,6 +94,8 @@ def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot
     ordinary shuffle join, where no key has more than ``hot_rows`` rows. The key's rows
     are never gathered in one task.
     """
+    if not per_key.agg(F.max(rows_col) > hot_rows).first()[0]:
+        return df.join(per_key, key)
     hot = per_key.where(F.col(rows_col) > hot_rows)
     tagged = df.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot").join(per_key, key)

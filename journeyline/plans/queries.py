@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import stg_sessions
 from ..sources.events_adapter import load_raw_sessions
+from ..session import hot_key_rows
 from ..sources.raw_sessions import shard_range
 
 # Shard range covering the adapter's whole month of test data.
@@ -28,9 +30,27 @@ def query(name: str):
     return register
 
 
+_MODELS: dict[tuple, DataFrame] = {}
+
+
+def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A model relation built once per session and input directory and persisted.
+
+    Like a warehouse table that several dashboards read, the staged sessions and the marts
+    are shared by many queries. MEMORY_AND_DISK keeps them across queries; a lost block
+    is recomputed from lineage.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name, hot_key_rows(spark))
+    if key not in _MODELS:
+        _MODELS[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+    return _MODELS[key]
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = shard_range(load_raw_sessions(spark, sf_dir), SHARD_START, SHARD_END)
-    return stg_sessions(raw)
+    def build():
+        raw = shard_range(load_raw_sessions(spark, sf_dir), SHARD_START, SHARD_END)
+        return stg_sessions(raw)
+    return model(spark, sf_dir, "stg_ga_sessions", build)
 
 
 @query("src_shard_range")
@@ -98,7 +118,6 @@ def q_mart_campaign_performance(spark, sf_dir):
 
 # ---- attribution ------------------------------------------------------------------------
 from ..operators import attribution as attr  # noqa: E402
-from ..session import hot_key_rows  # noqa: E402
 
 
 @query("session_sequence")
@@ -181,36 +200,38 @@ def q_dq_staging(spark, sf_dir):
 
 @query("dq_campaign")
 def q_dq_campaign(spark, sf_dir):
-    return quality.run_checks(mart_campaign_performance(staged(spark, sf_dir)), "mart_campaign_performance",
-                              quality.CAMPAIGN_TESTS)
+    return quality.run_checks(_campaign_mart(spark, sf_dir), "mart_campaign_performance", quality.CAMPAIGN_TESTS)
 
 
 @query("dq_attribution")
 def q_dq_attribution(spark, sf_dir):
-    mart = attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
-    return quality.run_checks(mart, "mart_attribution_analysis", quality.ATTRIBUTION_TESTS)
+    return quality.run_checks(_attribution_mart(spark, sf_dir), "mart_attribution_analysis",
+                              quality.ATTRIBUTION_TESTS)
 
 
 @query("dq_funnel")
 def q_dq_funnel(spark, sf_dir):
-    mart = funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
-    return quality.run_checks(mart, "mart_conversion_funnel", quality.FUNNEL_TESTS)
-
-
-# ---- dashboard ---------------------------------------------------------------------------
-from ..operators import dashboard as dash  # noqa: E402
+    return quality.run_checks(_funnel_mart(spark, sf_dir), "mart_conversion_funnel", quality.FUNNEL_TESTS)
 
 
+# Marts as persisted tables: data tests and dashboards read these (built on first use).
 def _campaign_mart(spark, sf_dir):
-    return mart_campaign_performance(staged(spark, sf_dir))
+    return model(spark, sf_dir, "mart_campaign_performance",
+                 lambda: mart_campaign_performance(staged(spark, sf_dir)))
 
 
 def _attribution_mart(spark, sf_dir):
-    return attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
+    return model(spark, sf_dir, "mart_attribution_analysis",
+                 lambda: attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark)))
 
 
 def _funnel_mart(spark, sf_dir):
-    return funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
+    return model(spark, sf_dir, "mart_conversion_funnel",
+                 lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark)))
+
+
+# ---- dashboard ---------------------------------------------------------------------------
+from ..operators import dashboard as dash  # noqa: E402
 
 
 for _name, _fn, _mart in [

@@ -57,26 +57,25 @@ def _visitor_id(user, event_id, es):
             .otherwise(F.concat(user.cast("string"), F.lit("."), period.cast("string"))))
 
 
-def _campaign(ti, k):
-    rule = F.when(F.lit(False), F.lit(None).cast("string"))
-    for index, _, _, campaign in TRAFFIC:
-        if campaign is None:
-            value = F.lit(None).cast("string")
-        elif campaign == "bing-parity":
-            value = F.when(k % 2 == 0, F.lit("(not set)"))
-        elif "{k%7}" in campaign:
-            value = F.concat(F.lit(campaign.replace("{k%7}", "")), (k % 7).cast("string"))
-        else:
-            value = F.lit(campaign)
-        rule = rule.when(ti == index, value)
-    return rule
-
-
-def _lookup(ti, position):
-    rule = F.when(F.lit(False), F.lit(None).cast("string"))
-    for entry in TRAFFIC:
-        rule = rule.when(ti == entry[0], F.lit(entry[position]))
-    return rule
+def _sql_text(v) -> str:
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+def _campaign_sql(campaign) -> str:
+    if campaign == "bing-parity":
+        return "CASE WHEN k % 2 = 0 THEN '(not set)' END"
+    if campaign is not None and "{k%7}" in campaign:
+        return f"concat({_sql_text(campaign.replace('{k%7}', ''))}, CAST(k % 7 AS STRING))"
+    return _sql_text(campaign)
+
+
+def _traffic(position: int):
+    """One CASE over the traffic index ``ti`` (built as a single expression, not call by call)."""
+    if position == 3:
+        branches = " ".join(f"WHEN {t[0]} THEN {_campaign_sql(t[3])}" for t in TRAFFIC)
+    else:
+        branches = " ".join(f"WHEN {t[0]} THEN {_sql_text(t[position])}" for t in TRAFFIC)
+    return F.expr(f"CASE ti {branches} END")
 
 
 def event_buckets(events: DataFrame) -> DataFrame:
@@ -150,9 +149,9 @@ def sessions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
                     F.nullif(F.col("rev_micros"), long_lit(0)).cast("bigint").alias("transactionRevenue"),
                 ).alias("totals"),
                 F.struct(
-                    _lookup(F.col("ti"), 1).alias("source"),
-                    _lookup(F.col("ti"), 2).alias("medium"),
-                    _campaign(F.col("ti"), k).alias("campaign"),
+                    _traffic(1).alias("source"),
+                    _traffic(2).alias("medium"),
+                    _traffic(3).alias("campaign"),
                     F.lit(None).cast("string").alias("keyword"),
                     F.lit(None).cast("string").alias("adContent"),
                 ).alias("trafficSource"),
