@@ -1,0 +1,40 @@
+"""The hot-key paths give exactly the plain results (forced with tiny thresholds)."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from journeyline.operators import attribution, funnel
+from journeyline.operators.skew import join_per_key, sequence_within
+from journeyline.plans.queries import staged
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sequence_within_hot_path_matches_window(spark):
+    stg = staged(spark, SF_SMALL)
+    w = Window.partitionBy("visitor_id")
+    plain = stg.select("session_id", F.row_number().over(w.orderBy("session_start_timestamp", "session_id"))
+                       .cast("bigint").alias("seq"), F.count(F.lit(1)).over(w).alias("n"),
+                       F.sum("is_converted").over(w).alias("k"))
+    for threshold in (0, 1, 3):
+        got = sequence_within(stg, "visitor_id", ["session_start_timestamp", "session_id"], threshold,
+                              key_aggs={"k": F.sum("is_converted")}, hot_partitions=5)
+        assert _same(got.select("session_id", "seq", "n", "k"), plain), threshold
+
+
+def test_join_per_key_hot_path_matches_join(spark):
+    stg = staged(spark, SF_SMALL)
+    per_key = stg.groupBy("visitor_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("hits").alias("h"))
+    plain = stg.join(per_key, "visitor_id").select("session_id", "rows", "h")
+    for threshold in (0, 2):
+        got = join_per_key(stg, per_key, "visitor_id", "rows", threshold).select("session_id", "rows", "h")
+        assert _same(got, plain), threshold
+
+
+def test_marts_identical_with_every_visitor_hot(spark):
+    stg = staged(spark, SF_SMALL)
+    assert _same(attribution.mart_attribution_analysis(stg, 0), attribution.mart_attribution_analysis(stg, 10**9))
+    assert _same(funnel.mart_conversion_funnel(stg, 0), funnel.mart_conversion_funnel(stg, 10**9))
