@@ -67,6 +67,7 @@ def sequenced_sessions(stg: DataFrame, hot_rows: int) -> DataFrame:
             "conversion_micros": F.sum(F.when(converted, F.col("revenue_micros")).otherwise(long_lit(0))),
             "first_conversion_date": F.min(F.when(converted, F.col("session_date"))),
             "last_conversion_date": F.max(F.when(converted, F.col("session_date"))),
+            "visitor_last_date": F.max("session_date"),
         })
 
 

@@ -41,8 +41,8 @@ MART_CAMPAIGN_COLUMNS = [
 ]
 
 
-def _daily(stg: DataFrame) -> DataFrame:
-    """Daily campaign metrics with the exact integer sums kept for the mart."""
+def daily_campaign_metrics(stg: DataFrame) -> DataFrame:
+    """Daily campaign metrics plus the exact integer revenue (``revenue_micros``) the mart needs."""
     # COALESCE the campaign before grouping so NULL and '(not set)' form one group.
     base = stg.select(
         "traffic_source", "traffic_medium", coalesce_campaign().alias("campaign_name"), "session_date",
@@ -89,7 +89,7 @@ def _daily(stg: DataFrame) -> DataFrame:
 
 def int_campaign_metrics(stg: DataFrame) -> DataFrame:
     """One row per source x medium x campaign x date x device x country (25 columns)."""
-    return _daily(stg).select(*INT_CAMPAIGN_COLUMNS)
+    return daily_campaign_metrics(stg).select(*INT_CAMPAIGN_COLUMNS)
 
 
 def _hundredths(c: str):
@@ -104,7 +104,11 @@ def mart_campaign_performance(stg: DataFrame) -> DataFrame:
     Session-weighted averages use the rounded daily values, as integer hundredths, so the
     sum is exact and a single division yields the average.
     """
-    daily = _daily(stg)
+    return mart_from_daily(daily_campaign_metrics(stg))
+
+
+def mart_from_daily(daily: DataFrame) -> DataFrame:
+    """The campaign mart from daily rows (``daily_campaign_metrics`` output)."""
     m = daily.groupBy(*MART_KEYS).agg(
         F.sum("sessions").alias("total_sessions"),
         F.sum("unique_visitors").alias("total_unique_visitors"),
