@@ -80,10 +80,22 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
     return cold.select(*out_cols).unionByName(hot_rows_out.select(*out_cols))
 
 
+_HOT_ANSWERS: dict[tuple, bool] = {}
+
+
+def _ask_once(df: DataFrame, question: tuple, answer) -> bool:
+    """Answer a one-row question about ``df`` once per session and plan (same plan, same data)."""
+    spark = df.sparkSession
+    memo = (spark.sparkContext.applicationId, df.semanticHash(), *question)
+    if memo not in _HOT_ANSWERS:
+        _HOT_ANSWERS[memo] = bool(answer())
+    return _HOT_ANSWERS[memo]
+
+
 def has_hot_keys(df: DataFrame, key: str, hot_rows: int) -> bool:
     """True when some key has more than ``hot_rows`` rows (one aggregation, one-row answer)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return bool(counts.agg(F.max("_n") > hot_rows).first()[0])
+    return _ask_once(df, ("hot", key, hot_rows), lambda: counts.agg(F.max("_n") > hot_rows).first()[0])
 
 
 def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot_rows: int) -> DataFrame:
@@ -94,7 +106,8 @@ def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot
     ordinary shuffle join, where no key has more than ``hot_rows`` rows. The key's rows
     are never gathered in one task.
     """
-    if not per_key.agg(F.max(rows_col) > hot_rows).first()[0]:
+    if not _ask_once(per_key, ("hot_rows", rows_col, hot_rows),
+                     lambda: per_key.agg(F.max(rows_col) > hot_rows).first()[0]):
         return df.join(per_key, key)
     hot = per_key.where(F.col(rows_col) > hot_rows)
     tagged = df.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")

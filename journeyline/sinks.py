@@ -42,3 +42,17 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
         writer = out.write.mode("overwrite").partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+# The reference's ORDER BY of each mart (O1-O3). A stored table has no order, so
+# ``write_model`` does not sort; readers that display a mart apply this.
+DISPLAY_ORDER = {
+    "mart_campaign_performance": "total_revenue",
+    "mart_attribution_analysis": "linear_attribution_revenue",
+    "mart_conversion_funnel": "sessions_landing",
+}
+
+
+def for_display(df: DataFrame, name: str) -> DataFrame:
+    """The mart in the reference's display order (descending; a distributed range-partitioned sort)."""
+    return df.orderBy(F.desc(DISPLAY_ORDER[name]))
