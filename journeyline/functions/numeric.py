@@ -46,11 +46,6 @@ def usd_from_nanos(nanos) -> Column:
     return col(nanos).cast("double") / F.lit(NANOS_PER_USD)
 
 
-def exact_sum(c) -> Column:
-    """SUM over an integer column that cannot overflow (decimal(38,0) accumulator)."""
-    return F.sum(col(c).cast("decimal(38,0)"))
-
-
 def scaled_int(c, places: int) -> Column:
     """A double already rounded to ``places`` decimals, as an exact integer count of units."""
     return F.round(col(c) * float(10 ** places)).cast("bigint")

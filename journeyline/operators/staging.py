@@ -40,7 +40,3 @@ def stg_sessions(raw: DataFrame) -> DataFrame:
         usd_from_micros(F.coalesce(F.col(t + "transactionRevenue"), F.lit(0))).alias("revenue_usd"),
     )
 
-
-def revenue_micros(df: DataFrame) -> F.Column:
-    """Exact integer revenue of a staged row (COALESCE(micros, 0)); sums stay exact."""
-    return F.coalesce(F.col("transaction_revenue_micros"), F.lit(0).cast("bigint"))

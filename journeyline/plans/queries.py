@@ -6,15 +6,22 @@ no web-session table), then runs the library's operators on the whole result.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.channels import campaign_identifier, channel_grouping
+from ..operators import attribution as attr
+from ..operators import dashboard as dash
+from ..operators import funnel, metrics, quality
+from ..operators import journey_models as jm
+from ..operators.campaign import int_campaign_metrics, mart_campaign_performance
 from ..operators.staging import stg_sessions
-from ..sources.events_adapter import load_raw_sessions
 from ..session import hot_key_rows
+from ..sources.events_adapter import load_raw_sessions
 from ..sources.raw_sessions import shard_range
 
 # Shard range covering the adapter's whole month of test data.
@@ -78,8 +85,6 @@ def q_stg_sessions(spark, sf_dir):
 
 
 # ---- campaign performance ------------------------------------------------------------
-from ..functions.channels import campaign_identifier, channel_grouping  # noqa: E402
-from ..operators.campaign import int_campaign_metrics, mart_campaign_performance  # noqa: E402
 
 
 @query("channel_grouping_full")
@@ -117,7 +122,6 @@ def q_mart_campaign_performance(spark, sf_dir):
 
 
 # ---- attribution ------------------------------------------------------------------------
-from ..operators import attribution as attr  # noqa: E402
 
 
 @query("session_sequence")
@@ -147,7 +151,6 @@ def q_mart_attribution_analysis(spark, sf_dir):
 
 
 # ---- funnel -------------------------------------------------------------------------------
-from ..operators import funnel  # noqa: E402
 
 
 @query("funnel_flags")
@@ -186,9 +189,7 @@ def q_mart_conversion_funnel(spark, sf_dir):
 
 
 # ---- data tests ------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from ..operators import quality  # noqa: E402
 
 DQ_START, DQ_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)
 
@@ -231,7 +232,6 @@ def _funnel_mart(spark, sf_dir):
 
 
 # ---- dashboard ---------------------------------------------------------------------------
-from ..operators import dashboard as dash  # noqa: E402
 
 
 for _name, _fn, _mart in [
@@ -252,7 +252,6 @@ for _name, _fn, _mart in [
 
 
 # ---- metrics -------------------------------------------------------------------------------
-from ..operators import metrics  # noqa: E402
 
 for _name, _fn in [
     ("metric_new_vs_returning", metrics.new_vs_returning),
@@ -283,7 +282,6 @@ def q_metric_assisted_conversions(spark, sf_dir):
 
 
 # ---- roadmap models (R1-R5, R7) -----------------------------------------------------------
-from ..operators import journey_models as jm  # noqa: E402
 
 for _name, _fn in [("attr_u_shaped", jm.u_shaped_attribution), ("attr_w_shaped", jm.w_shaped_attribution),
                    ("attr_time_decay", jm.time_decay_attribution), ("cohort_retention", jm.cohort_retention)]:

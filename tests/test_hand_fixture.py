@@ -101,3 +101,9 @@ def test_campaign_and_funnel_marts(hand_stg):
     fch = {(r["traffic_source"], r["traffic_medium"]): r["channel_grouping"] for r in fmart.collect()}
     assert fch[("community", "social")] == "Other"
     assert fch[("newsletter", "email")] == "Other"
+
+
+def test_staged_schema_is_the_declared_one(hand_stg):
+    from journeyline.schemas import STG_SESSIONS
+    assert [(f.name, f.dataType) for f in hand_stg.schema.fields] == \
+        [(f.name, f.dataType) for f in STG_SESSIONS.fields]

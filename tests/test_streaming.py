@@ -1,6 +1,5 @@
 """Incremental refresh: the streamed daily table and mart equal the batch models."""
 
-import datetime as dt
 import os
 import tempfile
 
