@@ -1,5 +1,5 @@
 """Roadmap models with a definite formula: position-based and time-decay attribution (R1-R3),
-cohort retention (R4), daily trend (R5) and days to conversion (R7).
+cohort retention (R4), daily trend (R5), RFM segments (R6) and days to conversion (R7).
 
 Position-based credit is a fixed share of the visitor's converting revenue R per session
 position, computed in integer nano-dollars (R in micros x 1000, rounded half up) so sums are
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.channels import campaign_identifier, channel_grouping
 from ..functions.numeric import idiv, long_lit, round_to, safe_div, usd_from_micros, usd_from_nanos
 from .attribution import MART_KEYS, sequenced_sessions
-from .skew import join_per_key
+from .skew import global_rank, join_per_key, ntile_of_rank
 
 # Position shares (percent) and the time-decay half-life in days.
 U_SHAPE = (40, 20, 40)          # first, all middle sessions together, last
@@ -136,3 +136,33 @@ def days_to_conversion(stg: DataFrame) -> DataFrame:
     g = days.groupBy("days_to_conversion").agg(F.count(F.lit(1)).alias("visitors"))
     return g.withColumn("share_of_converters_pct",
                         round_to(safe_div(F.col("visitors") * 100, F.sum("visitors").over(Window.partitionBy())), 2))
+
+
+RFM_BUCKETS = 5
+
+
+def rfm_segments(stg: DataFrame) -> DataFrame:
+    """Recency / frequency / monetary scores 1-5 per visitor (NTILE, 5 = best), reported
+    per score cell. Each NTILE is an exact distributed rank (operators/skew.global_rank)
+    ordered by the measure and then ``visitor_id``, so ties split the same way every run."""
+    micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
+    per_session = stg.groupBy("visitor_id", "session_id").agg(F.max("session_date").alias("d"),
+                                                              F.sum(micros).alias("_rev"))
+    v = per_session.groupBy("visitor_id").agg(F.max("d").alias("last_date"), F.count(F.lit(1)).alias("frequency"),
+                                              F.sum("_rev").alias("monetary_micros"))
+    # Two numbers for the whole table: visitor count and the latest date.
+    n_visitors, latest = v.agg(F.count(F.lit(1)), F.max("last_date")).first()
+    if not n_visitors:
+        return v.select(*[F.lit(None).cast("bigint").alias(c) for c in ("r_score", "f_score", "m_score")],
+                        F.lit(0).cast("bigint").alias("visitors"), F.lit(0).cast("bigint").alias("sessions"),
+                        F.lit(0.0).alias("revenue")).limit(0)
+    v = v.withColumn("recency_days", F.datediff(F.lit(latest), "last_date"))
+    steps = [("r_score", [F.desc("recency_days"), "visitor_id"]), ("f_score", ["frequency", "visitor_id"]),
+             ("m_score", ["monetary_micros", "visitor_id"])]
+    for score, order in steps:
+        v = global_rank(v, order, "_rank").withColumn(score, ntile_of_rank("_rank", n_visitors, RFM_BUCKETS)) \
+            .drop("_rank")
+    g = v.groupBy("r_score", "f_score", "m_score").agg(
+        F.count(F.lit(1)).alias("visitors"), F.sum("frequency").alias("sessions"),
+        F.sum("monetary_micros").alias("_rev"))
+    return g.select("r_score", "f_score", "m_score", "visitors", "sessions", usd_from_micros("_rev").alias("revenue"))

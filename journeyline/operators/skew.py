@@ -14,9 +14,11 @@ whole job. ``sequence_within`` splits the keys in two:
   aggregate per (key, partition) (at most hot keys + partitions rows) gives each
   partition's offset within the key. ``seq = offset + position - first position + 1``.
 
-The explicit partition count keeps adaptive execution from coalescing the range
-partitions, and both uses of the range shuffle are one reused exchange, so positions and
-offsets agree.
+Range bounds come from sampling, and a plan that reads the range-partitioned rows twice
+(once for the per-partition counts, once for the rows) may sample twice. So the positioned
+rows are written once with a reliable ``checkpoint()`` into the shared checkpoint folder;
+counts and rows are both read from those files, which also keeps them when an executor
+is lost.
 
 Whether any hot key exists is asked once, with one aggregation whose answer is a single
 row; when none exists the plan is just the window (or the shuffle join), with no extra
@@ -28,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row index
 
 
@@ -64,12 +68,7 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
     cold = windowed(tagged.where(F.col("_hot").isNull()).drop("_hot"))
 
     # Hot keys: range partitions over (key, order), positions from the local sort.
-    ranged = (tagged.where(F.col("_hot")).drop("_hot")
-              .repartitionByRange(parts, key, *order_cols)
-              .sortWithinPartitions(key, *order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftrightunsigned("_mid", _ROW_BITS))
-              .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS)))
+    ranged = _positions(tagged.where(F.col("_hot")).drop("_hot"), parts, [key, *order_cols])
     blocks = (ranged.groupBy(key, "_pid")
               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,6 +91,52 @@ def _ask_once(df: DataFrame, question: tuple, answer) -> bool:
     return _HOT_ANSWERS[memo]
 
 
+def _positions(df: DataFrame, parts: int, order_cols: list) -> DataFrame:
+    """Range-partition on ``order_cols`` into ``parts`` partitions, sort each partition, and
+    add ``_pid`` (partition) and ``_pos`` (0-based position inside the partition).
+
+    The result is checkpointed (written once to the shared checkpoint folder), so every
+    later use sees the same partition of every row."""
+    checkpoint_dir(df.sparkSession)
+    positioned = (df.repartitionByRange(parts, *order_cols)
+                  .sortWithinPartitions(*order_cols)
+                  .withColumn("_mid", F.monotonically_increasing_id())
+                  .withColumn("_pid", F.shiftrightunsigned("_mid", _ROW_BITS))
+                  .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _ROW_BITS)))
+    return positioned.checkpoint(eager=True)
+
+
+def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank", parts: int | None = None) -> DataFrame:
+    """``row_number() OVER (ORDER BY order_cols)`` without a single-partition window.
+
+    Rows are range-partitioned on the order (so every partition holds a contiguous slice),
+    numbered inside their sorted partition, and shifted by the row count of all earlier
+    partitions; that offset table has one row per partition, so it is broadcast. Give a
+    total order (end ``order_cols`` with a unique column) for a deterministic rank.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _positions(df, parts, order_cols)
+    blocks = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = blocks.select("_pid", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(rank_col, (F.col("_offset") + F.col("_pos") + 1).cast("bigint"))
+            .drop("_mid", "_pid", "_pos", "_offset"))
+
+
+def ntile_of_rank(rank, n_rows, buckets: int):
+    """NTILE(buckets) from a 1-based rank among ``n_rows`` rows: the first
+    ``n_rows % buckets`` buckets hold one row more than the others."""
+    r, n = F.col(rank) if isinstance(rank, str) else rank, F.lit(n_rows)
+    q, rem = n_rows // buckets, n_rows % buckets
+    big = rem * (q + 1)
+    first = F.call_function("div", r - 1, F.lit(q + 1)) + 1
+    if q == 0:
+        return first.cast("bigint")
+    rest = F.lit(rem) + F.call_function("div", r - big - 1, F.lit(q)) + 1
+    return F.when(r <= big, first).otherwise(rest).cast("bigint")
+
+
 def has_hot_keys(df: DataFrame, key: str, hot_rows: int) -> bool:
     """True when some key has more than ``hot_rows`` rows (one aggregation, one-row answer)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

@@ -281,10 +281,11 @@ def q_metric_assisted_conversions(spark, sf_dir):
     return metrics.assisted_conversions(attr.int_session_attribution(staged(spark, sf_dir), hot_key_rows(spark)))
 
 
-# ---- roadmap models (R1-R5, R7) -----------------------------------------------------------
+# ---- roadmap models (R1-R7) -----------------------------------------------------------
 
 for _name, _fn in [("attr_u_shaped", jm.u_shaped_attribution), ("attr_w_shaped", jm.w_shaped_attribution),
                    ("attr_time_decay", jm.time_decay_attribution), ("cohort_retention", jm.cohort_retention)]:
     QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir), hot_key_rows(spark)))(_fn)
-for _name, _fn in [("daily_trend", jm.daily_trend), ("days_to_conversion", jm.days_to_conversion)]:
+for _name, _fn in [("daily_trend", jm.daily_trend), ("days_to_conversion", jm.days_to_conversion),
+                   ("rfm_segments", jm.rfm_segments)]:
     QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir)))(_fn)

@@ -38,3 +38,28 @@ def test_marts_identical_with_every_visitor_hot(spark):
     stg = staged(spark, SF_SMALL)
     assert _same(attribution.mart_attribution_analysis(stg, 0), attribution.mart_attribution_analysis(stg, 10**9))
     assert _same(funnel.mart_conversion_funnel(stg, 0), funnel.mart_conversion_funnel(stg, 10**9))
+
+
+def test_global_rank_and_ntile_match_window_functions(spark):
+    """On a table large enough that range bounds come from a sample (the case that needs the
+    checkpoint), the distributed rank equals row_number() and the NTILE arithmetic equals ntile()."""
+    from journeyline.operators.skew import global_rank, ntile_of_rank
+    from conftest import SF_CHECK
+    v = staged(spark, SF_CHECK).groupBy("visitor_id").agg(F.count(F.lit(1)).alias("frequency"))
+    order = ["frequency", "visitor_id"]
+    n = v.count()
+    got = global_rank(v, order, "rk").withColumn("nt", ntile_of_rank("rk", n, 5)).select("visitor_id", "rk", "nt")
+    w = Window.orderBy(*order)
+    want = v.select("visitor_id", F.row_number().over(w).cast("bigint").alias("rk"),
+                    F.ntile(5).over(w).cast("bigint").alias("nt"))
+    assert _same(got, want)
+
+
+def test_sequence_within_hot_path_on_sampled_ranges(spark):
+    from conftest import SF_CHECK
+    stg = staged(spark, SF_CHECK)
+    w = Window.partitionBy("visitor_id")
+    plain = stg.select("session_id", F.row_number().over(w.orderBy("session_start_timestamp", "session_id"))
+                       .cast("bigint").alias("seq"))
+    got = sequence_within(stg, "visitor_id", ["session_start_timestamp", "session_id"], 0, hot_partitions=8)
+    assert _same(got.select("session_id", "seq"), plain)
