@@ -166,3 +166,39 @@ def rfm_segments(stg: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("visitors"), F.sum("frequency").alias("sessions"),
         F.sum("monetary_micros").alias("_rev"))
     return g.select("r_score", "f_score", "m_score", "visitors", "sessions", usd_from_micros("_rev").alias("revenue"))
+
+
+SEGMENT_FEATURES = ["sessions", "engaged_sessions", "conversions", "revenue", "days_active"]
+
+
+def kmeans_segments(stg: DataFrame, k: int = 4, seed: int = 7, max_iter: int = 10) -> DataFrame:
+    """K-means visitor segments on standardised journey features, one row per segment.
+
+    Training is Spark ML's distributed k-means (each iteration is one pass over the visitor
+    features; only the k centres travel to the driver). The feature table is persisted while
+    the iterations read it. Output: segment, visitors and the mean of each raw feature in
+    the segment.
+    """
+    from pyspark import StorageLevel
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    from .funnel import funnel_sessions, visitor_totals
+
+    v = visitor_totals(funnel_sessions(stg)).select(
+        "visitor_id",
+        F.col("total_sessions").cast("double").alias("sessions"),
+        F.col("reached_engagement").cast("double").alias("engaged_sessions"),
+        F.col("reached_conversion").cast("double").alias("conversions"),
+        usd_from_micros("_rev_micros").alias("revenue"),
+        F.datediff("last_session_date", "first_session_date").cast("double").alias("days_active")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    model = Pipeline(stages=[
+        VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="_raw"),
+        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
+        KMeans(featuresCol="_features", predictionCol="segment", k=k, seed=seed, maxIter=max_iter),
+    ]).fit(v)
+    scored = model.transform(v)
+    return scored.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("visitors"), *[F.round(F.avg(c), 4).alias(f"avg_{c}") for c in SEGMENT_FEATURES])

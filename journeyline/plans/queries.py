@@ -289,3 +289,9 @@ for _name, _fn in [("attr_u_shaped", jm.u_shaped_attribution), ("attr_w_shaped",
 for _name, _fn in [("daily_trend", jm.daily_trend), ("days_to_conversion", jm.days_to_conversion),
                    ("rfm_segments", jm.rfm_segments)]:
     QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir)))(_fn)
+
+
+@query("segment_kmeans")
+def q_segment_kmeans(spark, sf_dir):
+    """K-means segments (iterative model training; no SQL twin, rows-only check)."""
+    return jm.kmeans_segments(staged(spark, sf_dir))

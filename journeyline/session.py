@@ -68,8 +68,9 @@ def hot_key_rows(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given and is used as is. Only when it is unset (local
-    runs, tests) a fresh scratch folder is created and registered.
+    On a cluster the setting is given and is used as is. Only when it is unset on a local
+    master (local runs, tests) a fresh scratch folder is created and registered; a cluster
+    without the setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -77,6 +78,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
     local = tempfile.mkdtemp(prefix="journeyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def size_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                  max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for an input of ``input_bytes``: about one shuffle partition per
+    ``target_partition_bytes`` of input (adaptive execution coalesces what ends up small),
+    the same advisory size for coalescing and skew splitting, 128 MB scan splits."""
+    parts = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    }

@@ -36,11 +36,12 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
         raise ValueError(f"unknown materialization: {materialized}")
     out = df.withColumn("last_updated", F.current_timestamp()) if stamp else df
     path = f"{base_path.rstrip('/')}/{domain}/{name}"
-    writer = out.write.mode("overwrite")
     if partition_by:
-        out = out.repartition(*partition_by)
-        writer = out.write.mode("overwrite").partitionBy(*partition_by)
-    writer.parquet(path)
+        # Group rows by partition value (few files per directory); adaptive execution splits
+        # a partition value that holds a large share of the rows across several tasks.
+        out.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -32,10 +32,11 @@ def read_sessions(spark: SparkSession, path: str, start: str = REFERENCE_START,
 def write_sessions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write raw sessions as one directory per day.
 
-    Rows are clustered by ``date`` first so each task writes few day directories;
-    dynamic partition overwrite replaces only the days present in ``df``.
+    Rows are grouped by ``date`` first so each task writes few day directories (a day with a
+    large share of the rows is split over several tasks by adaptive execution); dynamic
+    partition overwrite replaces only the days present in ``df``.
     """
-    (df.repartition("date")
+    (df.hint("rebalance", "date")
        .write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy("date")

@@ -33,7 +33,7 @@ def refresh_days(spark: SparkSession, raw_path: str, daily_path: str, mart_path:
         return
     raw = read_sessions(spark, raw_path, start, end).where(F.col("date").isin(days))
     daily = daily_campaign_metrics(stg_sessions(raw))
-    (daily.repartition("session_date").write.mode("overwrite")
+    (daily.hint("rebalance", "session_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("session_date").parquet(daily_path))
     stored = spark.read.parquet(daily_path)
     mart_from_daily(stored).write.mode("overwrite").parquet(mart_path)

@@ -10,5 +10,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 40
+    # k-means training is iterative: the one query without a SQL twin (rows-only check)
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"segment_kmeans"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert len(entry.queries()) >= 50

@@ -29,3 +29,12 @@ def test_trend_calendar_is_complete(hand_stg):
     span = hand_stg.agg(F.datediff(F.max("session_date"), F.min("session_date"))).first()[0]
     assert t.count() == span + 1
     assert t.agg(F.sum("sessions")).first()[0] == 14
+
+
+def test_kmeans_segments_cover_every_visitor(spark):
+    from conftest import SF_SMALL
+    from journeyline.plans.queries import staged
+    stg = staged(spark, SF_SMALL)
+    seg = jm.kmeans_segments(stg, k=3)
+    assert seg.count() <= 3
+    assert seg.agg(F.sum("visitors")).first()[0] == stg.select("visitor_id").distinct().count()
