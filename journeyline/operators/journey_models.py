@@ -139,6 +139,7 @@ def days_to_conversion(stg: DataFrame) -> DataFrame:
 
 
 RFM_BUCKETS = 5
+RANK_ROWS_PER_PARTITION = 1_000_000
 
 
 def rfm_segments(stg: DataFrame) -> DataFrame:
@@ -157,10 +158,13 @@ def rfm_segments(stg: DataFrame) -> DataFrame:
                         F.lit(0).cast("bigint").alias("visitors"), F.lit(0).cast("bigint").alias("sessions"),
                         F.lit(0.0).alias("revenue")).limit(0)
     v = v.withColumn("recency_days", F.datediff(F.lit(latest), "last_date"))
+    # range partitions for the ranks: about one per million visitors
+    parts = max(1, min(int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                       -(-n_visitors // RANK_ROWS_PER_PARTITION)))
     steps = [("r_score", [F.desc("recency_days"), "visitor_id"]), ("f_score", ["frequency", "visitor_id"]),
              ("m_score", ["monetary_micros", "visitor_id"])]
     for score, order in steps:
-        v = global_rank(v, order, "_rank").withColumn(score, ntile_of_rank("_rank", n_visitors, RFM_BUCKETS)) \
+        v = global_rank(v, order, "_rank", parts).withColumn(score, ntile_of_rank("_rank", n_visitors, RFM_BUCKETS)) \
             .drop("_rank")
     g = v.groupBy("r_score", "f_score", "m_score").agg(
         F.count(F.lit(1)).alias("visitors"), F.sum("frequency").alias("sessions"),
