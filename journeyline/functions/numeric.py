@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 MICROS_PER_USD = 1_000_000.0
@@ -65,3 +65,9 @@ def avg_rounded(c, places: int = 2) -> Column:
 def sum_usd(c) -> Column:
     """Exact SUM of dollar amounts (doubles holding whole micros)."""
     return F.sum(F.round(col(c) * MICROS_PER_USD).cast("bigint")).cast("double") / F.lit(MICROS_PER_USD)
+
+
+def share_pct(c, places: int = 2) -> Column:
+    """Percentage of the column's total. The window spans all rows, so apply it only to an
+    already aggregated result with a handful of rows (a few groups), never to detail rows."""
+    return round_to(safe_div(col(c) * 100, F.sum(col(c)).over(Window.partitionBy())), places)

@@ -9,10 +9,10 @@ engine reports the same figure.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import avg_rounded, round_to, safe_div, sum_rounded, sum_usd
+from ..functions.numeric import avg_rounded, round_to, safe_div, share_pct, sum_rounded, sum_usd
 from .funnel import stage_metrics
 
 
@@ -24,11 +24,6 @@ def apply_filters(df: DataFrame, filters: dict | None) -> DataFrame:
     return df
 
 
-def _share(count_col: str, places: int = 2):
-    """Percentage of the column's total over the (few) aggregated rows."""
-    return round_to(safe_div(F.col(count_col) * 100, F.sum(count_col).over(Window.partitionBy())), places)
-
-
 # ---- page 1: campaign performance ------------------------------------------------------------
 def campaign_kpis(mart: DataFrame, filters: dict | None = None) -> DataFrame:
     """K1: revenue, sessions, conversions, average of row conversion rates, average ROAS."""
@@ -63,8 +58,8 @@ def device_share(mart: DataFrame, filters: dict | None = None) -> DataFrame:
         round_to(sum_usd("total_revenue"), 2).alias("revenue"))
     return g.select(
         "device_category", "sessions", "conversions", "revenue",
-        _share("conversions").alias("share_of_conversions_pct"),
-        _share("sessions").alias("share_of_sessions_pct"),
+        share_pct("conversions").alias("share_of_conversions_pct"),
+        share_pct("sessions").alias("share_of_sessions_pct"),
         round_to(safe_div("conversions", "sessions") * 100, 2).alias("conversion_rate_pct"))
 
 
@@ -106,8 +101,8 @@ def channel_roles(mart: DataFrame, filters: dict | None = None) -> DataFrame:
     """K7: distribution of channel roles, by mart rows and by sessions (the base is not stated)."""
     g = apply_filters(mart, filters).groupBy("channel_role").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("total_sessions").alias("sessions"))
-    return g.select("channel_role", "rows", "sessions", _share("rows").alias("share_of_rows_pct"),
-                    _share("sessions").alias("share_of_sessions_pct"))
+    return g.select("channel_role", "rows", "sessions", share_pct("rows").alias("share_of_rows_pct"),
+                    share_pct("sessions").alias("share_of_sessions_pct"))
 
 
 def attribution_table(mart: DataFrame, filters: dict | None = None) -> DataFrame:
@@ -141,8 +136,8 @@ def dropoff_distribution(mart: DataFrame, filters: dict | None = None) -> DataFr
     """Share of primary drop-off stages, by mart rows and by landing sessions."""
     g = apply_filters(mart, filters).groupBy("primary_dropoff_stage").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("sessions_landing").alias("sessions"))
-    return g.select("primary_dropoff_stage", "rows", "sessions", _share("rows").alias("share_of_rows_pct"),
-                    _share("sessions").alias("share_of_sessions_pct"))
+    return g.select("primary_dropoff_stage", "rows", "sessions", share_pct("rows").alias("share_of_rows_pct"),
+                    share_pct("sessions").alias("share_of_sessions_pct"))
 
 
 def dropoff_table(mart: DataFrame, filters: dict | None = None) -> DataFrame:

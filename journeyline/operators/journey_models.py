@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.channels import campaign_identifier, channel_grouping
-from ..functions.numeric import idiv, long_lit, round_to, safe_div, usd_from_micros, usd_from_nanos
+from ..functions.numeric import idiv, long_lit, round_to, safe_div, share_pct, usd_from_micros, usd_from_nanos
 from .attribution import MART_KEYS, sequenced_sessions
 from .skew import global_rank, join_per_key, ntile_of_rank
 
@@ -134,8 +134,7 @@ def days_to_conversion(stg: DataFrame) -> DataFrame:
     days = v.where(F.col("first_conversion_date").isNotNull()).select(
         F.datediff("first_conversion_date", "first_date").cast("bigint").alias("days_to_conversion"))
     g = days.groupBy("days_to_conversion").agg(F.count(F.lit(1)).alias("visitors"))
-    return g.withColumn("share_of_converters_pct",
-                        round_to(safe_div(F.col("visitors") * 100, F.sum("visitors").over(Window.partitionBy())), 2))
+    return g.withColumn("share_of_converters_pct", share_pct("visitors"))
 
 
 RFM_BUCKETS = 5

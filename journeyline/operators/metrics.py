@@ -7,11 +7,11 @@ so a hot visitor is reduced map-side before any shuffle on the group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.channels import channel_grouping
-from ..functions.numeric import long_lit, round_to, safe_div, usd_from_micros
+from ..functions.numeric import long_lit, round_to, safe_div, share_pct, usd_from_micros
 from .funnel import visitor_totals, funnel_sessions
 
 # Dwell-time buckets (seconds, left-closed) and benchmark bands.
@@ -36,10 +36,6 @@ def band(c, edges, labels) -> Column:
     return rule.otherwise(labels[-1])
 
 
-def _share(c: str) -> Column:
-    return round_to(safe_div(F.col(c) * 100, F.sum(c).over(Window.partitionBy())), 2)
-
-
 def new_vs_returning(stg: DataFrame) -> DataFrame:
     """M1: visitors with one session (New) vs more (Returning)."""
     v = visitor_totals(funnel_sessions(stg))
@@ -48,7 +44,7 @@ def new_vs_returning(stg: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("visitors"), F.sum("total_sessions").alias("sessions"),
         F.sum("ever_converted").alias("converting_visitors"), F.sum("_rev_micros").alias("_rev"))
     return g.select("visitor_type", "visitors", "sessions", "converting_visitors",
-                    usd_from_micros("_rev").alias("revenue"), _share("visitors").alias("share_of_visitors_pct"))
+                    usd_from_micros("_rev").alias("revenue"), share_pct("visitors").alias("share_of_visitors_pct"))
 
 
 def goal_completion(stg: DataFrame) -> DataFrame:
@@ -83,7 +79,7 @@ def dwell_time(stg: DataFrame) -> DataFrame:
     labels = [label for _, label in DWELL_BUCKETS]
     bucket = band(F.coalesce(F.col("time_on_site_seconds"), F.lit(0)), edges, labels)
     g = stg.groupBy(bucket.alias("dwell_bucket")).agg(F.count(F.lit(1)).alias("sessions"))
-    return g.withColumn("share_of_sessions_pct", _share("sessions"))
+    return g.withColumn("share_of_sessions_pct", share_pct("sessions"))
 
 
 def revenue_per_visitor(stg: DataFrame) -> DataFrame:
@@ -109,7 +105,7 @@ def exit_distribution(stg: DataFrame) -> DataFrame:
     """M8: where non-converting sessions leave the funnel."""
     g = (funnel_sessions(stg).where(F.col("funnel_exit_stage") != "converted")
          .groupBy("funnel_exit_stage").agg(F.count(F.lit(1)).alias("exits")))
-    return g.withColumn("share_of_exits_pct", _share("exits"))
+    return g.withColumn("share_of_exits_pct", share_pct("exits"))
 
 
 def benchmark_bands(campaign_mart: DataFrame) -> DataFrame:
