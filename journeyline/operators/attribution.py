@@ -59,7 +59,7 @@ def sequenced_sessions(stg: DataFrame, hot_rows: int) -> DataFrame:
                       "traffic_medium", "campaign_name", "is_converted", "revenue_usd",
                       micros.alias("revenue_micros"))
     converted = F.col("is_converted") == 1
-    return sequence_within(
+    seq = sequence_within(
         base, "visitor_id", SESSION_ORDER, hot_rows,
         seq_col="session_sequence", count_col="total_sessions_per_visitor",
         key_aggs={
@@ -69,6 +69,14 @@ def sequenced_sessions(stg: DataFrame, hot_rows: int) -> DataFrame:
             "last_conversion_date": F.max(F.when(converted, F.col("session_date"))),
             "visitor_last_date": F.max("session_date"),
         })
+    # The conversion join matches on visitor_id equality, so a NULL visitor pairs with nothing.
+    no_visitor = F.col("visitor_id").isNull()
+    return seq.withColumns({
+        "visitor_conversions": F.when(no_visitor, long_lit(0)).otherwise(F.col("visitor_conversions")),
+        "conversion_micros": F.when(no_visitor, long_lit(0)).otherwise(F.col("conversion_micros")),
+        "first_conversion_date": F.when(~no_visitor, F.col("first_conversion_date")),
+        "last_conversion_date": F.when(~no_visitor, F.col("last_conversion_date")),
+    })
 
 
 def with_touch_flags(seq: DataFrame) -> DataFrame:
@@ -126,15 +134,22 @@ def mart_attribution_analysis(stg: DataFrame, hot_rows: int) -> DataFrame:
     per_session = rows.groupBy(*MART_KEYS, "visitor_id", "session_id").agg(
         F.max("is_first_touch").alias("f"), F.max("is_last_touch").alias("l"), F.max("has_conv").alias("h"),
         *[F.sum(s).alias(s) for s in sums])
+    # count() / sum() over non-NULL ids only: COUNT(DISTINCT ...) ignores a NULL id
+    has_session = F.col("session_id").isNotNull()
     per_visitor = per_session.groupBy(*MART_KEYS, "visitor_id").agg(
-        F.count(F.lit(1)).alias("sessions"), F.sum("f").alias("f_sessions"), F.sum("l").alias("l_sessions"),
+        F.count("session_id").alias("sessions"), F.sum(F.when(has_session, F.col("f"))).alias("f_sessions"),
+        F.sum(F.when(has_session, F.col("l"))).alias("l_sessions"),
         F.max(F.col("f") * F.col("h")).alias("f_conv"), F.max(F.col("l") * F.col("h")).alias("l_conv"),
         F.max("h").alias("h"), *[F.sum(s).alias(s) for s in sums])
+    has_visitor = F.col("visitor_id").isNotNull()
     g = per_visitor.groupBy(*MART_KEYS).agg(
-        F.sum("sessions").alias("total_sessions"), F.count(F.lit(1)).alias("total_visitors"),
-        F.sum("f_sessions").alias("first_touch_sessions"), F.sum("f_conv").alias("first_touch_conversions"),
-        F.sum("l_sessions").alias("last_touch_sessions"), F.sum("l_conv").alias("last_touch_conversions"),
-        F.sum("h").alias("linear_conversions"), *[F.sum(s).alias(s) for s in sums])
+        F.sum("sessions").alias("total_sessions"), F.count("visitor_id").alias("total_visitors"),
+        F.coalesce(F.sum("f_sessions"), long_lit(0)).alias("first_touch_sessions"),
+        F.coalesce(F.sum(F.when(has_visitor, F.col("f_conv"))), long_lit(0)).alias("first_touch_conversions"),
+        F.coalesce(F.sum("l_sessions"), long_lit(0)).alias("last_touch_sessions"),
+        F.coalesce(F.sum(F.when(has_visitor, F.col("l_conv"))), long_lit(0)).alias("last_touch_conversions"),
+        F.coalesce(F.sum(F.when(has_visitor, F.col("h"))), long_lit(0)).alias("linear_conversions"),
+        *[F.sum(s).alias(s) for s in sums])
 
     first, last = usd_from_micros("first_micros"), usd_from_micros("last_micros")
     linear = usd_from_nanos("linear_nanos")

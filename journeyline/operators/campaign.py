@@ -56,10 +56,11 @@ def daily_campaign_metrics(stg: DataFrame) -> DataFrame:
     sums = ["hits", "pv", "tos", "is_bounced", "is_converted", "txn", "rev"]
     per_session = base.groupBy(*DAILY_KEYS, "visitor_id", "session_id").agg(
         F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in sums])
+    # count() of the id column: COUNT(DISTINCT ...) ignores a NULL id
     per_visitor = per_session.groupBy(*DAILY_KEYS, "visitor_id").agg(
-        F.count(F.lit(1)).alias("sessions"), F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in sums])
+        F.count("session_id").alias("sessions"), F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in sums])
     g = per_visitor.groupBy(*DAILY_KEYS).agg(
-        F.sum("sessions").alias("sessions"), F.count(F.lit(1)).alias("unique_visitors"),
+        F.sum("sessions").alias("sessions"), F.count("visitor_id").alias("unique_visitors"),
         F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in sums])
 
     revenue = usd_from_micros("rev")

@@ -72,7 +72,7 @@ def visitor_totals(fs: DataFrame) -> DataFrame:
         F.count("_score_tenths").alias("_scores"), F.min("session_date").alias("first_session_date"),
         F.max("session_date").alias("last_session_date"), *[F.sum(c).alias(c) for c in sums])
     return per_session.groupBy("visitor_id").agg(
-        F.count(F.lit(1)).alias("total_sessions"), F.sum("_rows").alias("_rows"),
+        F.count("session_id").alias("total_sessions"), F.sum("_rows").alias("_rows"),
         F.max("ever_converted").alias("ever_converted"), F.sum("_scores").alias("_scores"),
         F.min("first_session_date").alias("first_session_date"),
         F.max("last_session_date").alias("last_session_date"), *[F.sum(c).alias(c) for c in sums])
@@ -132,8 +132,11 @@ def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
     per_session = rows.groupBy(*MART_KEYS, "visitor_id", "session_id").agg(
         *[F.max(c).alias(c) for c in flags], F.max("visitor_ever_converted").alias("_vconv"),
         *counts, *[F.sum(c).alias(c) for c in sums])
+    # count() / sum() over non-NULL ids only: COUNT(DISTINCT ...) ignores a NULL id
+    has_session = F.col("session_id").isNotNull()
     per_visitor = per_session.groupBy(*MART_KEYS, "visitor_id").agg(
-        F.count(F.lit(1)).alias("_sessions"), *[F.sum(c).alias(c) for c in flags],
+        F.count("session_id").alias("_sessions"),
+        *[F.coalesce(F.sum(F.when(has_session, F.col(c))), long_lit(0)).alias(c) for c in flags],
         F.max(F.when(F.col("_vconv") == 1, 1).otherwise(0)).alias("_vconv"),
         *[F.sum(c).alias(c) for c in ["_n_score", "_n_vavg", "_n_days", *sums]])
     g = per_visitor.groupBy(*MART_KEYS).agg(
@@ -141,8 +144,9 @@ def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
         F.sum("reached_engagement").alias("sessions_engagement"),
         F.sum("reached_deep_engagement").alias("sessions_deep_engagement"),
         F.sum("reached_conversion").alias("sessions_conversion"),
-        F.count(F.lit(1)).alias("visitors_landing"),
-        F.sum("_vconv").cast("bigint").alias("visitors_converted"),
+        F.count("visitor_id").alias("visitors_landing"),
+        F.coalesce(F.sum(F.when(F.col("visitor_id").isNotNull(), F.col("_vconv"))), long_lit(0))
+        .cast("bigint").alias("visitors_converted"),
         *[F.sum(c).alias(c) for c in EXIT_COUNT_COLUMNS],
         *[F.sum(c).alias(c) for c in ["_n_score", "_n_vavg", "_n_days", *sums]])
 

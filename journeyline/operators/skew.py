@@ -63,8 +63,9 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col),
                                   *[expr.alias(name) for name, expr in key_aggs.items()])
     # At most total_rows / hot_rows keys: a proven bound, so this table is broadcast.
-    hot = per_key.where(F.col(count_col) > hot_rows).withColumn("_hot", F.lit(True))
-    tagged = df.join(F.broadcast(hot.select(key, "_hot")), key, "left")
+    # Joins on the key are null-safe: a NULL key is one group (as in PARTITION BY) and may be hot.
+    hot = per_key.where(F.col(count_col) > hot_rows)
+    tagged = _null_safe_join(df, hot.select(key).withColumn("_hot", F.lit(True)), [key], "left", broadcast=True)
     cold = windowed(tagged.where(F.col("_hot").isNull()).drop("_hot"))
 
     # Hot keys: range partitions over (key, order), positions from the local sort.
@@ -73,9 +74,10 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows")))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    hot_rows_out = (ranged.join(F.broadcast(offsets), [key, "_pid"])
-                    .join(F.broadcast(hot.drop("_hot")), key)
-                    .withColumn(seq_col, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")))
+    hot_rows_out = _null_safe_join(_null_safe_join(ranged, offsets, [key, "_pid"], "inner", broadcast=True),
+                                   hot, [key], "inner", broadcast=True)
+    hot_rows_out = hot_rows_out.withColumn(
+        seq_col, (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint"))
     return cold.select(*out_cols).unionByName(hot_rows_out.select(*out_cols))
 
 
@@ -91,6 +93,20 @@ def _ask_once(df: DataFrame, question: tuple, answer) -> bool:
     return _HOT_ANSWERS[memo]
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
+                    broadcast: bool = False) -> DataFrame:
+    """Join on ``keys`` with NULL matching NULL (``<=>``); the result keeps the left key columns.
+    ``broadcast`` marks the (bounded) right side for a broadcast join."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    if broadcast:
+        renamed = F.broadcast(renamed)
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _positions(df: DataFrame, parts: int, order_cols: list) -> DataFrame:
     """Range-partition on ``order_cols`` into ``parts`` partitions, sort each partition, and
     add ``_pid`` (partition) and ``_pos`` (0-based position inside the partition).
@@ -144,18 +160,24 @@ def has_hot_keys(df: DataFrame, key: str, hot_rows: int) -> bool:
 
 
 def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot_rows: int) -> DataFrame:
-    """N:1 join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``.
+    """LEFT join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``.
 
-    Hot keys (more than ``hot_rows`` rows, so at most ``total_rows / hot_rows`` of them) are
-    joined against a broadcast of their per-key rows; every other key goes through the
-    ordinary shuffle join, where no key has more than ``hot_rows`` rows. The key's rows
-    are never gathered in one task.
+    Rows whose key is NULL match nothing (SQL equality), so they skip the join and get NULL
+    per-key columns; a NULL key never becomes one huge join partition. Hot keys (more than
+    ``hot_rows`` rows, so at most ``total_rows / hot_rows`` of them) are joined against a
+    broadcast of their per-key rows; every other key goes through the ordinary shuffle join,
+    where no key has more than ``hot_rows`` rows. The key's rows are never gathered in one task.
     """
+    extra = [c for c in per_key.columns if c != key]
+    no_key = df.where(F.col(key).isNull()).select(
+        "*", *[F.lit(None).cast(per_key.schema[c].dataType).alias(c) for c in extra])
+    keyed = df.where(F.col(key).isNotNull())
+    per_key = per_key.where(F.col(key).isNotNull())
     if not _ask_once(per_key, ("hot_rows", rows_col, hot_rows),
                      lambda: per_key.agg(F.max(rows_col) > hot_rows).first()[0]):
-        return df.join(per_key, key)
+        return keyed.join(per_key, key, "left").unionByName(no_key)
     hot = per_key.where(F.col(rows_col) > hot_rows)
-    tagged = df.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot").join(per_key, key)
+    tagged = keyed.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
+    cold = tagged.where(F.col("_hot").isNull()).drop("_hot").join(per_key, key, "left")
     hot_part = tagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot), key)
-    return cold.unionByName(hot_part)
+    return cold.unionByName(hot_part).unionByName(no_key)
