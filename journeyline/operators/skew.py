@@ -160,22 +160,23 @@ def has_hot_keys(df: DataFrame, key: str, hot_rows: int) -> bool:
 
 
 def join_per_key(df: DataFrame, per_key: DataFrame, key: str, rows_col: str, hot_rows: int) -> DataFrame:
-    """LEFT join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``.
-
-    Rows whose key is NULL match nothing (SQL equality), so they skip the join and get NULL
-    per-key columns; a NULL key never becomes one huge join partition. Hot keys (more than
-    ``hot_rows`` rows, so at most ``total_rows / hot_rows`` of them) are joined against a
-    broadcast of their per-key rows; every other key goes through the ordinary shuffle join,
-    where no key has more than ``hot_rows`` rows. The key's rows are never gathered in one task.
+    """LEFT join of ``df`` to a one-row-per-key table whose ``rows_col`` counts the key's rows in ``df``
+    (``per_key`` may hold a NULL-key row; SQL equality never matches it).
+
+    When no key (NULL included) has more than ``hot_rows`` rows this is the plain join, which
+    keeps the input's partitioning for the operators above it. Otherwise: rows with a NULL key
+    skip the join (NULL per-key columns), hot keys (at most ``total_rows / hot_rows`` of them)
+    are joined against a broadcast of their per-key rows, and the rest take the shuffle join,
+    where no key has more than ``hot_rows`` rows. A key's rows are never gathered in one task.
     """
+    if not _ask_once(per_key, ("hot_rows", rows_col, hot_rows),
+                     lambda: per_key.agg(F.max(rows_col) > hot_rows).first()[0]):
+        return df.join(per_key, key, "left")
     extra = [c for c in per_key.columns if c != key]
     no_key = df.where(F.col(key).isNull()).select(
         "*", *[F.lit(None).cast(per_key.schema[c].dataType).alias(c) for c in extra])
     keyed = df.where(F.col(key).isNotNull())
     per_key = per_key.where(F.col(key).isNotNull())
-    if not _ask_once(per_key, ("hot_rows", rows_col, hot_rows),
-                     lambda: per_key.agg(F.max(rows_col) > hot_rows).first()[0]):
-        return keyed.join(per_key, key, "left").unionByName(no_key)
     hot = per_key.where(F.col(rows_col) > hot_rows)
     tagged = keyed.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot").join(per_key, key, "left")

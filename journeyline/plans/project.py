@@ -1,9 +1,19 @@
 """Build every model of the project in one Spark application (the analog of a full run).
 
 Order: staged sessions -> the three marts -> data-test reports. The staged table is
-written once as Parquet partitioned by ``session_date`` (a stored table in the shared
-checkpoint folder cuts the lineage, so a lost executor only recomputes from the stored
-files) and every mart reads it back; each mart is a full-rebuild table with a build stamp.
+written once into the shared checkpoint folder (a stored table cuts the lineage, so a lost
+executor only recomputes from the stored files) and every mart reads it back; each mart is
+a full-rebuild table with a build stamp.
+
+How the staged table is stored depends on the visitor distribution, checked with one
+aggregation over the visitor id column of the raw scan:
+
+* no visitor holds more than ``journeyline.skew.hotKeyRows`` sessions: the table is
+  bucketed by ``visitor_id``. The session window, the visitor totals, the visitor join and
+  the (keys, visitor, session) / (keys, visitor) aggregation levels of all three marts then
+  need no shuffle; writing the buckets is the one shuffle of session rows;
+* otherwise: the table is partitioned by ``session_date`` and the marts take their
+  skew-safe paths (operators/skew.py).
 """
 
 from __future__ import annotations
@@ -15,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
 from ..operators import attribution, campaign, funnel, quality
+from ..operators.skew import has_hot_keys
 from ..operators.staging import stg_sessions
 from ..session import checkpoint_dir, hot_key_rows
 
@@ -29,8 +40,14 @@ def build_project(spark: SparkSession, raw: DataFrame, out_dir: str | None = Non
     """Materialise staging, the marts and (optionally) the test reports; return them read back."""
     out = out_dir or default_output(spark)
     hot = hot_key_rows(spark)
-    stg = sinks.write_model(spark, stg_sessions(raw), "stg_ga_sessions", "staging", out,
-                            stamp=False, partition_by=["session_date"])
+    staged = stg_sessions(raw)
+    if has_hot_keys(staged.select("visitor_id"), "visitor_id", hot):
+        stg = sinks.write_model(spark, staged, "stg_ga_sessions", "staging", out,
+                                stamp=False, partition_by=["session_date"])
+    else:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        stg = sinks.write_model(spark, staged, "stg_ga_sessions", "staging", out,
+                                stamp=False, bucket_by=(buckets, "visitor_id"))
     built = {"stg_ga_sessions": stg}
     marts = {
         ("campaign_performance", "mart_campaign_performance"): campaign.mart_campaign_performance(stg),

@@ -25,8 +25,15 @@ def materialization(folder: str, override: str | None = None) -> str:
 
 def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base_path: str,
                 materialized: str = "table", stamp: bool = True,
-                partition_by: list[str] | None = None) -> DataFrame:
-    """Materialise one model and return the relation its consumers should read."""
+                partition_by: list[str] | None = None,
+                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+    """Materialise one model and return the relation its consumers should read.
+
+    ``bucket_by=(n, column)`` stores the table as ``n`` hash buckets of ``column`` and registers
+    it in the session catalog (data under the same path): readers then know the table is
+    partitioned by ``column`` and run per-column windows, aggregations and joins without a
+    shuffle. Use it only when no value of ``column`` holds a large share of the rows.
+    """
     if materialized == "ephemeral":
         return df
     if materialized == "view":
@@ -36,6 +43,11 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
         raise ValueError(f"unknown materialization: {materialized}")
     out = df.withColumn("last_updated", F.current_timestamp()) if stamp else df
     path = f"{base_path.rstrip('/')}/{domain}/{name}"
+    if bucket_by:
+        buckets, column = bucket_by
+        table = f"{domain}_{name}_{abs(hash(path)) % 10**8}"
+        out.write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+        return spark.table(table)
     if partition_by:
         # Group rows by partition value (few files per directory); adaptive execution splits
         # a partition value that holds a large share of the rows across several tasks.
