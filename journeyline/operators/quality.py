@@ -10,8 +10,8 @@ A test counts failing rows; NULL passes every test except ``not_null``:
 * ``expression_is_true``   rows where a SQL boolean expression is false.
 
 All tests of a model except ``unique`` run in one aggregation pass (one ``count_if`` per
-test, partial aggregation on every partition); each ``unique`` test is one ``groupBy``
-with map-side partial counts. The report has one row per test:
+test over a SQL predicate, partial aggregation on every partition); each ``unique`` test is
+one ``groupBy`` with map-side partial counts. The report has one row per test:
 ``model, test, column_name, failures, severity, status``. ``severity='warn'`` tests are
 reported as ``warn`` instead of ``fail``.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -190,50 +190,64 @@ EXAMPLE_TESTS = [unique("id"), not_null("id")]
 
 
 # ---- evaluation ---------------------------------------------------------------------------
-def _literal(v) -> Column:
-    return F.lit(v)
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def failure_condition(check: Check) -> Column:
-    """Boolean Column that is true exactly on failing rows (NULL counts as passing)."""
+def _literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, dt.date):
+        return f"DATE'{v.isoformat()}'"
+    return repr(v)
+
+
+def failure_sql(check: Check) -> str:
+    """Spark SQL predicate that is true exactly on failing rows (NULL counts as passing)."""
     if check.test == "not_null":
-        return F.col(check.column).isNull()
+        return f"{_ident(check.column)} IS NULL"
     if check.test == "accepted_values":
-        return ~F.col(check.column).isin(list(check.values))
+        return f"NOT ({_ident(check.column)} IN ({', '.join(_literal(v) for v in check.values)}))"
     if check.test == "accepted_range":
-        c = F.col(check.column)
-        inside = F.lit(True)
+        bounds = []
         if check.min_value is not None:
-            inside = inside & (c >= _literal(check.min_value))
+            bounds.append(f"{_ident(check.column)} >= {_literal(check.min_value)}")
         if check.max_value is not None:
-            inside = inside & (c <= _literal(check.max_value))
-        cond = ~inside
-        return F.expr(check.where) & cond if check.where else cond
+            bounds.append(f"{_ident(check.column)} <= {_literal(check.max_value)}")
+        cond = f"NOT ({' AND '.join(bounds)})"
+        return f"({check.where}) AND {cond}" if check.where else cond
     if check.test == "expression_is_true":
-        return ~F.expr(check.expression)
+        return f"NOT ({check.expression})"
     raise ValueError(f"not a row-level test: {check.test}")
 
 
-def _row(model: str, check: Check, failures: Column) -> Column:
-    return F.struct(F.lit(model).alias("model"), F.lit(check.test).alias("test"),
-                    F.lit(check.target).alias("column_name"), failures.cast("bigint").alias("failures"),
-                    F.lit(check.severity).alias("severity"))
+REPORT_SCHEMA = "_idx INT, model STRING, test STRING, column_name STRING, severity STRING"
 
 
 def run_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    """The test report of one relation (one row per test)."""
+    """The test report of one relation (one row per test).
+
+    The tests are SQL predicates, so the whole pass is one ``selectExpr`` of ``count_if``
+    aggregates; ``stack`` turns its single row into one row per test, and the test
+    descriptions (one small row per test) are joined on by broadcast."""
+    spark = df.sparkSession
     parts = []
     row_checks = [(i, c) for i, c in enumerate(checks) if c.test != "unique"]
     if row_checks:
-        counts = df.agg(*[F.count_if(failure_condition(c)).alias(f"_t{i}") for i, c in row_checks])
-        parts.append(counts.select(F.inline(F.array(*[_row(model, c, F.col(f"_t{i}")) for i, c in row_checks]))))
-    for c in checks:
+        counts = df.selectExpr(*[f"count_if({failure_sql(c)}) AS _t{i}" for i, c in row_checks])
+        pairs = ", ".join(f"{i}, _t{i}" for i, _ in row_checks)
+        parts.append(counts.selectExpr(f"stack({len(row_checks)}, {pairs}) AS (_idx, failures)"))
+    for i, c in enumerate(checks):
         if c.test == "unique":
             dupes = (df.where(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                     .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("_n")))
-            parts.append(dupes.select(F.inline(F.array(_row(model, c, F.col("_n"))))))
-    report = parts[0]
+                     .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
+            parts.append(dupes.select(F.lit(i).alias("_idx"), "failures"))
+    counts_by_test = parts[0]
     for p in parts[1:]:
-        report = report.unionByName(p)
+        counts_by_test = counts_by_test.unionByName(p)
+    described = spark.createDataFrame([(i, model, c.test, c.target, c.severity) for i, c in enumerate(checks)],
+                                      REPORT_SCHEMA)
+    report = counts_by_test.join(F.broadcast(described), "_idx")
     status = (F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))
-    return report.withColumn("status", status)
+    return report.select("model", "test", "column_name", F.col("failures").cast("bigint").alias("failures"),
+                         "severity", status.alias("status"))
