@@ -60,6 +60,23 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model(spark, sf_dir, "stg_ga_sessions", build)
 
 
+# Marts are tables, as in the reference: built once per session and input folder by their
+# own query (or on first use), then read by the data tests and the dashboards.
+def _campaign_mart(spark, sf_dir):
+    return model(spark, sf_dir, "mart_campaign_performance",
+                 lambda: mart_campaign_performance(staged(spark, sf_dir)))
+
+
+def _attribution_mart(spark, sf_dir):
+    return model(spark, sf_dir, "mart_attribution_analysis",
+                 lambda: attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark)))
+
+
+def _funnel_mart(spark, sf_dir):
+    return model(spark, sf_dir, "mart_conversion_funnel",
+                 lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark)))
+
+
 @query("src_shard_range")
 def q_src_shard_range(spark, sf_dir):
     """The shard-range filter on the raw nested records, leaves read by path."""
@@ -118,7 +135,7 @@ def q_int_campaign_metrics(spark, sf_dir):
 
 @query("mart_campaign_performance")
 def q_mart_campaign_performance(spark, sf_dir):
-    return mart_campaign_performance(staged(spark, sf_dir))
+    return _campaign_mart(spark, sf_dir)
 
 
 # ---- attribution ------------------------------------------------------------------------
@@ -147,7 +164,7 @@ def q_int_session_attribution(spark, sf_dir):
 
 @query("mart_attribution_analysis")
 def q_mart_attribution_analysis(spark, sf_dir):
-    return attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark))
+    return _attribution_mart(spark, sf_dir)
 
 
 # ---- funnel -------------------------------------------------------------------------------
@@ -185,7 +202,7 @@ def q_int_funnel_steps(spark, sf_dir):
 
 @query("mart_conversion_funnel")
 def q_mart_conversion_funnel(spark, sf_dir):
-    return funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark))
+    return _funnel_mart(spark, sf_dir)
 
 
 # ---- data tests ------------------------------------------------------------------------
@@ -215,22 +232,6 @@ def q_dq_funnel(spark, sf_dir):
     return quality.run_checks(_funnel_mart(spark, sf_dir), "mart_conversion_funnel", quality.FUNNEL_TESTS)
 
 
-# Marts as persisted tables: data tests and dashboards read these (built on first use).
-def _campaign_mart(spark, sf_dir):
-    return model(spark, sf_dir, "mart_campaign_performance",
-                 lambda: mart_campaign_performance(staged(spark, sf_dir)))
-
-
-def _attribution_mart(spark, sf_dir):
-    return model(spark, sf_dir, "mart_attribution_analysis",
-                 lambda: attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark)))
-
-
-def _funnel_mart(spark, sf_dir):
-    return model(spark, sf_dir, "mart_conversion_funnel",
-                 lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark)))
-
-
 # ---- dashboard ---------------------------------------------------------------------------
 
 
