@@ -23,6 +23,9 @@ is lost.
 Whether any hot key exists is asked once, with one aggregation whose answer is a single
 row; when none exists the plan is just the window (or the shuffle join), with no extra
 broadcast, range sampling or union.
+
+The same positions give ``global_rank`` (``row_number()`` over a total order without a
+single-partition window) and, with the row count, an exact NTILE (``ntile_of_rank``).
 """
 
 from __future__ import annotations
