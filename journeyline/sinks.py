@@ -12,6 +12,8 @@ here so that query results stay comparable between runs.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
     path = f"{base_path.rstrip('/')}/{domain}/{name}"
     if bucket_by:
         buckets, column = bucket_by
-        table = f"{domain}_{name}_{abs(hash(path)) % 10**8}"
+        table = f"{domain}_{name}_{zlib.crc32(path.encode()):08x}"  # same folder -> same catalog name
         out.write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
         return spark.table(table)
     if partition_by:
