@@ -53,6 +53,14 @@ def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _MODELS[key]
 
 
+def release_models(spark: SparkSession) -> int:
+    """Unpersist every model this session built through ``model()``; returns how many."""
+    keys = [k for k in _MODELS if k[0] == id(spark) and k[1] == spark.sparkContext.applicationId]
+    for k in keys:
+        _MODELS.pop(k).unpersist()
+    return len(keys)
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         raw = shard_range(load_raw_sessions(spark, sf_dir), SHARD_START, SHARD_END)

@@ -14,3 +14,14 @@ def test_every_query_has_oracle_sql():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"segment_kmeans"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) >= 50
+
+
+def test_release_models(spark):
+    from conftest import SF_SMALL
+    from journeyline.plans.queries import release_models, staged
+    stg = staged(spark, SF_SMALL)
+    stg.count()
+    assert stg.is_cached
+    assert release_models(spark) >= 1
+    assert not stg.is_cached
+    assert staged(spark, SF_SMALL) is not stg  # rebuilt on next use
