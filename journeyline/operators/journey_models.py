@@ -92,14 +92,16 @@ def time_decay_attribution(stg: DataFrame, hot_rows: int, half_life_days: float
 
 
 def cohort_retention(stg: DataFrame, hot_rows: int) -> DataFrame:
-    """Visitors by the week of their first session, active again 0, 1, 2 ... weeks later."""
+    """Visitors by the week of their first session, active again 0, 1, 2 ... weeks later.
+    Sessions without a visitor id belong to no cohort."""
+    stg = stg.where(F.col("visitor_id").isNotNull())
     first = stg.groupBy("visitor_id").agg(F.min("session_date").alias("first_date"),
                                           F.count(F.lit(1)).alias("_rows"))
     s = join_per_key(stg.select("visitor_id", "session_date"), first, "visitor_id", "_rows", hot_rows)
     active = (s.select(F.trunc("first_date", "week").alias("cohort_week"),
                        idiv(F.datediff("session_date", "first_date"), 7).alias("weeks_since_first"), "visitor_id")
               .groupBy("cohort_week", "weeks_since_first", "visitor_id").agg(F.count(F.lit(1)).alias("_s")))
-    g = active.groupBy("cohort_week", "weeks_since_first").agg(F.count(F.lit(1)).alias("visitors"))
+    g = active.groupBy("cohort_week", "weeks_since_first").agg(F.count("visitor_id").alias("visitors"))
     # cohort sizes: one row per cohort week (a handful of rows)
     size = F.max(F.when(F.col("weeks_since_first") == 0, F.col("visitors"))).over(Window.partitionBy("cohort_week"))
     return g.withColumn("cohort_size", size).withColumn(

@@ -87,8 +87,8 @@ def revenue_per_visitor(stg: DataFrame) -> DataFrame:
     micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
     per_visitor = stg.groupBy(channel_grouping(full=True).alias("channel_grouping"), "visitor_id").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum(micros).alias("_rev"))
-    g = per_visitor.groupBy("channel_grouping").agg(
-        F.count(F.lit(1)).alias("visitors"), F.sum("sessions").alias("sessions"), F.sum("_rev").alias("_rev"))
+    g = per_visitor.groupBy("channel_grouping").agg(  # count(visitor_id): a NULL visitor is not a visitor
+        F.count("visitor_id").alias("visitors"), F.sum("sessions").alias("sessions"), F.sum("_rev").alias("_rev"))
     revenue = usd_from_micros("_rev")
     return g.select("channel_grouping", "visitors", "sessions", revenue.alias("revenue"),
                     round_to(F.try_divide(revenue, F.col("visitors").cast("double")), 2).alias("revenue_per_visitor"))
