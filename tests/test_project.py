@@ -61,3 +61,15 @@ def test_staging_layout_follows_the_visitor_distribution(spark, hand_raw):
     for name in ["mart_campaign_performance", "mart_attribution_analysis", "mart_conversion_funnel"]:
         a, b = built[name].drop("last_updated"), hot_built[name].drop("last_updated")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_command_line_build(spark, hand_raw):
+    from journeyline.__main__ import main
+    from journeyline.sources.raw_sessions import write_sessions
+    root = tempfile.mkdtemp(prefix="jl-cli-", dir="/tmp")
+    write_sessions(hand_raw, os.path.join(root, "raw"))
+    main(["--raw", os.path.join(root, "raw"), "--out", os.path.join(root, "out"),
+          "--start", "20170701", "--end", "20170731"])
+    report = spark.read.parquet(os.path.join(root, "out", "quality", "test_report"))
+    assert report.count() == 155
+    assert spark.read.parquet(os.path.join(root, "out", "funnel", "mart_conversion_funnel")).count() == 13
