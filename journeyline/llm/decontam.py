@@ -16,6 +16,8 @@ Other columns are ignored, or kept by ``remove_contaminated``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +35,25 @@ def words(text: Column) -> Column:
     return F.when(F.length(bare) > 0, F.split(bare, "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>"))
 
 
-def _seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., mask, pos, seed) for every position of the ``hashes`` array."""
-    last = F.size("hashes") - SPAN
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once a row: a lambda's argument is never inlined, a column's alias is."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    def at(mask: tuple[int, ...], k: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(k), *[F.get("hashes", i + p) for p in mask]))
+def seeds(word_list: Column) -> Column:
+    """All seeds of a word array, in order of position; the masks of a position follow each other."""
+    def of(hashes: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN), lambda i: F.array(
+            *[F.xxhash64(F.lit(k), *[F.get(hashes, i + p) for p in mask]) for k, mask in enumerate(MASKS)])))
 
-    every = rows.where(last >= 0).select(*keep, F.concat(*[at(m, k) for k, m in enumerate(MASKS)]).alias("seeds"), (last + 1).alias("per"))
-    return every.select(*keep, "per", F.posexplode("seeds").alias("nth", "seed")).select(*keep, (F.col("nth") % F.col("per")).alias("pos"), "seed")
+    hashed = F.transform(word_list, lambda w: F.xxhash64(w))
+    return let(hashed, lambda h: F.when(F.size(h) >= SPAN, of(h)))
 
 
-def _hashed(words_col: str) -> Column:
-    return F.transform(words_col, lambda w: F.xxhash64(w))
+def _exploded(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., pos, seed) for every element of the ``seeds`` array."""
+    return rows.select(*keep, F.posexplode("seeds").alias("nth", "seed")).select(
+        *keep, F.floor(F.col("nth") / len(MASKS)).cast("int").alias("pos"), "seed")
 
 
 def text_keys(text: Column) -> list[Column]:
@@ -55,28 +63,33 @@ def text_keys(text: Column) -> list[Column]:
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text") -> DataFrame:
     """(key0, key1, item_id, matched, text_start, item_start): the best window for each text and item."""
-    items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words"))
-    seeds = _seeds(items.select("item_id", _hashed("item_words").alias("hashes")), ["item_id"]).withColumnRenamed("pos", "item_pos").distinct()
-    if seeds.count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("item_text"))
+    known = _exploded(items.select("item_id", seeds(words(F.col("item_text"))).alias("seeds")), ["item_id"]).withColumnRenamed("pos", "item_pos").distinct()
+    if known.count() <= BROADCAST_SEEDS:
+        known = F.broadcast(known)
     text = F.col(text_col).cast("string")
-    rows = docs.select(*text_keys(text), _hashed(words(text)).alias("hashes"))
-    hits = (_seeds(rows, ["key0", "key1"]).join(seeds, "seed")
+    rows = docs.select(*text_keys(text), seeds(words(text)).alias("seeds"))
+    hits = (_exploded(rows, ["key0", "key1"]).join(known, "seed")
             .select("key0", "key1", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
     hits = scratch.save(hits, "hits")
     hit_texts = docs.select(*text_keys(text), text.alias("text")).join(hits.select("key0", "key1").distinct(), ["key0", "key1"])
     hit_texts = hit_texts.groupBy("key0", "key1").agg(F.first("text").alias("text"))
-    both = (hits.join(hit_texts, ["key0", "key1"]).join(items, "item_id")
-            .select("key0", "key1", "item_id", "diagonal", words(F.col("text")).alias("words"), "item_words"))
-    # item positions that lie inside the text on this diagonal, and whether the words agree there
-    size = F.size("item_words")
-    agree = F.transform(F.sequence(F.lit(0), size - 1),
-                        lambda i: (F.when((i + F.col("diagonal") >= 0) & (F.get("words", F.greatest(i + F.col("diagonal"), F.lit(0))) == F.get("item_words", i)), 1).otherwise(0)))
-    flags = both.select("key0", "key1", "item_id", "diagonal", agree.alias("agree"))
-    width = F.least(F.lit(WINDOW), F.size("agree"))
-    windows = F.transform(F.sequence(F.lit(0), F.size("agree") - width), lambda s: F.struct(
-        F.aggregate(F.slice("agree", s + 1, width), F.lit(0), lambda a, x: a + x).alias("matched"), (-s).alias("minus")))
-    best = flags.select("key0", "key1", "item_id", "diagonal", F.array_max(windows).alias("best")).where(F.col("best.matched") >= MATCHED)
+    both = hits.join(hit_texts, ["key0", "key1"]).join(items, "item_id")
+
+    def agreeing(pair: Column) -> Column:
+        """1 for each item position whose word stands in the text on this diagonal."""
+        own, theirs, shift = pair["own"], pair["theirs"], pair["diagonal"]
+        return F.transform(F.sequence(F.lit(0), F.size(theirs) - 1), lambda i: F.when(
+            (i + shift >= 0) & (F.get(own, F.greatest(i + shift, F.lit(0))) == F.get(theirs, i)), 1).otherwise(0))
+
+    def windows(agree: Column) -> Column:
+        width = F.least(F.lit(WINDOW), F.size(agree))
+        return F.transform(F.sequence(F.lit(0), F.size(agree) - width), lambda s: F.struct(
+            F.aggregate(F.slice(agree, s + 1, width), F.lit(0), lambda a, x: a + x).alias("matched"), (-s).alias("minus")))
+
+    pair = F.struct(words(F.col("text")).alias("own"), words(F.col("item_text")).alias("theirs"), F.col("diagonal"))
+    best = (both.select("key0", "key1", "item_id", "diagonal", let(pair, lambda p: let(agreeing(p), lambda a: F.array_max(windows(a)))).alias("best"))
+            .where(F.col("best.matched") >= MATCHED))
     top = best.groupBy("key0", "key1", "item_id").agg(
         F.max(F.struct(F.col("best.matched").alias("matched"), F.col("best.minus").alias("minus"), (-F.col("diagonal")).alias("less"))).alias("top"))
     return top.select("key0", "key1", "item_id", F.col("top.matched").cast("long").alias("matched"),
