@@ -4,8 +4,9 @@ Sources are weighted 5, 2, 1, 5, 2, 1, ... by code point order, null last, and s
 ``[^\\x20\\x09-\\x0D]+``). A target stops at MOST times its source's size; the excess goes to the others by weight until
 none is above. Every document of a source has target / size expected copies. Its documents stand in the order of
 (size, doc_id), so that each stretch of the prefix sum of expected copies holds documents of like size; one offset per
-source in [0, 1), from the source's md5, is added, and a document is emitted once for every integer that its stretch
-of the sum crosses. At most MOST copies are emitted. Nothing is drawn at random at run time, so reruns agree.
+source in [0, 1) is added, and a document is emitted once for every integer that its stretch
+of the sum crosses. At most MOST copies are emitted. The offset is the one of OFFSETS evenly spaced ones, starting at
+the md5, whose words come nearest to the target. Nothing is drawn at random at run time, so reruns agree.
 
 Ranks come from three levels of counts: sizes within a source, blocks of BLOCK doc_ids within a size, rows within a
 block; no task holds more than one block's rows or one level's counts. The table of sources is one row each and is
@@ -21,9 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from journeyline.llm import scratch
+
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BLOCK = 65536
+BLOCK = 8192
+OFFSETS = 32
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -51,40 +55,61 @@ def targets(sizes: DataFrame) -> DataFrame:
                         (F.conv(digits, 16, 10).cast("long") / F.lit(4294967296.0)).alias("offset"))
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"))
-    return _planned(rows)
+def _copies(offset: Column) -> Column:
+    at = F.col("place") * F.col("each") + offset
+    before = (F.col("place") - 1) * F.col("each") + offset
+    return F.least((F.floor(at) - F.floor(before)).cast("long"), F.lit(MOST).cast("long"))
 
 
-def _planned(rows: DataFrame) -> DataFrame:
-    """Adds source_size, target, copies and taken to rows with doc_id, source and size."""
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with doc_id, source and size -> also src, place (rank in the source), each (expected copies), target, offset."""
     rows = rows.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn(
         "block", F.coalesce(F.floor(F.col("doc_id") / BLOCK), F.lit((1 << 63) - 1)))
-    blocks = rows.groupBy("src", "size", "block").agg(F.count(F.lit(1)).alias("n"))
+    narrow = rows.select("source", "src", "size", "block")
+    blocks = narrow.groupBy("src", "size", "block").agg(F.count(F.lit(1)).alias("n"))
     blocks = blocks.withColumn("within", F.sum("n").over(W.partitionBy("src", "size").orderBy("block")) - F.col("n"))
-    by_size = rows.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"))
+    by_size = narrow.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"))
     by_size = by_size.withColumn("below", F.sum("n").over(W.partitionBy("src").orderBy("size")) - F.col("n")).drop("n")
-    by_source = rows.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), F.first("source").alias("source"))
+    by_source = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), F.first("source").alias("source"))
     by_source = targets(by_source.drop("src")).withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).drop("source", "n_docs")
     starts = blocks.join(by_size, ["src", "size"]).join(by_source, "src").drop("n")
     rank = F.row_number().over(W.partitionBy("src", "size", "block").orderBy(F.col("doc_id").asc_nulls_last()))
-    placed = rows.withColumn("rank", rank).join(starts, ["src", "size", "block"])
-    place = F.col("below") + F.col("within") + F.col("rank")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = (F.floor(place * each + F.col("offset")) - F.floor((place - 1) * each + F.col("offset"))).cast("long")
-    copies = F.least(copies, F.lit(MOST).cast("long"))
-    return (placed.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("src", "block", "rank", "below", "within", "offset"))
+    return (rows.withColumn("rank", rank).join(starts, ["src", "size", "block"])
+            .withColumn("place", F.col("below") + F.col("within") + F.col("rank")).withColumn("each", each)
+            .drop("block", "rank", "below", "within"))
+
+
+def _nearest(placed: DataFrame) -> DataFrame:
+    """(src, chosen): each source's offset; OFFSETS sums for each source."""
+    def turned(k: int) -> Column:
+        x = F.col("offset") + F.lit(k / OFFSETS)
+        return F.when(x >= 1, x - 1).otherwise(x)
+
+    sums = placed.groupBy("src").agg(F.first("target").alias("target"), F.first("offset").alias("offset"),
+                                     *[F.sum(_copies(turned(k)) * F.col("size")).alias(f"t{k}") for k in range(OFFSETS)])
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("k"), turned(k).alias("at"))
+                                 for k in range(OFFSETS)]))
+    return sums.select("src", best["at"].alias("chosen"))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")]
+
+
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken for every row."""
+    rows = scratch.save(docs.select(*_sized(docs, id_col, text_col, source_col)), "sizes")
+    placed = scratch.save(_placed(rows), "placed")
+    return (placed.join(_nearest(placed), "src").withColumn("copies", _copies(F.col("chosen")))
+            .withColumn("taken", F.col("copies") * F.col("size"))
+            .select("doc_id", "source", "size", "source_size", "target", "copies", "taken"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the plan takes it."""
-    names = docs.columns
-    whole = F.struct(*[F.col(f"`{c}`") for c in names])
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"), whole.alias("row"))
-    # the counts need no texts: they come from the narrow columns, which Spark prunes to
-    taken = _planned(rows).where("copies > 0")
+    sized = _sized(docs, id_col, text_col, source_col)
+    best = scratch.save(_nearest(_placed(scratch.save(docs.select(*sized), "sizes"))), "offsets")
+    rows = docs.select(*sized, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = _placed(rows).join(best, "src").withColumn("copies", _copies(F.col("chosen"))).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select("row.*")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from journeyline.llm import decontam, minhash, mixing, quality, sharding
+from journeyline.llm import decontam, langid, linededup, minhash, mixing, packing, quality, scratch, sharding, toxicity, warc
 
 ORACLE: dict[str, str] = {}
 
@@ -17,6 +20,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch.root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -25,12 +34,31 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.line_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", "spans", F.crc32(F.col("clean_text").cast("binary")).alias("clean_crc32"),
+                      F.octet_length("clean_text").cast("long").alias("clean_bytes"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_mixing, op4_quality, op6_sharding, op8_decontamination)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(_table(spark, sf_dir, "documents"))
+
+
+def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op3_mixing, op4_quality, op5_toxicity, op6_sharding, op7_line_dedup,
+                                   op8_decontamination, op9_language_id, op10_token_packing)}

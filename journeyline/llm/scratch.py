@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 import journeyline
 
 _CONF = "spark.checkpoint.dir"
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 _SHIPPED: set[str] = set()
 
 

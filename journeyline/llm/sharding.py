@@ -5,8 +5,8 @@ modulo PACKETS, which bounds what the driver places. A group heavier than 1 / HE
 dimensions (there are at most 3 * HEAVY such groups) is a packet of its own, split by doc_id hash in parts below that
 weight, so one text that a third of all documents share can't overfill a shard. Packets are placed from the heaviest
 down, each in the shard where the dot product of its vector with the shards' residual capacities is highest; capacities
-are the means, so a shard that is ahead in one dimension attracts packets that are heavy in the others. The last,
-lightest packets level the bytes (law ``bytes``).
+are the means, so a shard that is ahead in one dimension attracts packets that are heavy in the others. For the
+lighter half of the packets only the bytes count, which levels them (law ``bytes``).
 
 Slots count from 0 in a shard without gaps: packets in the order of placement, blocks of rows by hash within a packet,
 rows by doc_id within a block.
@@ -28,6 +28,7 @@ SHARDS = 16
 PACKETS = 4096
 HEAVY = 1024
 BLOCKS = 64
+LEVEL = np.array([1.0, 0.0, 0.0])
 
 
 def place(weights: np.ndarray, shards: int) -> np.ndarray:
@@ -38,7 +39,8 @@ def place(weights: np.ndarray, shards: int) -> np.ndarray:
     residual = np.ones((shards, weights.shape[1]))
     where = np.zeros(len(unit), np.int64)
     for i, w in enumerate(unit):
-        best = residual @ (w / max(np.linalg.norm(w), 1e-300))
+        aim = w if i < len(unit) // 2 else w * LEVEL
+        best = residual @ (aim / max(np.linalg.norm(aim), 1e-300))
         where[i] = int(np.argmax(np.round(best, 12)))
         residual[where[i]] -= w
     return where

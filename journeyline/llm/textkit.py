@@ -56,7 +56,7 @@ def span_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(U64))
 
 
-def pieces(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Split a string column in row ranges of about ``max_bytes``: (first row, rows, bytes, offsets).
 
     A null has no bytes. A single longer text is its own range, whole.
