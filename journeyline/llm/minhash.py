@@ -134,7 +134,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links (verified links found for the document's node)."""
+    """doc_id, n_shingles, component_id, kept for every row."""
     scratch.prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = scratch.save(texts.mapInArrow(_sketches, SKETCH), "sketch")
@@ -192,12 +192,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")))
     merge(pairs)
 
-    degree = links.distinct().select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    final = (nodes.select("key0", "key1", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
-             .select("key0", "key1", F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    final = (nodes.select("key0", "key1", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+             .select("key0", "key1", F.coalesce("comp", "rep").alias("component_id")))
     linked = F.col("n_shingles") > 0
     keyed = every.select("doc_id", "n_shingles", F.when(linked, F.col("key0")).alias("key0"), F.when(linked, F.col("key1")).alias("key1"))
     return (keyed.join(final, ["key0", "key1"], "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
-            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from journeyline.llm import decontam, langid, linededup, minhash, mixing, packing, quality, scratch, sharding, toxicity, warc
+from journeyline.llm.oracle import ORACLE
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
