@@ -18,6 +18,21 @@ def idiv(a, b) -> Column:
     return F.call_function("div", col(a), b if isinstance(b, Column) else F.lit(b))
 
 
+def exact(c) -> Column:
+    """The integer as DECIMAL(38,0): products and sums of it have no 64-bit bound."""
+    return col(c).cast("decimal(38,0)")
+
+
+def share_of(amount, parts, scale: int) -> Column:
+    """``amount * scale / parts`` rounded half up, exact for every bigint amount (DECIMAL(38,0)).
+
+    Whole parts are scaled as a decimal; only the remainder (less than ``parts``) is scaled in 64 bits."""
+    a, n = col(amount), parts if isinstance(parts, Column) else F.lit(parts).cast("bigint")
+    whole = (idiv(a, n).cast("decimal(19,0)") * F.lit(scale).cast("decimal(18,0)")).cast("decimal(38,0)")
+    rest = idiv((a % n) * (2 * scale) + n, n * 2)
+    return (whole + rest.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def safe_div(a, b) -> Column:
     """NULL instead of an error when the divisor is 0 or NULL; always double."""
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))

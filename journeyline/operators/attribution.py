@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.channels import campaign_identifier, channel_grouping
-from ..functions.numeric import flag, idiv, long_lit, round_to, safe_div, usd_from_micros, usd_from_nanos
+from ..functions.numeric import exact, flag, long_lit, round_to, safe_div, share_of, usd_from_micros, usd_from_nanos
 from .skew import sequence_within
 
 SESSION_ORDER = ["session_start_timestamp", "session_id"]  # ties on start time broken by session_id
@@ -92,12 +92,17 @@ def _credits(df: DataFrame) -> dict[str, Column]:
     return {
         "first_micros": F.when(has & (F.col("is_first_touch") == 1), r).otherwise(long_lit(0)),
         "last_micros": F.when(has & (F.col("is_last_touch") == 1), r).otherwise(long_lit(0)),
-        # linear credit R/n in integer nano-dollars, rounded half up, for exact sums
-        "linear_nanos": F.when(has, idiv(r * 2000 + n, n * 2)).otherwise(long_lit(0)),
+        # linear credit R/n in whole nano-dollars, rounded half up, for exact sums
+        "linear_nanos": F.when(has, share_of(r, n, 1000)).otherwise(exact(F.lit(0))),
         "attribution_rows": F.greatest(k, long_lit(1)),
     }
 
 
+def _pair_weight(c: str, rows: Column) -> Column:
+    """A session's value times its pair rows: their sum grows with the cube of a visitor's sessions."""
+    return exact(F.col(c).cast("decimal(19,0)") * rows.cast("decimal(18,0)"))
+
+
 def int_session_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
     """One row per session with its attribution credit summed over the visitor's conversions."""
     df = with_touch_flags(sequenced_sessions(stg, hot_rows))
@@ -126,9 +131,9 @@ def mart_attribution_analysis(stg: DataFrame, hot_rows: int) -> DataFrame:
         *MART_KEYS, "visitor_id", "session_id", "is_first_touch", "is_last_touch",
         flag(has).alias("has_conv"),
         c["first_micros"].alias("first_micros"), c["last_micros"].alias("last_micros"),
-        c["linear_nanos"].alias("linear_nanos"), w.alias("w"),
-        (F.col("session_sequence") * w).alias("seq_w"),
-        (F.col("total_sessions_per_visitor") * w).alias("n_w"))
+        c["linear_nanos"].alias("linear_nanos"), exact(w).alias("w"),
+        _pair_weight("session_sequence", w).alias("seq_w"),
+        _pair_weight("total_sessions_per_visitor", w).alias("n_w"))
     sums = ["first_micros", "last_micros", "linear_nanos", "w", "seq_w", "n_w"]
     # Distinct counts in three levels: session, visitor, group (see operators/campaign.py).
     per_session = rows.groupBy(*MART_KEYS, "visitor_id", "session_id").agg(

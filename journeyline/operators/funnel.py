@@ -203,11 +203,11 @@ def stage_metrics(df: DataFrame) -> DataFrame:
     w1, w2, w3 = HEALTH_WEIGHTS
     dl, de, dd = (F.col(c) for c in ["dropoff_after_landing_pct", "dropoff_after_engagement_pct",
                                       "dropoff_after_deep_pct"])
-    de0, dd0, dl0 = F.coalesce(de, F.lit(0.0)), F.coalesce(dd, F.lit(0.0)), F.coalesce(dl, F.lit(0.0))
-    stage = (F.when((dl >= de0) & (dl >= dd0), "Landing")
-             .when((de0 >= dl0) & (de0 >= dd0), "Engagement")
-             .when((dd0 >= dl0) & (dd0 >= de0), "Deep Engagement")
-             .otherwise("Multiple"))
+    # the greatest drop-off, the earlier stage on a tie; without sessions at a later stage its drop-off is 0
+    candidates = [(dl, 3, "Landing"), (F.coalesce(de, F.lit(0.0)), 2, "Engagement"),
+                  (F.coalesce(dd, F.lit(0.0)), 1, "Deep Engagement")]
+    stage = F.array_max(F.array(*[F.struct(r.alias("rate"), F.lit(o).alias("turn"), F.lit(s).alias("stage"))
+                                  for r, o, s in candidates]))["stage"]
     health = round_to((F.col("landing_to_engagement_rate") * 100) * w1 + (F.col("engagement_to_deep_rate") * 100) * w2
                       + (F.col("deep_to_conversion_rate") * 100) * w3, 1)
     return df.withColumns({"primary_dropoff_stage": stage, "funnel_health_score": health})

@@ -2,8 +2,8 @@
 cohort retention (R4), daily trend (R5), RFM segments (R6) and days to conversion (R7).
 
 Position-based credit is a fixed share of the visitor's converting revenue R per session
-position, computed in integer nano-dollars (R in micros x 1000, rounded half up) so sums are
-exact. Per-visitor figures come from the skew-safe session sequence (operators/skew.py).
+position, computed in whole nano-dollars (R in micros x 1000, rounded half up) as decimals so sums
+are exact. Time-decay weights and credits are rounded to decimals before they are summed. Per-visitor figures come from the skew-safe session sequence (operators/skew.py).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.channels import campaign_identifier, channel_grouping
-from ..functions.numeric import idiv, long_lit, round_to, safe_div, share_pct, usd_from_micros, usd_from_nanos
+from ..functions.numeric import exact, idiv, long_lit, round_to, safe_div, share_of, share_pct, usd_from_micros, usd_from_nanos
 from .attribution import MART_KEYS, sequenced_sessions
 from .skew import global_rank, join_per_key, ntile_of_rank
 
@@ -23,16 +23,14 @@ HALF_LIFE_DAYS = 7.0
 
 
 def _share_nanos(r: Column, percent: int, parts) -> Column:
-    """round_half_up(R_micros * 1000 * percent/100 / parts) as bigint nano-dollars."""
-    num = r * (10 * percent)
-    parts = parts if isinstance(parts, Column) else F.lit(parts)
-    return idiv(num * 2 + parts, parts * 2)
+    """round_half_up(R_micros * 1000 * percent/100 / parts) as DECIMAL(38,0) nano-dollars."""
+    return share_of(r, parts, 10 * percent)
 
 
 def _u_shaped(r, seq, n) -> Column:
     first, middle, last = U_SHAPE
-    return (F.when(n == 1, r * 1000)
-            .when(n == 2, r * 500)
+    return (F.when(n == 1, _share_nanos(r, 100, 1))
+            .when(n == 2, _share_nanos(r, 50, 1))
             .when(seq == 1, _share_nanos(r, first, 1))
             .when(seq == n, _share_nanos(r, last, 1))
             .otherwise(_share_nanos(r, middle, n - 2)))
@@ -41,8 +39,8 @@ def _u_shaped(r, seq, n) -> Column:
 def _w_shaped(r, seq, n) -> Column:
     first, middle, last, others = W_SHAPE
     mid = idiv(n + 1, 2)
-    return (F.when(n == 1, r * 1000)
-            .when(n == 2, r * 500)
+    return (F.when(n == 1, _share_nanos(r, 100, 1))
+            .when(n == 2, _share_nanos(r, 50, 1))
             .when(n == 3, _share_nanos(r, 100, 3))
             .when(seq == 1, _share_nanos(r, first, 1))
             .when(seq == n, _share_nanos(r, last, 1))
@@ -63,7 +61,7 @@ def u_shaped_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
     (one session: 100 %, two sessions: 50 / 50)."""
     s = sequenced_sessions(stg, hot_rows)
     r, seq, n = F.col("conversion_micros"), F.col("session_sequence"), F.col("total_sessions_per_visitor")
-    return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _u_shaped(r, seq, n)).otherwise(long_lit(0)),
+    return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _u_shaped(r, seq, n)).otherwise(exact(F.lit(0))),
                         "u_shaped_revenue")
 
 
@@ -72,23 +70,25 @@ def w_shaped_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
     (one session: 100 %, two: 50 / 50, three: a third each)."""
     s = sequenced_sessions(stg, hot_rows)
     r, seq, n = F.col("conversion_micros"), F.col("session_sequence"), F.col("total_sessions_per_visitor")
-    return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _w_shaped(r, seq, n)).otherwise(long_lit(0)),
+    return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _w_shaped(r, seq, n)).otherwise(exact(F.lit(0))),
                         "w_shaped_revenue")
 
 
 def time_decay_attribution(stg: DataFrame, hot_rows: int, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
     """Credit proportional to 2^(-days before the visitor's last session / half-life)."""
     s = sequenced_sessions(stg, hot_rows)
-    s = s.withColumn("_w", F.pow(F.lit(2.0), -F.datediff("visitor_last_date", "session_date") / half_life_days))
+    s = s.withColumn("_w", F.pow(F.lit(2.0), -F.datediff("visitor_last_date", "session_date") / half_life_days)
+                     .cast("decimal(20,18)"))
     totals = s.groupBy("visitor_id").agg(F.sum("_w").alias("_w_total"), F.count(F.lit(1)).alias("_rows"))
     s = join_per_key(s, totals, "visitor_id", "_rows", hot_rows)
     credit = F.when(F.col("visitor_conversions") > 0,
-                    usd_from_micros("conversion_micros") * (F.col("_w") / F.col("_w_total"))).otherwise(F.lit(0.0))
+                    usd_from_micros("conversion_micros")
+                    * (F.col("_w").cast("double") / F.col("_w_total").cast("double"))).otherwise(F.lit(0.0)).cast("decimal(28,9)")
     g = s.select(*MART_KEYS, credit.alias("_credit")).groupBy(*MART_KEYS).agg(
         F.count(F.lit(1)).alias("sessions"), F.sum("_credit").alias("_credit"))
     return g.select(*MART_KEYS, campaign_identifier().alias("campaign_identifier"),
                     channel_grouping(full=False).alias("channel_grouping"), "sessions",
-                    round_to(F.col("_credit"), 2).alias("time_decay_revenue"))
+                    round_to(F.col("_credit").cast("double"), 2).alias("time_decay_revenue"))
 
 
 def cohort_retention(stg: DataFrame, hot_rows: int) -> DataFrame:
@@ -130,7 +130,7 @@ def daily_trend(stg: DataFrame) -> DataFrame:
 
 def days_to_conversion(stg: DataFrame) -> DataFrame:
     """Days from a converting visitor's first session to their first conversion."""
-    v = stg.groupBy("visitor_id").agg(
+    v = stg.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id").agg(
         F.min("session_date").alias("first_date"),
         F.min(F.when(F.col("is_converted") == 1, F.col("session_date"))).alias("first_conversion_date"))
     days = v.where(F.col("first_conversion_date").isNotNull()).select(
@@ -148,6 +148,7 @@ def rfm_segments(stg: DataFrame) -> DataFrame:
     per score cell. Each NTILE is an exact distributed rank (operators/skew.global_rank)
     ordered by the measure and then ``visitor_id``, so ties split the same way every run."""
     micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
+    stg = stg.where(F.col("visitor_id").isNotNull())  # a NULL visitor is not a visitor
     per_session = stg.groupBy("visitor_id", "session_id").agg(F.max("session_date").alias("d"),
                                                               F.sum(micros).alias("_rev"))
     v = per_session.groupBy("visitor_id").agg(F.max("d").alias("last_date"), F.count(F.lit(1)).alias("frequency"),
@@ -191,7 +192,7 @@ def kmeans_segments(stg: DataFrame, k: int = 4, seed: int = 7, max_iter: int = 1
 
     from .funnel import funnel_sessions, visitor_totals
 
-    v = visitor_totals(funnel_sessions(stg)).select(
+    v = visitor_totals(funnel_sessions(stg.where(F.col("visitor_id").isNotNull()))).select(
         "visitor_id",
         F.col("total_sessions").cast("double").alias("sessions"),
         F.col("reached_engagement").cast("double").alias("engaged_sessions"),
@@ -204,6 +205,7 @@ def kmeans_segments(stg: DataFrame, k: int = 4, seed: int = 7, max_iter: int = 1
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
         KMeans(featuresCol="_features", predictionCol="segment", k=k, seed=seed, maxIter=max_iter),
     ]).fit(v)
+    v.unpersist()
     scored = model.transform(v)
     return scored.groupBy("segment").agg(
         F.count(F.lit(1)).alias("visitors"), *[F.round(F.avg(c), 4).alias(f"avg_{c}") for c in SEGMENT_FEATURES])

@@ -16,7 +16,7 @@ from .funnel import visitor_totals, funnel_sessions
 
 # Dwell-time buckets (seconds, left-closed) and benchmark bands.
 DWELL_BUCKETS = [(0, "0-30s"), (30, "30-60s"), (60, "1-3min"), (180, "3-5min"), (300, "5-10min"), (600, "10min+")]
-# (column, lower edges of the bands in ascending order, labels for each band)
+# (column, edges of the bands in ascending order, labels for each band); the last band starts beyond its edge
 BENCHMARK_BANDS = [
     ("bounce_rate_pct", [30, 50, 70], ["Excellent", "Good", "Average", "Poor"]),
     ("conversion_rate_pct", [1, 2, 3], ["Poor", "Average", "Good", "Excellent"]),
@@ -27,18 +27,19 @@ BENCHMARK_BANDS = [
 PAGE_DEPTHS = [3, 5]
 
 
-def band(c, edges, labels) -> Column:
-    """Label of the left-closed band [edge_i, edge_i+1) that holds the value; NULL stays NULL."""
+def band(c, edges, labels, last_beyond: bool = False) -> Column:
+    """Label of the left-closed band [edge_i, edge_i+1) that holds the value; NULL stays NULL.
+    With ``last_beyond`` the last band holds only values greater than the last edge."""
     value = F.col(c) if isinstance(c, str) else c
     rule = F.when(value.isNull(), F.lit(None).cast("string"))
     for edge, label in zip(edges, labels):
-        rule = rule.when(value < edge, label)
+        rule = rule.when(value <= edge if last_beyond and edge == edges[-1] else value < edge, label)
     return rule.otherwise(labels[-1])
 
 
 def new_vs_returning(stg: DataFrame) -> DataFrame:
     """M1: visitors with one session (New) vs more (Returning)."""
-    v = visitor_totals(funnel_sessions(stg))
+    v = visitor_totals(funnel_sessions(stg)).where(F.col("visitor_id").isNotNull())
     kind = F.when(F.col("total_sessions") == 1, "New").otherwise("Returning")
     g = v.groupBy(kind.alias("visitor_type")).agg(
         F.count(F.lit(1)).alias("visitors"), F.sum("total_sessions").alias("sessions"),
@@ -102,8 +103,8 @@ def cost_per_session(campaign_mart: DataFrame) -> DataFrame:
 
 
 def exit_distribution(stg: DataFrame) -> DataFrame:
-    """M8: where non-converting sessions leave the funnel."""
-    g = (funnel_sessions(stg).where(F.col("funnel_exit_stage") != "converted")
+    """M8: where sessions that do not convert leave the funnel (a converted bounce is no exit)."""
+    g = (funnel_sessions(stg).where(F.col("is_converted") == 0)
          .groupBy("funnel_exit_stage").agg(F.count(F.lit(1)).alias("exits")))
     return g.withColumn("share_of_exits_pct", share_pct("exits"))
 
@@ -113,7 +114,7 @@ def benchmark_bands(campaign_mart: DataFrame) -> DataFrame:
     keys = ["traffic_source", "traffic_medium", "campaign_name", "device_category"]
     return campaign_mart.select(
         *keys, "channel_grouping",
-        *[band(c, edges, labels).alias(f"{c}_band") for c, edges, labels in BENCHMARK_BANDS])
+        *[band(c, edges, labels, last_beyond=True).alias(f"{c}_band") for c, edges, labels in BENCHMARK_BANDS])
 
 
 def country_metrics(stg: DataFrame) -> DataFrame:

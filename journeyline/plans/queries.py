@@ -24,8 +24,6 @@ from ..session import hot_key_rows
 from ..sources.events_adapter import load_raw_sessions
 from ..sources.raw_sessions import shard_range
 
-# Shard range covering the adapter's whole month of test data.
-SHARD_START, SHARD_END = "20240101", "20240131"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,8 +61,7 @@ def release_models(spark: SparkSession) -> int:
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        raw = shard_range(load_raw_sessions(spark, sf_dir), SHARD_START, SHARD_END)
-        return stg_sessions(raw)
+        return stg_sessions(load_raw_sessions(spark, sf_dir))
     return model(spark, sf_dir, "stg_ga_sessions", build)
 
 

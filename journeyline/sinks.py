@@ -48,7 +48,8 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
     if bucket_by:
         buckets, column = bucket_by
         table = f"{domain}_{name}_{zlib.crc32(path.encode()):08x}"  # same folder -> same catalog name
-        out.write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+        # one shuffle by the bucket column, so that each bucket is one file
+        out.repartition(buckets, column).write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
         return spark.table(table)
     if partition_by:
         # Group rows by partition value (few files per directory); adaptive execution splits

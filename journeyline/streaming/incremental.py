@@ -26,12 +26,13 @@ from ..sources.raw_sessions import read_sessions
 
 
 def refresh_days(spark: SparkSession, raw_path: str, daily_path: str, mart_path: str, days: list[str],
-                 start: str, end: str) -> None:
-    """Recompute the given yyyyMMdd days of the daily table, then rebuild the mart."""
-    days = sorted(d for d in days if start <= d <= end)
+                 start: str | None = None, end: str | None = None) -> None:
+    """Recompute the given yyyyMMdd days of the daily table, then rebuild the mart. A bound that is not
+    given holds back no day."""
+    days = sorted(d for d in days if (start is None or start <= d) and (end is None or d <= end))
     if not days:
         return
-    raw = read_sessions(spark, raw_path, start, end).where(F.col("date").isin(days))
+    raw = read_sessions(spark, raw_path, days[0], days[-1]).where(F.col("date").isin(days))
     daily = daily_campaign_metrics(stg_sessions(raw))
     (daily.hint("rebalance", "session_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("session_date").parquet(daily_path))
@@ -39,9 +40,10 @@ def refresh_days(spark: SparkSession, raw_path: str, daily_path: str, mart_path:
     mart_from_daily(stored).write.mode("overwrite").parquet(mart_path)
 
 
-def start_campaign_refresh(spark: SparkSession, raw_path: str, out_path: str, start: str = "20170701",
-                           end: str = "20170731", checkpoint: str | None = None, available_now: bool = False):
-    """Start the stream; returns the StreamingQuery. ``available_now`` processes what exists and stops."""
+def start_campaign_refresh(spark: SparkSession, raw_path: str, out_path: str, start: str | None = None,
+                           end: str | None = None, checkpoint: str | None = None, available_now: bool = False):
+    """Start the stream; returns the StreamingQuery. Every day that lands is refreshed unless ``start`` or
+    ``end`` (yyyyMMdd, inclusive) says otherwise. ``available_now`` processes what exists and stops."""
     daily_path, mart_path = f"{out_path}/campaign_daily", f"{out_path}/mart_campaign_performance"
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/journeyline/campaign_refresh"
 
