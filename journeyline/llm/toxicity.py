@@ -44,6 +44,7 @@ RIDGE = 0.05
 
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+_STEM = "*"
 _WORD = "[a-z0-9\\x{80}-\\x{10FFFF}]+"
 
 
@@ -231,14 +232,15 @@ def learned_terms(sample: DataFrame) -> list[tuple[str, bool]]:
     if not bad or not good:
         return []
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
+    # a form is a whole word, or a stem and a mark that no word holds: strings are made distinct by hashing, structs pair by pair
     forms = F.flatten(F.transform(found, lambda w: F.array(
-        F.struct(w.alias("word"), F.lit(False).alias("stem")),
-        *[F.struct(F.when(F.length(w) > k, F.substring(w, 1, k)).alias("word"), F.lit(True).alias("stem")) for k in STEMS])))
-    each = sample.select("toxic", F.explode(F.array_distinct(forms)).alias("form")).where("form.word is not null and length(form.word) > 3")
+        w, *[F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit(_STEM))) for k in STEMS])))
+    each = sample.select("toxic", F.explode(F.array_distinct(forms)).alias("form")).where("form is not null")
     sums = each.groupBy("form").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
+    sums = sums.select("a", "n", F.rtrim(F.col("form"), F.lit(_STEM)).alias("word"), F.endswith("form", F.lit(_STEM)).alias("stem")).where("length(word) > 3")
     odds = F.log((F.col("a") + 0.5) / bad) - F.log((F.col("n") - F.col("a") + 0.5) / good)
     rows = (sums.where(F.col("a") >= LEAST_DOCS).withColumn("odds", odds).where("odds > 2")
-            .withColumn("rank", F.col("odds") * F.sqrt("a")).orderBy(F.col("rank").desc(), "form").limit(4 * LEARNED).select("form.word", "form.stem").collect())
+            .withColumn("rank", F.col("odds") * F.sqrt("a")).orderBy(F.col("rank").desc(), "word", "stem").limit(4 * LEARNED).select("word", "stem").collect())
     chosen: list[tuple[str, bool]] = []
     for r in rows:
         covered = any(s and r.word.startswith(w) or w == r.word for w, s in chosen)
