@@ -45,7 +45,7 @@ RIDGE = 0.05
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _STEM = "*"
-_WORD = "[a-z0-9\\x{80}-\\x{10FFFF}]+"
+_WORD = "[a-z0-9\\x{C0}-\\x{1FFF}\\x{2080}-\\x{10FFFF}]+"
 
 
 @dataclass
@@ -141,6 +141,10 @@ class Automaton:
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     low = textkit.lowered(data)
     plain = np.where(_TOKEN[low], low, 32).astype(np.uint8)
+    # Latin-1 signs (C2 xx) and general punctuation, curly quotes among it (E2 80 xx, E2 81 xx), hold no letters
+    two = np.flatnonzero(low == 0xC2)
+    three = np.flatnonzero((low[:-2] == 0xE2) & ((low[1:-1] == 0x80) | (low[1:-1] == 0x81)))
+    plain[np.concatenate((two, two + 1, three, three + 1, three + 2))] = 32
     return plain, *textkit.words(plain, offsets)
 
 
