@@ -65,7 +65,7 @@ def sequence_within(df: DataFrame, key: str, order_cols: list[str], hot_rows: in
 
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col),
                                   *[expr.alias(name) for name, expr in key_aggs.items()])
-    # At most total_rows / hot_rows keys: a proven bound, so this table is broadcast.
+    # At most total_rows / hot_rows keys: this table is broadcast; the bound grows with the rows.
     # Joins on the key are null-safe: a NULL key is one group (as in PARTITION BY) and may be hot.
     hot = per_key.where(F.col(count_col) > hot_rows)
     tagged = _null_safe_join(df, hot.select(key).withColumn("_hot", F.lit(True)), [key], "left", broadcast=True)
