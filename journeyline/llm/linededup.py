@@ -1,7 +1,7 @@
 """Operator 7: global removal of repeated multi-line chunks with content-defined boundaries.
 
-Every line is hashed; a rolling hash over the last ROLL line hashes of a text ends a chunk where it is 0 modulo
-DIVISOR, so boundaries depend on the nearby lines alone and shift with them. A chunk of at least two lines (one of them
+Every line is hashed; a rolling hash over the last ROLL line hashes of a text ends a chunk where the window is full and
+the hash 0 modulo DIVISOR, so boundaries depend on the nearby lines alone and shift with them. A chunk of at least two lines (one of them
 with a word) that occurs elsewhere, in this text or another, is removed everywhere but at its first place: the least
 (doc_id, chunk number), null doc_ids last.
 
@@ -45,9 +45,9 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     number = np.arange(len(row)) - np.searchsorted(row, row, "left")
     rolled = h.copy()
     for k in range(1, ROLL):
-        before = np.concatenate((np.zeros(k, np.uint64), h[:-k]))
-        rolled ^= np.where(number >= k, textkit.mix(before, k), np.uint64(0))
-    cut = (textkit.mix(rolled, _SEED) % np.uint64(DIVISOR) == 0) | ends_row
+        rolled ^= textkit.mix(np.concatenate((np.zeros(k, np.uint64), h[:-k])), k)
+    # only full windows choose a boundary, so the lines around a passage change its first and last chunk at most
+    cut = ((textkit.mix(rolled, _SEED) % np.uint64(DIVISOR) == 0) & (number >= ROLL - 1)) | ends_row
     stop = np.flatnonzero(cut)
     start = np.concatenate(([0], stop[:-1] + 1)) if len(stop) else stop
     s, e = begin[start], last[stop]
