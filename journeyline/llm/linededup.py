@@ -86,11 +86,12 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = F.struct("doc_id", "nth")
     ends = texts.mapInArrow(_chunked(False), _CHUNK).groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     shared = scratch.save(ends.where("low <> high").select("hash"), "hashes")
-    # the bytes of those chunks alone
-    found = scratch.save(texts.mapInArrow(_chunked(True), _CHUNK + ", chunk binary").join(shared, "hash"), "chunks")
+    # the bytes of those chunks alone; merge joins at every size, as these tables grow with the documents
+    found = scratch.save(texts.mapInArrow(_chunked(True), _CHUNK + ", chunk binary").join(shared.hint("merge"), "hash"), "chunks")
     same = found.groupBy("hash", "chunk").agg(F.min(place).alias("kept"), F.max(place).alias("high")).where("kept <> high")
-    same = same.select(F.col("hash").alias("h"), F.col("chunk").alias("c"), "kept")
-    return (found.join(same, (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("c"))).where("not (doc_id = kept.doc_id and nth = kept.nth)")
+    # stored, so that the join deals both sides out itself and can split a hot chunk
+    same = scratch.save(same.select(F.col("hash").alias("h"), F.col("chunk").alias("c"), "kept"), "kept")
+    return (found.join(same.hint("merge"), (F.col("hash") == F.col("h")) & (F.col("chunk") == F.col("c"))).where("not (doc_id = kept.doc_id and nth = kept.nth)")
             .select("doc_id", "nth", "first_line", "n_lines", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.nth").alias("kept_nth")).distinct())
 
 
@@ -102,7 +103,7 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spans = scratch.save(spans, "spans")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
-    return rows.join(spans, F.col("doc_id") == F.col("its_id"), "left")
+    return rows.join(spans.hint("merge"), F.col("doc_id") == F.col("its_id"), "left")
 
 
 def _cleaned() -> Column:
