@@ -44,7 +44,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.line_dedup(_table(spark, sf_dir, "documents"))
+    out = linededup.passage_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", "spans", F.crc32(F.col("clean_text").cast("binary")).alias("clean_crc32"),
                       F.octet_length("clean_text").cast("long").alias("clean_bytes"))
 

@@ -134,3 +134,57 @@ def test_packed_rows_decode_to_the_texts(spark):
         else:
             assert sum(len(ids) for _, ids in parts[doc]) == sum(len(enc.encode_ordinary(t)) for t in texts)
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def earlier_runs(rows, least=50):
+    """Lines of runs of ``least`` words that stand at an earlier place, by comparing all pairs of equal lines; no chunks, no hashes."""
+    docs = sorted({(r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None})
+    at, gone = defaultdict(list), defaultdict(set)
+    split = [t.split("\n") for _, t in docs]
+    for d, lines in enumerate(split):
+        for i, line in enumerate(lines):
+            for e, j in at[line] if words(line) else ():
+                n = 0
+                while i + n < len(lines) and j + n < len(split[e]) and lines[i + n] == split[e][j + n]:
+                    n += 1
+                if sum(len(words(x)) for x in lines[i:i + n]) >= least:
+                    gone[docs[d]].update(k for k in range(i, i + n) if words(lines[k]))
+            at[line].append((d, i))
+    return gone
+
+
+def test_every_repeated_run_goes_and_its_first_place_stays(spark):
+    rng = random.Random(21)
+    line = lambda n: prose(rng, n).replace("\n", " ")
+    rows = awkward()
+    for k, passage in enumerate(([line(50)], [line(30), line(25)], [line(20), "", line(20), line(20)], [line(12) for _ in range(5)], [line(9) for _ in range(14)])):
+        for i in range(4):
+            rows.append((8000 + 10 * k + i, "\n".join([line(8), line(70), *passage, line(6), line(60)]), None, None, 0, "", 0, 0, ""))
+    short = line(49)
+    rows += [(8100 + i, f"{line(5)}\n{short}\n{line(5)}", None, None, 0, "", 0, 0, "") for i in range(3)]
+    loop = line(30)
+    rows.append((8200, "\n".join([loop] * 5), None, None, 0, "", 0, 0, ""))
+    want = earlier_runs(rows)
+    assert all(len([x for x in want[r[0], r[1]]]) for r in rows if 8000 <= (r[0] or 0) < 8050 and r[0] % 10)
+    got = linededup.passage_dedup(table(spark, rows)).collect()
+    texts = defaultdict(list)
+    for r in got:
+        texts[r.doc_id].append(r)
+    left = Counter(x for r in got if r.clean_text is not None for x in set(r.clean_text.split("\n")))
+    for doc_id, text in {(r[0], r[1]) for r in rows}:
+        lines = None if text is None else text.split("\n")
+        gone = None
+        for r in texts[doc_id]:
+            mine = {x for s in r.spans or () for x in range(s.first_line, s.first_line + s.n_lines)}
+            assert len(mine) == r.n_removed_lines == sum(s.n_lines for s in r.spans or ())
+            if lines is not None and r.clean_text == "\n".join(x for k, x in enumerate(lines) if k not in mine) and len(lines) == r.n_lines:
+                gone = mine
+        if lines is None or doc_id is None:
+            assert all(not r.n_removed_lines for r in texts[doc_id])
+        else:
+            assert gone is not None and want[doc_id, text] <= gone
+            assert all(left[lines[k]] for k in gone)  # each line that went stands somewhere
+    assert all(not r.n_removed_lines for r in got if r.doc_id is not None and 8100 <= r.doc_id < 8103)
+    out = linededup.remove_passages(table(spark, rows))
+    assert out.columns == table(spark, rows).columns and Counter((r.doc_id, r.text) for r in out.collect()) == Counter((r.doc_id, r.clean_text) for r in got)
+    assert linededup.passage_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
