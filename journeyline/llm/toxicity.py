@@ -2,9 +2,9 @@
 
 Lexicon. SEEDS and terms learned from labelled training texts: whole words, and word beginnings of STEMS letters
 (insults are often compounded), that toxic texts hold far more often than others, at most LEARNED terms. The terms form
-a trie; intersecting it with the Levenshtein automata (one edit, for whole words of EDIT_FROM bytes or more; stems and
-shorter words exact) and determinising gives one table of transitions on bytes, which all words of a batch walk at
-once. Edits are counted in bytes of the lower-cased word, so a letter outside ASCII counts as two.
+a trie; intersecting it with the Levenshtein automata (one edit, for terms of EDIT_FROM bytes or more; shorter ones
+exact) and determinising gives one table of transitions on bytes, which all words of a batch walk at once. A stem accepts
+a word of which some beginning is within one edit of it. A stem stands for longer stems, never for a whole word. Edits are counted in bytes of the lower-cased word, so a letter outside ASCII counts as two.
 
 Context. A hit within quotation marks, or with a reporting word among the WINDOW words on either side, counts for less;
 one with a word of address there for more. The score is a logistic function of the weighted hits of each term, of all
@@ -59,13 +59,14 @@ class Automaton:
     longest: int
 
     @staticmethod
-    def build(terms: list[tuple[str, bool]]) -> Automaton:
-        """``terms``: (word, whether it stands for all words that begin with it)."""
+    def build(terms: list[tuple[str, bool]], stem_edits: bool = False) -> Automaton:
+        """``terms``: (word, whether it stands for all words that begin with it); ``stem_edits``: such terms take an edit, too."""
         children, ends = [{}], [(-1, -1)]  # the trie; term that ends here as a whole word, as a stem
         deep = [False]  # whether a term with edits lies below
         spelled = [t.encode() for t, _ in terms]
+        terms_fuzzy = [(stem_edits or not stem) and len(w) >= EDIT_FROM for w, (_, stem) in zip(spelled, terms)]
         for k, (word, (_, stem)) in enumerate(zip(spelled, terms)):
-            at, fuzzy = 0, not stem and len(word) >= EDIT_FROM
+            at, fuzzy = 0, terms_fuzzy[k]
             deep[0] |= fuzzy
             for b in word:
                 if b not in children[at]:
@@ -89,22 +90,27 @@ class Automaton:
             out = set()
             for n, e in state:
                 if n < 0:
-                    out.add((n, e))  # within a word that begins with a stem
+                    out.add((n, e))  # within a word that begins with a stem, e edits off
                     continue
                 if byte in children[n] and (e == 0 or deep[children[n][byte]]):
                     out.add((children[n][byte], e))
                 if e == 0 and deep[n]:
                     out.add((n, 1))  # an insertion
                     out.update((c, 1) for b, c in children[n].items() if deep[c] and b != byte)  # a substitution
-            stems = {(-1 - ends[n][1], 0) for n, e in out if n >= 0 and e == 0 and ends[n][1] >= 0}
-            return closed(out | stems) if out else frozenset()
+            out = closed(out)
+            stems = {(e, ends[n][1]) for n, e in out if n >= 0 and ends[n][1] >= 0 and (e == 0 or terms_fuzzy[ends[n][1]])}
+            stems |= {(e, -1 - n) for n, e in out if n < 0}
+            # the best stem alone can count; where it is exact, nothing that is an edit off can
+            if not stems:
+                return out
+            least, k = min(stems)
+            return frozenset({(n, e) for n, e in out if n >= 0 and e <= least} | {(-1 - k, least)})
 
         def accepted(state: frozenset) -> tuple[int, int]:
             found = [(e, 0, ends[n][0]) for n, e in state if n >= 0 and ends[n][0] >= 0 and (e == 0 or terms_fuzzy[ends[n][0]])]
-            found += [(0, 1, -1 - n) for n, _ in state if n < 0]
+            found += [(e, 1, -1 - n) for n, e in state if n < 0]
             return (min(found)[2], min(found)[0]) if found else (-1, 0)
 
-        terms_fuzzy = [not stem and len(w) >= EDIT_FROM for w, (_, stem) in zip(spelled, terms)]
         start = closed({(0, 0)})
         ids, todo, step = {frozenset(): 0, start: 1}, [start], [[0] * (len(letters) + 1), []]
         while todo:
@@ -230,7 +236,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def learned_terms(sample: DataFrame) -> list[tuple[str, bool]]:
-    """The terms whose documents are toxic most plainly; at most LEARNED, at least LEAST_DOCS toxic documents each."""
+    """The terms whose documents are toxic most plainly; at most LEARNED and the whole words among their stems', at least LEAST_DOCS toxic documents each."""
     counts = sample.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = int(counts.bad or 0), int((counts.n or 0) - (counts.bad or 0))
     if not bad or not good:
@@ -246,10 +252,12 @@ def learned_terms(sample: DataFrame) -> list[tuple[str, bool]]:
     rows = (sums.where(F.col("a") >= LEAST_DOCS).withColumn("odds", odds).where("odds > 2")
             .withColumn("rank", F.col("odds") * F.sqrt("a")).orderBy(F.col("rank").desc(), "word", "stem").limit(4 * LEARNED).select("word", "stem").collect())
     chosen: list[tuple[str, bool]] = []
+    count = 0  # a whole word that a stem stands for, too, takes its edits along and no other term's place
     for r in rows:
-        covered = any(s and r.word.startswith(w) or w == r.word for w, s in chosen)
-        if not covered and len(chosen) < LEARNED:
+        covered = any(s and r.word.startswith(w) for w, s in chosen)
+        if not covered and count < LEARNED or covered and not r.stem:
             chosen.append((r.word, r.stem))
+            count += not covered
     return chosen
 
 
@@ -274,8 +282,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     spark = scratch.prepare(docs.sparkSession)
     sample = scratch.save(training_sample(docs, labels, id_col, text_col), "sample")
     terms = [(w, False) for w in SEEDS]
-    terms += [t for t in learned_terms(sample) if t[0] not in SEEDS]
-    automaton = Automaton.build(terms)
+    terms += [t for t in learned_terms(sample) if t not in terms]
+    automaton = Automaton.build(terms, stem_edits=True)
     weights = fit(*_feature_rows(sample, automaton, len(terms)), len(terms))
     shared = spark.sparkContext.broadcast((automaton, weights))
 

@@ -71,3 +71,38 @@ def test_awkward_rows_without_labels(spark):
     assert toxicity.toxicity(spark.createDataFrame([], SCHEMA), none).count() == 0
     odd = spark.createDataFrame([(None, 1, 1), (0, 1, None), (0, 1, 1), (0, 1, 0), (77, 0, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity(table(spark, rows), odd).count() == len(rows)
+
+
+def test_stems_take_an_edit():
+    terms = [("idiot", True), ("idiotic", False), ("worth", True), ("worthless", False), ("éclat", True), ("scum", True)]
+    a = toxicity.Automaton.build(terms, stem_edits=True)
+    rng = np.random.default_rng(2)
+    forms = [t[:i] + c + t[i + d:] + more for t, _ in terms for i in range(len(t) + 1) for c in ("", "q", "o", "é") for d in (0, 1) for more in ("", "s", "hood")]
+    forms += ["".join(rng.choice(list("idotwrhlescué"), rng.integers(1, 9))) for _ in range(3000)]
+    forms = [f for f in forms if f]
+    for i, rows, data, offsets in textkit.pieces(pa.array(forms)):
+        hit, term, edits = a.match(data, offsets[:-1], offsets[1:])
+        found = dict(zip(hit.tolist(), zip(term.tolist(), edits.tolist())))
+        for k in range(rows):
+            word, best = forms[i + k].encode(), []
+            for n, (t, stem) in enumerate(terms):
+                d = min(distance(word[:m], t.encode()) for m in (range(len(word) + 1) if stem else [len(word)]))
+                if d == 0 or d == 1 and len(t.encode()) >= toxicity.EDIT_FROM:
+                    best.append((d, stem, n))
+            assert found.get(k) == ((min(best)[2], min(best)[0]) if best else None), forms[i + k]
+
+
+def learned_from(spark, term):
+    rows = [(i, f"plain words number {i} stand here" + (f" with {term} in it" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    rows += [(1000, "plain words stand here with gruxsomely in it", 0), (1001, "plain words stand here with grusomelyst in it", 0), (1002, "plain words stand here", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return df.select("doc_id", "text"), df.where("doc_id < 1000").select("doc_id", "toxic")
+
+
+def test_misspelt_learned_terms_are_found(spark):
+    docs, labels = learned_from(spark, "gruesomely")
+    assert "gruesomely" not in toxicity.SEEDS
+    terms = toxicity.learned_terms(docs.join(labels, "doc_id").select("text", "toxic"))
+    assert ("gruesomely", False) in terms and any(stem and "gruesomely".startswith(w) for w, stem in terms)
+    score = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    assert score[1000] > score[1002] and score[1001] > score[1002]
