@@ -2,14 +2,17 @@
 
 Documents with equal texts form a group, and groups are gathered in packets: a group's packet is its text's hash
 modulo PACKETS, which bounds what the driver places. A group heavier than 1 / HEAVY of the whole in any of the three
-dimensions (there are at most 3 * HEAVY such groups) is a packet of its own, split by doc_id hash in parts below that
-weight, so one text that a third of all documents share can't overfill a shard. Packets are placed from the heaviest
-down, each in the shard where the dot product of its vector with the shards' residual capacities is highest; capacities
-are the means, so a shard that is ahead in one dimension attracts packets that are heavy in the others. For the
-lighter half of the packets only the bytes count, which levels them (law ``bytes``).
+dimensions (there are at most 3 * HEAVY such groups) is a packet of its own, whole where it fits in a shard: only a group
+above a shard's capacity, the mean, in some dimension is split, by doc_id hash in as few parts as capacities hold, so one
+text that a third of all documents share can't overfill a shard. Packets are placed from the heaviest down, by
+their largest share in a dimension, each in the shard where the dot product of its vector with the shards' residual capacities is highest; capacities
+are the means, so a shard that is ahead in one dimension attracts packets that are heavy in the others. Only shards count
+that the packet leaves at or below the level of bytes to which the packets still to come can fill all others; where
+there is none, the packet goes to the shard with the fewest bytes. So bytes come out level (law ``bytes``), and all
+packets are placed by all three dimensions.
 
 Slots count from 0 in a shard without gaps: packets in the order of placement, blocks of rows by hash within a packet,
-rows by doc_id within a block.
+rows by doc_id within a block. A heavy packet has so many more blocks that none holds more than in a light one.
 
 Null texts have no bytes, size 1 and one common group, with the CRC of no bytes (0); null doc_ids sort last; repeated
 rows take a slot each. No rows in give no rows out; ``shard`` keeps all other columns.
@@ -28,7 +31,6 @@ SHARDS = 16
 PACKETS = 4096
 HEAVY = 1024
 BLOCKS = 64
-LEVEL = np.array([1.0, 0.0, 0.0])
 
 
 def place(weights: np.ndarray, shards: int) -> np.ndarray:
@@ -38,10 +40,14 @@ def place(weights: np.ndarray, shards: int) -> np.ndarray:
     unit = weights / scale
     residual = np.ones((shards, weights.shape[1]))
     where = np.zeros(len(unit), np.int64)
+    held, left = np.zeros(shards), unit[:, 0].sum()
     for i, w in enumerate(unit):
-        aim = w if i < len(unit) // 2 else w * LEVEL
-        best = residual @ (aim / max(np.linalg.norm(aim), 1e-300))
-        where[i] = int(np.argmax(np.round(best, 12)))
+        level = ((left + np.cumsum(np.sort(held))) / np.arange(1, shards + 1)).min()
+        fits = held + w[0] <= level + 1e-9
+        best = np.where(fits, np.round(residual @ (w / max(np.linalg.norm(w), 1e-300)), 12), -np.inf)
+        where[i] = int(np.argmax(best)) if fits.any() else int(np.argmin(np.round(held, 12)))
+        held[where[i]] += w[0]
+        left -= w[0]
         residual[where[i]] -= w
     return where
 
@@ -80,18 +86,23 @@ def _assigned(rows: DataFrame, shards: int) -> DataFrame:
     groups = m.groupBy("group").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     total = m.agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).first()
     total = [int(x or 0) for x in total]
-    share = F.greatest(*[F.col(c) * HEAVY / F.lit(max(t, 1)) for c, t in zip(("size", "tokens", "n"), total)])
-    heavy = {r.group: int(r.parts) for r in groups.withColumn("parts", F.ceil(share)).where("parts > 1").select("group", "parts").collect()}
-    # at most 3 * HEAVY rows: their shares add up to at most 3 * HEAVY
-    known = spark.createDataFrame([(g, p, k) for k, (g, p) in enumerate(sorted(heavy.items()))], "group long, parts int, nth int")
+    share = F.greatest(*[F.col(c) / F.lit(max(t, 1)) for c, t in zip(("size", "tokens", "n"), total)])
+    heavy = (groups.withColumn("share", share).where(F.col("share") * max(HEAVY, shards) > 1)
+             .select("group", F.ceil(F.col("share") * shards).alias("parts"), F.ceil(F.col("share") * HEAVY).alias("pieces")).collect())
+    # at most 3 * HEAVY rows (or 3 * shards, if there are more shards): their shares add up to at most 3
+    known = spark.createDataFrame([(r.group, int(r.parts), -(-int(r.pieces) // int(r.parts)), k) for k, r in enumerate(sorted(heavy))],
+                                  "group long, parts int, pieces int, nth int")
     own = F.broadcast(known.withColumnRenamed("group", "heavy_group"))
     packed = rows.join(own, F.col("m_.group") == F.col("heavy_group"), "left")
     first = F.lit(PACKETS) + F.col("nth") * (1 << 20)
     packet = F.when(F.col("nth").isNotNull(), first + F.pmod("m_.salt", "parts")).otherwise(F.pmod("m_.group", F.lit(PACKETS))).cast("long")
-    packed = packed.withColumn("packet", packet).withColumn("block", F.pmod(F.xxhash64("m_.salt"), F.lit(BLOCKS)).cast("int")).drop("heavy_group", "parts", "nth")
+    packed = packed.withColumn("packet", packet).withColumn("block", F.pmod(F.xxhash64("m_.salt"), BLOCKS * F.coalesce("pieces", F.lit(1))).cast("int"))
+    packed = packed.drop("heavy_group", "parts", "pieces", "nth")
     cells = packed.groupBy("packet", "block").agg(F.sum("m_.size").alias("size"), F.sum("m_.tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     packets = cells.groupBy("packet").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.sum("n").alias("n"))
-    bins = sorted(packets.collect(), key=lambda r: (-r["size"], r.packet))  # at most PACKETS + 6 * HEAVY rows
+    most = [max(t, 1) for t in total]
+    # at most PACKETS + 3 * HEAVY + 3 * shards rows
+    bins = sorted(packets.collect(), key=lambda r: (-max(r["size"] / most[0], r.tokens / most[1], r.n / most[2]), r.packet))
     weights = np.array([[r["size"], r.tokens, r.n] for r in bins], float).reshape(-1, 3)
     filled, placed = [0] * shards, []
     for r, s in zip(bins, place(weights, shards)):

@@ -94,3 +94,22 @@ def test_shard_keeps_columns(spark):
 def test_placement_prefers_the_greatest_dot_product():
     where = sharding.place(np.array([[4.0, 0, 1], [0, 4, 1], [4, 0, 1], [0, 4, 1]]), 2)
     assert where[0] == where[1] and where[2] == where[3] != where[0] or where[0] != where[2]
+
+
+def test_equal_texts_share_a_shard_if_they_fit(spark):
+    rng = np.random.default_rng(3)
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in rng.integers(0, 999, n))
+    many = [(text(k, 30), 1) for k in range(600)] + [(text(k, 25), 2) for k in range(1000, 1060)] + [(text(2000, 20), 60), (text(3000, 9), 400), (None, 40)]
+    rows = [(0, t, None, None, 0, "", 0, 0, "") for t, n in many for _ in range(n)]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    got = {r.doc_id: r for r in sharding.assign(table(spark, rows)).collect()}
+    held = defaultdict(Counter)
+    for r in rows:
+        held[r[1]][got[r[0]].shard] += 1
+    mean = len(rows) / 16
+    for t, n in many:
+        assert len(held[t]) <= -(-n // mean), (n, held[t])  # one shard below its capacity, as few as hold the group above it
+    assert len(held[many[-2][0]]) > 1
+    counts = Counter(r.shard for r in got.values())
+    # level bytes with 67 short rows in one packet leave a shard about 104 rows at best
+    assert max(counts.values()) < 1.45 * mean and len(counts) == 16
