@@ -113,3 +113,17 @@ def test_equal_texts_share_a_shard_if_they_fit(spark):
     counts = Counter(r.shard for r in got.values())
     # level bytes with 67 short rows in one packet leave a shard about 104 rows at best
     assert max(counts.values()) < 1.45 * mean and len(counts) == 16
+
+
+def test_all_three_dimensions_are_balanced(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(3000):  # long and short words in all lengths, so that bytes, tokens and rows differ
+        n, wide = int(rng.choice([2, 10, 40, 160])), int(rng.choice([2, 6, 14]))
+        rows.append((i, " ".join(str(x).zfill(wide)[-wide:] for x in rng.integers(0, 10 ** 9, n)), None, None, 0, "", 0, 0, ""))
+    got = sharding.assign(table(spark, rows)).collect()
+    tokens = {r[0]: len(words(r[1])) for r in rows}
+    sums = np.zeros((16, 3))
+    for r in got:
+        sums[r.shard] += r.size, tokens[r.doc_id], 1
+    assert (abs(sums / sums.mean(axis=0) - 1).max(axis=0) < (0.005, 0.02, 0.02)).all(), abs(sums / sums.mean(axis=0) - 1).max(axis=0)
