@@ -1,14 +1,18 @@
 """Operator 5: toxicity by Levenshtein automata over a lexicon trie, with context-window scores.
 
 Lexicon. SEEDS and terms learned from labelled training texts: whole words, and word beginnings of STEMS letters
-(insults are often compounded), that toxic texts hold far more often than others, at most LEARNED terms. The terms form
+(insults are often compounded), that toxic texts hold far more often than others, counted over all labelled training rows: those with LEAST_DOCS toxic
+documents and log odds over 2, by odds times the root of that count, up to LEXICON_BYTES of terms. A word of more than
+TERM_BYTES is no term (its stems are). With T trie nodes (at most 1 + the bytes of all terms), K terms, D = TERM_BYTES and
+S distinct bytes, the state after some bytes depends on them alone, and they lie within one edit of a path of the trie
+or past an accepted stem, so there are at most 2 + 2 K + T (1 + D + D S + (D + 1)(S + 1)) states. The terms form
 a trie; intersecting it with the Levenshtein automata (one edit, for terms of EDIT_FROM bytes or more; shorter ones
 exact) and determinising gives one table of transitions on bytes, which all words of a batch walk at once. A stem accepts
 a word of which some beginning is within one edit of it. A stem stands for longer stems, never for a whole word. Edits are counted in bytes of the lower-cased word, so a letter outside ASCII counts as two.
 
 Context. A hit within quotation marks, or with a reporting word among the WINDOW words on either side, counts for less;
 one with a word of address there for more. The score is a logistic function of the weighted hits of each term, of all
-hits and of their share of the words. Its weights are fitted to a bounded sample of SAMPLE labelled training rows, the
+hits and of their share of the words. Its weights alone are fitted to a bounded sample of SAMPLE labelled training rows, the
 least by hash of the doc_id, around a prior that holds alone where there are no labels.
 
 Rows whose crc32 of the doc_id (as text) is divisible by 5 or null are not learned from; labels, lang, source and
@@ -33,7 +37,8 @@ SEEDS = ("idiot", "moron", "stupid", "loser", "trash", "scum", "pathetic", "wort
 REPORTING = ("said", "says", "wrote", "writes", "quoted", "quote", "called", "according", "sagte", "schrieb", "dit", "dijo")
 ADDRESS = ("you", "your", "youre", "ihr", "dich", "vous", "toi", "usted", "eres")
 SAMPLE = 10_000
-LEARNED = 48
+LEXICON_BYTES = 3072
+TERM_BYTES = 32
 LEAST_DOCS = 8
 STEMS = (5, 6, 7)
 EDIT_FROM = 5
@@ -225,19 +230,25 @@ def fit(x: np.ndarray, y: np.ndarray, terms: int, rounds: int = 25) -> np.ndarra
     return w
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, toxic) of at most SAMPLE labelled documents of the training folds, the least by hash."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(its_id, text, toxic) of all labelled documents of the training folds; of those that repeat an id, one text."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != TEST_FOLD))
-             .groupBy(F.col("doc_id").cast("long").alias("its_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-             .orderBy(F.xxhash64("its_id"), "its_id").limit(SAMPLE))
+             .groupBy(F.col("doc_id").cast("long").alias("its_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     texts = docs.select(F.col(id_col).cast("long").alias("its_id"), F.col(text_col).cast("string").alias("text"))
-    # at most SAMPLE rows on the broadcast side; of the documents that repeat an id, the sample takes one text
-    return texts.join(F.broadcast(known), "its_id").groupBy("its_id").agg(F.max(F.struct("text", "toxic")).alias("one")).select("one.text", "one.toxic")
+    texts = texts.where(fold(F.col("its_id")) != TEST_FOLD)
+    return texts.join(known, "its_id").groupBy("its_id").agg(F.max(F.struct("text", "toxic")).alias("one")).select("its_id", "one.text", "one.toxic")
 
 
-def learned_terms(sample: DataFrame) -> list[tuple[str, bool]]:
-    """The terms whose documents are toxic most plainly; at most LEARNED and the whole words among their stems', at least LEAST_DOCS toxic documents each."""
-    counts = sample.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
+def training_sample(rows: DataFrame) -> DataFrame:
+    """(text, toxic) of at most SAMPLE of the training rows, the least by hash."""
+    # ids alone are ordered in one task, SAMPLE of each partition at most; as many are broadcast
+    ids = rows.select("its_id").orderBy(F.xxhash64("its_id"), "its_id").limit(SAMPLE)
+    return rows.join(F.broadcast(ids), "its_id").select("text", "toxic")
+
+
+def learned_terms(rows: DataFrame) -> list[tuple[str, bool]]:
+    """The terms whose documents are toxic most plainly, in at least LEAST_DOCS toxic documents; at most LEXICON_BYTES of terms."""
+    counts = rows.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = int(counts.bad or 0), int((counts.n or 0) - (counts.bad or 0))
     if not bad or not good:
         return []
@@ -245,19 +256,20 @@ def learned_terms(sample: DataFrame) -> list[tuple[str, bool]]:
     # a form is a whole word, or a stem and a mark that no word holds: strings are made distinct by hashing, structs pair by pair
     forms = F.flatten(F.transform(found, lambda w: F.array(
         w, *[F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit(_STEM))) for k in STEMS])))
-    each = sample.select("toxic", F.explode(F.array_distinct(forms)).alias("form")).where("form is not null")
+    each = rows.select("toxic", F.explode(F.array_distinct(forms)).alias("form")).where("form is not null")
     sums = each.groupBy("form").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
-    sums = sums.select("a", "n", F.rtrim(F.col("form"), F.lit(_STEM)).alias("word"), F.endswith("form", F.lit(_STEM)).alias("stem")).where("length(word) > 3")
+    sums = sums.select("a", "n", F.rtrim(F.col("form"), F.lit(_STEM)).alias("word"), F.endswith("form", F.lit(_STEM)).alias("stem")).where(f"length(word) > 3 and octet_length(word) <= {TERM_BYTES}")
     odds = F.log((F.col("a") + 0.5) / bad) - F.log((F.col("n") - F.col("a") + 0.5) / good)
-    rows = (sums.where(F.col("a") >= LEAST_DOCS).withColumn("odds", odds).where("odds > 2")
-            .withColumn("rank", F.col("odds") * F.sqrt("a")).orderBy(F.col("rank").desc(), "word", "stem").limit(4 * LEARNED).select("word", "stem").collect())
+    ranked = sums.where(F.col("a") >= LEAST_DOCS).withColumn("odds", odds).where("odds > 2").withColumn("rank", F.col("odds") * F.sqrt("a"))
+    # each word brings three stems at most, so the best LEXICON_BYTES rows hold terms enough
+    best = ranked.orderBy(F.col("rank").desc(), "word", "stem").limit(LEXICON_BYTES).select("word", "stem").collect()
     chosen: list[tuple[str, bool]] = []
-    count = 0  # a whole word that a stem stands for, too, takes its edits along and no other term's place
-    for r in rows:
-        covered = any(s and r.word.startswith(w) for w, s in chosen)
-        if not covered and count < LEARNED or covered and not r.stem:
+    room = LEXICON_BYTES
+    for r in best:
+        covered = r.stem and any(s and r.word.startswith(w) for w, s in chosen)
+        if not covered and len(r.word.encode()) <= room:
             chosen.append((r.word, r.stem))
-            count += not covered
+            room -= len(r.word.encode())
     return chosen
 
 
@@ -280,9 +292,10 @@ def _feature_rows(sample: DataFrame, automaton: Automaton, terms: int) -> tuple[
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
     spark = scratch.prepare(docs.sparkSession)
-    sample = scratch.save(training_sample(docs, labels, id_col, text_col), "sample")
+    labelled = scratch.save(training_rows(docs, labels, id_col, text_col), "labelled")
+    sample = scratch.save(training_sample(labelled), "sample")
     terms = [(w, False) for w in SEEDS]
-    terms += [t for t in learned_terms(sample) if t not in terms]
+    terms += [t for t in learned_terms(labelled) if t not in terms]
     automaton = Automaton.build(terms, stem_edits=True)
     weights = fit(*_feature_rows(sample, automaton, len(terms)), len(terms))
     shared = spark.sparkContext.broadcast((automaton, weights))

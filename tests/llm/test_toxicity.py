@@ -106,3 +106,27 @@ def test_misspelt_learned_terms_are_found(spark):
     assert ("gruesomely", False) in terms and any(stem and "gruesomely".startswith(w) for w, stem in terms)
     score = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
     assert score[1000] > score[1002] and score[1001] > score[1002]
+
+
+def test_terms_come_from_all_labelled_rows(spark):
+    docs, labels = learned_from(spark, "gruesomely")
+    size, toxicity.SAMPLE = toxicity.SAMPLE, 20  # too few for LEAST_DOCS toxic documents
+    try:
+        score = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    finally:
+        toxicity.SAMPLE = size
+    assert score[0] > score[1002] and score[1000] > score[1002]
+
+
+def test_lexicon_and_automaton_are_bounded(spark):
+    rng = np.random.default_rng(4)
+    insults = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(900)] + ["q" * 60]
+    rows = [(" ".join(insults), 1)] * toxicity.LEAST_DOCS + [("plain words", 0)] * 200
+    terms = toxicity.learned_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    size = [len(t.encode()) for t, _ in terms]
+    assert len(terms) > 150 and sum(size) <= toxicity.LEXICON_BYTES and max(size) <= toxicity.TERM_BYTES
+    terms = terms[:120]
+    a = toxicity.Automaton.build(terms, stem_edits=True)
+    nodes = len({t.encode()[:k] for t, _ in terms for k in range(len(t.encode()) + 1)})
+    d, s = max(size), a.step.shape[1] - 1
+    assert len(a.step) <= 2 + 2 * len(terms) + nodes * (1 + d + d * s + (d + 1) * (s + 1))
