@@ -1,6 +1,10 @@
 """The driver contract: entry runs, every query has SQL, names line up."""
 
+import subprocess
+import sys
+
 import __spark_entry__ as entry
+from journeyline.plans.queries import QUERIES
 
 
 def test_entry_runs(spark):
@@ -11,9 +15,19 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_sql():
     # k-means training is iterative: the one query without a SQL twin (rows-only check)
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"segment_kmeans"}
+    assert set(QUERIES) - set(entry.oracle_sql()) == {"segment_kmeans"}
+    assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) >= 50
+    assert len(QUERIES) >= 50
+
+
+def test_entry_without_a_library_of_the_other_queries():
+    # a module set to None can't be imported, as if it weren't installed
+    code = ("import sys; sys.modules['journeyline.llm'] = None; import __spark_entry__ as e; "
+            "from journeyline.plans.queries import QUERIES; assert set(e.queries()) == set(QUERIES)")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=entry.__file__.rsplit("/", 1)[0])
+    assert done.returncode == 0, done.stderr
+    assert "left out" in done.stderr
 
 
 def test_release_models(spark):
