@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from journeyline.llm import decontam, langid, linededup, minhash, mixing, packing, quality, scratch, sharding, toxicity, warc
+from journeyline.llm import (decontam, interaction, langid, linededup, merkle, minhash, mixing, packing, quality, scratch, sharding, toxicity,
+                             urlfilter, warc)
 from journeyline.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -61,5 +62,19 @@ def op10_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the URLs of all pages whose host has a word of ``urlfilter.HOST_WORDS``."""
+    pages = _table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.listing(urlfilter.unwanted(pages)))
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_warc, op3_mixing, op4_quality, op5_toxicity, op6_sharding, op7_line_dedup,
-                                   op8_decontamination, op9_language_id, op10_token_packing)}
+                                   op8_decontamination, op9_language_id, op10_token_packing, op11_merkle, op12_filter_audit, op13_url_filters)}

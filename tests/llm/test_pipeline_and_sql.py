@@ -82,4 +82,9 @@ def test_pipeline_stages(spark):
 def test_pipeline_runs_from_its_entry(spark):
     sys.modules.pop("corpus_pipeline", None)
     entry = importlib.import_module("__spark_entry__")
-    assert {"pipeline"} <= set(entry.queries()) and sum(n.startswith("op") for n in entry.queries()) == 10
+    assert {"pipeline"} <= set(entry.queries()) and sum(n.startswith("op") for n in entry.queries()) == 13
+
+
+def test_queries_without_sql_are_the_known_ones():
+    assert set(QUERIES) - set(ORACLE) == {"op4_quality", "op5_toxicity", "op6_sharding", "op7_line_dedup", "op9_language_id", "op10_token_packing"}
+    assert set(ORACLE) <= set(QUERIES)
