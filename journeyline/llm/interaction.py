@@ -5,14 +5,16 @@ verdicts are a mask, and the counts of masks in a part (a source) hold the resul
 removes the rows whose mask has f and none of the filters before it.
 
 The stream reads the table's files as available-now micro-batches, about ``BATCHES`` of them. One pass over the texts
-gives A to D and the text's SHA-256; texts go no further. Keyed by that digest, the state holds the smallest doc_id so
-far and its rows' parts. A row with a greater id counts with E. When a smaller id arrives, the earlier smallest one's mask
+gives A to D and the text's SHA-256; texts go no further. Under that digest, the state holds the smallest doc_id so
+far and its rows' parts. As a call for each digest costs far more than its work, digests share a state key, about ``TEXTS``
+to one: there are as many keys as the table's row count asks for, so that a key's state has the same size in every table.
+A row with a greater id counts with E. When a smaller id arrives, the earlier smallest one's mask
 without E is retracted from its part's counter (-1) and counted again with E (+1). Each micro-batch writes its changes
 under its epoch's number, so a repeated epoch writes the same folder again; the counters are the sum of all epochs. Order
 of files and rows doesn't matter, and the state outlives executors in the stream's checkpoint.
 
 A text may fill a third of the table. Within each Arrow batch only the rows with the text's smallest id go to its key; the
-others fail E whatever comes, need no state, and are spread over other keys. So a text has one row for each batch that
+others fail E whatever comes, need no state, and are spread over all keys. So a text has one row for each batch that
 holds it, besides repeated rows of one id.
 
 Null texts are empty. Null and empty sources are one part, the empty string. A row without doc_id is no one's
@@ -40,13 +42,15 @@ from journeyline.llm import scratch
 FILTERS = "ABCDE"
 A, B, C, D, E = (1 << i for i in range(5))
 BATCHES = 4
-#: Keys over which rows are spread that need no state.
-SPREAD = 1024
+#: What a row's text has to be asked of the state: its smallest id; nothing; nothing, and the row has no id.
+ASK, DECIDED, NAMELESS = range(3)
+#: Texts that share a state key.
+TEXTS = 256
 _SIGNS = b"#$%&*|"
 _CAPITALS = bytes(range(65, 91))
-_MARKED = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("decided", pa.bool_())])
+_MARKED = pa.schema([("key", pa.int64()), ("digest", pa.string()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("state", pa.int32())])
 _CHANGE = "doc_id long, part string, mask int, delta long"
-_STATE = "smallest long, mask int, parts string"
+_STATE = "texts string"
 
 
 def text_mask(text: str) -> int:
@@ -58,62 +62,54 @@ def text_mask(text: str) -> int:
             | C * (100 * (len(raw) - len(raw.translate(None, _CAPITALS))) > 2 * len(text)))
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, doc_id, part, mask and decided: whether the mask, E included, is final and the row needs no state."""
-    for b in batches:
-        ids = b.column("doc_id").to_pylist()
-        parts = b.column("part").to_pylist()
-        keys, masks = [], []
-        known: dict[str, int] = {}
-        least: dict[str, int] = {}
-        for i, text in zip(ids, b.column("text")):
-            text = text.as_py() or ""
-            key = hashlib.sha256(text.encode()).hexdigest()
-            if key not in known:
-                known[key] = text_mask(text)
-            keys.append(key)
-            masks.append(known[key])
-            if i is not None and i < least.get(key, i + 1):
-                least[key] = i
-        decided = [i is None or i > least[k] for i, k in zip(ids, keys)]
-        masks = [m | E if d and i is not None else m for m, d, i in zip(masks, decided, ids)]
-        keys = [f"{n % SPREAD}" if d else k for n, (k, d) in enumerate(zip(keys, decided))]
-        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((keys, ids, parts, masks, decided), _MARKED)], schema=_MARKED)
+def _marked(keys: int):
+    """key, digest, doc_id (0 if null: a null would make pandas read all ids as floats), part, mask and state."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("doc_id").to_pylist()
+            digests, masks = [], []
+            known: dict[str, int] = {}
+            least: dict[str, int] = {}
+            for i, text in zip(ids, b.column("text")):
+                text = text.as_py() or ""
+                digest = hashlib.sha256(text.encode()).hexdigest()
+                if digest not in known:
+                    known[digest] = text_mask(text)
+                digests.append(digest)
+                masks.append(known[digest])
+                if i is not None and i < least.get(digest, i + 1):
+                    least[digest] = i
+            state = [NAMELESS if i is None else DECIDED if i > least[d] else ASK for i, d in zip(ids, digests)]
+            masks = [m | E if s == DECIDED else m for m, s in zip(masks, state)]
+            own = [(int(d[:15], 16) + n * (s != ASK)) % keys for n, (d, s) in enumerate(zip(digests, state))]
+            columns = (own, digests, [i or 0 for i in ids], b.column("part"), masks, state)
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, _MARKED)], schema=_MARKED)
+    return run
 
 
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counts the rows of a text, and moves the smallest id."""
-    smallest, mask, parts = state.get if state.exists else (None, 0, "{}")
-    parts = json.loads(parts)
-    before = smallest
-    ids, owners, masks, deltas = [], [], [], []
-
-    def change(i, part, m, n):
-        ids.append(i)
-        owners.append(part)
-        masks.append(m)
-        deltas.append(n)
-
+    """Counts the rows of the key's texts, and moves the smallest ids; a text's state is its smallest id and that id's parts."""
+    texts = json.loads(state.get[0]) if state.exists else {}
+    changes = []  # doc_id, part, mask, delta
     for frame in frames:
-        for i, part, m, final in zip(frame["doc_id"], frame["part"], frame["mask"], frame["decided"]):
-            i = None if pd.isna(i) else int(i)
-            if final:
-                change(i, part, int(m), 1)
+        for digest, i, part, mask, s in zip(*[frame[c].tolist() for c in ("digest", "doc_id", "part", "mask", "state")]):
+            if s != ASK:
+                changes.append((i if s == DECIDED else None, part, mask, 1))
                 continue
+            smallest, parts = texts.get(digest, (None, {}))
             if smallest is not None and i > smallest:
-                change(i, part, int(m) | E, 1)
+                changes.append((i, part, mask | E, 1))
                 continue
-            mask = int(m)
             if smallest is None or i < smallest:  # the earlier rows have a predecessor now
                 for p, n in parts.items():
-                    change(smallest, p, mask, -n)
-                    change(smallest, p, mask | E, n)
-                smallest, parts = i, {}
+                    changes += [(smallest, p, mask, -n), (smallest, p, mask | E, n)]
+                parts = {}
             parts[part] = parts.get(part, 0) + 1
-            change(i, part, mask, 1)
-    if smallest is not None and (before is None or smallest <= before):
-        state.update((smallest, mask, json.dumps(parts)))
-    yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "part": owners, "mask": np.array(masks, "int32"), "delta": np.array(deltas, "int64")})
+            texts[digest] = (i, parts)
+            changes.append((i, part, mask, 1))
+    state.update((json.dumps(texts),))
+    ids, parts, masks, deltas = zip(*changes)
+    yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "part": parts, "mask": np.array(masks, "int32"), "delta": np.array(deltas, "int64")})
 
 
 def _labelled(labels: DataFrame) -> DataFrame:
@@ -139,7 +135,8 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, batches: int
     marks = _labelled(labels)
     rows = _stream(spark, path, batches).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                                 F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"))
-    marked = rows.mapInArrow(_marked, "key string, doc_id long, part string, mask int, decided boolean")
+    keys = max(1, -(-spark.read.parquet(path).count() // TEXTS))  # from the files' row counts
+    marked = rows.mapInArrow(_marked(keys), "key long, digest string, doc_id long, part string, mask int, state int")
     changes = marked.groupBy("key").applyInPandasWithState(_update, _CHANGE, _STATE, "update", GroupStateTimeout.NoTimeout)
 
     def write(batch: DataFrame, epoch: int) -> None:

@@ -142,6 +142,7 @@ def audit_rows():
     clean = [" ".join(rng.sample(word, 250)) for _ in range(6)]
     for k in range(60):  # equal texts under falling and rising ids, in several sources
         rows.append((9000 - 37 * k % 61, clean[k % 6], "en", rng.choice(["a", "b", None, ""]), 1, "", 0, 0, ""))
+    rows += [(2 ** 62 + k, clean[5] + " more", "en", "big", 1, "", 0, 0, "") for k in (3, 1, 2)] + [(None, clean[5] + " more", "en", "big", 1, "", 0, 0, "")] * 2
     rows += [(20, clean[0] + " $", "en", "a", 1, "", 0, 0, ""), (21, "ABC " * 300, "en", "a", 1, "", 0, 0, ""), (9500, clean[1], "en", "b", 1, "", 0, 0, "")]
     return rows
 
@@ -154,7 +155,7 @@ def write_files(spark, rows, path, files):
 @pytest.mark.parametrize("files, batches", [(1, 4), (6, 6), (7, 3)])
 def test_audit_equals_brute_force_in_any_number_of_batches(spark, tmp_path, files, batches):
     rows = audit_rows()
-    labels = [(i, i % 2, i % 3 == 0) for i in range(0, 9600, 3)] + [(None, 1, True), (6, 0, True), (9, None, None)]
+    labels = [(2 ** 62 + 1, 1, True), (2 ** 62 + 2, 0, True)] + [(i, i % 2, i % 3 == 0) for i in range(0, 9600, 3)] + [(None, 1, True), (6, 0, True), (9, None, None)]
     given = spark.createDataFrame([(i, q, None if t is None else int(t)) for i, q, t in labels], "doc_id long, quality int, toxic int")
     write_files(spark, rows, f"{tmp_path}/documents.parquet", files)
     out = interaction.audit(spark, f"{tmp_path}/documents.parquet", given, batches)
