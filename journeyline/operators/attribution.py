@@ -12,8 +12,8 @@ closed form of per-visitor totals (k, and the summed conversion revenue R):
 * a session stands for ``greatest(k, 1)`` pair rows, which weights the mart averages.
 
 So the work is linear in sessions even when one visitor has millions of sessions and
-conversions, and the per-visitor totals come from the same skew-safe pass that numbers
-the sessions (operators/skew.py).
+conversions, and the per-visitor totals come from the same pass that numbers
+the sessions (operators/per_key.py).
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.channels import campaign_identifier, channel_grouping
 from ..functions.numeric import exact, flag, long_lit, round_to, safe_div, share_of, usd_from_micros, usd_from_nanos
-from .skew import sequence_within
+from .per_key import sequence_within
 
-SESSION_ORDER = ["session_start_timestamp", "session_id"]  # ties on start time broken by session_id
 MART_KEYS = ["traffic_source", "traffic_medium", "campaign_name"]
 
 # Channel-role and journey-complexity thresholds.
@@ -52,7 +51,7 @@ MART_ATTRIBUTION_COLUMNS = [
 ]
 
 
-def sequenced_sessions(stg: DataFrame, hot_rows: int) -> DataFrame:
+def sequenced_sessions(stg: DataFrame) -> DataFrame:
     """Staged sessions with W1/W2 and the visitor's conversion totals attached."""
     micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
     base = stg.select("visitor_id", "session_id", "session_date", "session_start_timestamp", "traffic_source",
@@ -60,14 +59,14 @@ def sequenced_sessions(stg: DataFrame, hot_rows: int) -> DataFrame:
                       micros.alias("revenue_micros"))
     converted = F.col("is_converted") == 1
     seq = sequence_within(
-        base, "visitor_id", SESSION_ORDER, hot_rows,
+        base, "visitor_id", "session_start_timestamp", ["session_id"],  # ties on start time broken by session_id
         seq_col="session_sequence", count_col="total_sessions_per_visitor",
         key_aggs={
-            "visitor_conversions": F.sum("is_converted"),
-            "conversion_micros": F.sum(F.when(converted, F.col("revenue_micros")).otherwise(long_lit(0))),
-            "first_conversion_date": F.min(F.when(converted, F.col("session_date"))),
-            "last_conversion_date": F.max(F.when(converted, F.col("session_date"))),
-            "visitor_last_date": F.max("session_date"),
+            "visitor_conversions": ("sum", F.col("is_converted")),
+            "conversion_micros": ("sum", F.when(converted, F.col("revenue_micros")).otherwise(long_lit(0))),
+            "first_conversion_date": ("min", F.when(converted, F.col("session_date"))),
+            "last_conversion_date": ("max", F.when(converted, F.col("session_date"))),
+            "visitor_last_date": ("max", F.col("session_date")),
         })
     # The conversion join matches on visitor_id equality, so a NULL visitor pairs with nothing.
     no_visitor = F.col("visitor_id").isNull()
@@ -86,27 +85,24 @@ def with_touch_flags(seq: DataFrame) -> DataFrame:
                .withColumn("linear_weight", F.lit(1.0) / n.cast("double")))
 
 
-def _credits(df: DataFrame) -> dict[str, Column]:
-    k, n, r = F.col("visitor_conversions"), F.col("total_sessions_per_visitor"), F.col("conversion_micros")
-    has = k > 0
+def _credits() -> dict[str, Column]:
+    k, r = F.col("visitor_conversions"), F.col("conversion_micros")
     return {
-        "first_micros": F.when(has & (F.col("is_first_touch") == 1), r).otherwise(long_lit(0)),
-        "last_micros": F.when(has & (F.col("is_last_touch") == 1), r).otherwise(long_lit(0)),
-        # linear credit R/n in whole nano-dollars, rounded half up, for exact sums
-        "linear_nanos": F.when(has, share_of(r, n, 1000)).otherwise(exact(F.lit(0))),
+        "first_micros": F.when((k > 0) & (F.col("is_first_touch") == 1), r).otherwise(long_lit(0)),
+        "last_micros": F.when((k > 0) & (F.col("is_last_touch") == 1), r).otherwise(long_lit(0)),
         "attribution_rows": F.greatest(k, long_lit(1)),
     }
 
 
-def _pair_weight(c: str, rows: Column) -> Column:
-    """A session's value times its pair rows: their sum grows with the cube of a visitor's sessions."""
-    return exact(F.col(c).cast("decimal(19,0)") * rows.cast("decimal(18,0)"))
+def _product(a: Column, b: Column, digits_b: int = 18) -> Column:
+    """Exact product of two integers below 10^(38 - digits_b) and 10^digits_b: sums grow with the cube of a visitor's sessions."""
+    return exact(a.cast(f"decimal({37 - digits_b},0)") * b.cast(f"decimal({digits_b},0)"))
 
 
-def int_session_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
+def int_session_attribution(stg: DataFrame) -> DataFrame:
     """One row per session with its attribution credit summed over the visitor's conversions."""
-    df = with_touch_flags(sequenced_sessions(stg, hot_rows))
-    c = _credits(df)
+    df = with_touch_flags(sequenced_sessions(stg))
+    c = _credits()
     has = F.col("visitor_conversions") > 0
     n = F.col("total_sessions_per_visitor").cast("double")
     return df.select(
@@ -121,31 +117,34 @@ def int_session_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
-def mart_attribution_analysis(stg: DataFrame, hot_rows: int) -> DataFrame:
+def mart_attribution_analysis(stg: DataFrame) -> DataFrame:
     """Attribution mart by source x medium x raw campaign (NULL campaign is its own group)."""
-    df = with_touch_flags(sequenced_sessions(stg, hot_rows))
-    c = _credits(df)
-    has = F.col("visitor_conversions") > 0
-    w = c["attribution_rows"]
+    df = with_touch_flags(sequenced_sessions(stg))
     rows = df.select(
-        *MART_KEYS, "visitor_id", "session_id", "is_first_touch", "is_last_touch",
-        flag(has).alias("has_conv"),
-        c["first_micros"].alias("first_micros"), c["last_micros"].alias("last_micros"),
-        c["linear_nanos"].alias("linear_nanos"), exact(w).alias("w"),
-        _pair_weight("session_sequence", w).alias("seq_w"),
-        _pair_weight("total_sessions_per_visitor", w).alias("n_w"))
-    sums = ["first_micros", "last_micros", "linear_nanos", "w", "seq_w", "n_w"]
-    # Distinct counts in three levels: session, visitor, group (see operators/campaign.py).
+        *MART_KEYS, "visitor_id", "session_id", F.col("is_first_touch").alias("f"), F.col("is_last_touch").alias("l"),
+        F.col("session_sequence").alias("seq"), F.col("total_sessions_per_visitor").alias("n"),
+        F.col("visitor_conversions").alias("k"), F.col("conversion_micros").alias("r"))
+    # A visitor's sessions share n, k and R, so these are carried (max) and the credit is worked out once for each group and
+    # visitor; 64-bit counts until then, decimals only in the last sums. Distinct counts in three levels: session,
+    # visitor, group (see operators/campaign.py).
+    shared = [F.max(c).alias(c) for c in ("n", "k", "r")]
     per_session = rows.groupBy(*MART_KEYS, "visitor_id", "session_id").agg(
-        F.max("is_first_touch").alias("f"), F.max("is_last_touch").alias("l"), F.max("has_conv").alias("h"),
-        *[F.sum(s).alias(s) for s in sums])
+        F.max("f").alias("f"), F.max("l").alias("l"), F.count(F.lit(1)).alias("rows"), F.sum("seq").alias("seq"), *shared)
     # count() / sum() over non-NULL ids only: COUNT(DISTINCT ...) ignores a NULL id
     has_session = F.col("session_id").isNotNull()
     per_visitor = per_session.groupBy(*MART_KEYS, "visitor_id").agg(
         F.count("session_id").alias("sessions"), F.sum(F.when(has_session, F.col("f"))).alias("f_sessions"),
-        F.sum(F.when(has_session, F.col("l"))).alias("l_sessions"),
-        F.max(F.col("f") * F.col("h")).alias("f_conv"), F.max(F.col("l") * F.col("h")).alias("l_conv"),
-        F.max("h").alias("h"), *[F.sum(s).alias(s) for s in sums])
+        F.sum(F.when(has_session, F.col("l"))).alias("l_sessions"), F.sum("f").alias("f"), F.sum("l").alias("l"),
+        F.sum("rows").alias("rows"), F.sum("seq").alias("seq"), *shared)
+    h, pairs = flag(F.col("k") > 0), F.greatest("k", long_lit(1))
+    per_visitor = per_visitor.withColumns({
+        "h": h, "f_conv": F.when(F.col("f") > 0, h).otherwise(long_lit(0)), "l_conv": F.when(F.col("l") > 0, h).otherwise(long_lit(0)),
+        "first_micros": F.col("r") * F.col("f") * h, "last_micros": F.col("r") * F.col("l") * h,
+        # linear credit R/n in whole nano-dollars, rounded half up, for exact sums
+        "linear_nanos": F.when(F.col("k") > 0, _product(share_of(F.col("r"), F.col("n"), 1000), F.col("rows"), 13)).otherwise(exact(F.lit(0))),
+        "w": _product(F.col("rows"), pairs), "seq_w": _product(F.col("seq"), pairs),
+        "n_w": _product(_product(F.col("rows"), F.col("n"), 12), pairs, 12)})
+    sums = ["first_micros", "last_micros", "linear_nanos", "w", "seq_w", "n_w"]
     has_visitor = F.col("visitor_id").isNotNull()
     g = per_visitor.groupBy(*MART_KEYS).agg(
         F.sum("sessions").alias("total_sessions"), F.count("visitor_id").alias("total_visitors"),

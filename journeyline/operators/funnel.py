@@ -15,7 +15,7 @@ from ..functions.channels import campaign_identifier, channel_grouping, coalesce
 from ..functions.numeric import flag, long_lit, round_to, safe_div, usd_from_micros
 from ..functions.scores import (EXIT_STAGES, engagement_score, engagement_score_tenths, funnel_exit_stage,
                                 reached_conversion, reached_deep_engagement, reached_engagement)
-from .skew import join_per_key
+from .per_key import totals_within
 
 SESSION_COLUMNS = ["session_id", "visitor_id", "session_date", "session_start_timestamp", "traffic_source",
                    "traffic_medium", "campaign_name", "device_category", "country", "hits", "pageviews",
@@ -64,7 +64,7 @@ def funnel_sessions(stg: DataFrame) -> DataFrame:
 
 
 def visitor_totals(fs: DataFrame) -> DataFrame:
-    """A4 with exact sums; COUNT(DISTINCT session_id) in two skew-safe levels."""
+    """A4 with exact sums; COUNT(DISTINCT session_id) in two levels."""
     sums = ["reached_landing", "reached_engagement", "reached_deep_engagement", "reached_conversion",
             "_rev_micros", "_score_tenths"]
     per_session = fs.groupBy("visitor_id", "session_id").agg(
@@ -93,29 +93,34 @@ def visitor_journey(stg: DataFrame) -> DataFrame:
         "first_session_date", "last_session_date")
 
 
-def _funnel_steps(stg: DataFrame, hot_rows: int) -> DataFrame:
+def _funnel_steps(stg: DataFrame) -> DataFrame:
+    """Sessions with their visitor's totals. A NULL visitor equals none, so its totals are NULL."""
     fs = funnel_sessions(stg)
-    v = visitor_totals(fs).select(
-        "visitor_id", "_rows",
-        F.col("total_sessions").alias("visitor_total_sessions"),
-        F.col("reached_engagement").alias("visitor_sessions_at_engagement"),
-        F.col("reached_conversion").alias("visitor_conversions"),
-        F.col("ever_converted").alias("visitor_ever_converted"),
-        usd_from_micros("_rev_micros").alias("visitor_total_revenue"),
-        F.try_divide(F.col("_score_tenths").cast("double"), F.col("_scores") * 10.0)
-        .alias("visitor_avg_engagement_score"),
-        F.datediff("last_session_date", "first_session_date").cast("bigint").alias("visitor_days_active"))
-    return join_per_key(fs, v, "visitor_id", "_rows", hot_rows).drop("_rows")
-
-
-def int_funnel_steps(stg: DataFrame, hot_rows: int) -> DataFrame:
+    # rows of one session share a bucket; sessions without an id are told apart by their start
+    spread = F.coalesce("session_id", F.col("session_start_timestamp").cast("string"))
+    t = totals_within(fs, "visitor_id", spread, {
+        "_engaged": ("sum", F.col("reached_engagement")), "_converted": ("sum", F.col("reached_conversion")),
+        "_ever": ("max", F.col("is_converted")), "_micros": ("sum", F.col("_rev_micros")),
+        "_tenths": ("sum", F.col("_score_tenths")), "_scores": ("sum", flag(F.col("_score_tenths").isNotNull())),
+        "_first": ("min", F.col("session_date")), "_last": ("max", F.col("session_date"))}, {"_sessions": "session_id"})
+    totals = {
+        "visitor_total_sessions": F.col("_sessions"), "visitor_sessions_at_engagement": F.col("_engaged"),
+        "visitor_conversions": F.col("_converted"), "visitor_ever_converted": F.col("_ever"),
+        "visitor_total_revenue": usd_from_micros("_micros"),
+        "visitor_avg_engagement_score": F.try_divide(F.col("_tenths").cast("double"), F.col("_scores") * 10.0),
+        "visitor_days_active": F.datediff("_last", "_first").cast("bigint")}
+    known = F.col("visitor_id").isNotNull()
+    return t.select(*fs.columns, *[F.when(known, v).alias(name) for name, v in totals.items()])
+
+
+def int_funnel_steps(stg: DataFrame) -> DataFrame:
     """Session rows with stage flags and their visitor's journey totals (29 columns)."""
-    return _funnel_steps(stg, hot_rows).select(*SESSION_COLUMNS, *FLAG_COLUMNS, *VISITOR_COLUMNS)
+    return _funnel_steps(stg).select(*SESSION_COLUMNS, *FLAG_COLUMNS, *VISITOR_COLUMNS)
 
 
-def mart_conversion_funnel(stg: DataFrame, hot_rows: int) -> DataFrame:
+def mart_conversion_funnel(stg: DataFrame) -> DataFrame:
     """Funnel mart by source x medium x campaign (coalesced) x device x country."""
-    steps = _funnel_steps(stg, hot_rows)
+    steps = _funnel_steps(stg)
     exits = {name: flag(F.col("funnel_exit_stage") == stage) for name, stage in zip(EXIT_COUNT_COLUMNS, EXIT_STAGES)}
     rows = steps.select(
         "traffic_source", "traffic_medium", coalesce_campaign().alias("campaign_name"), "device_category",

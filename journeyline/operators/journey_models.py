@@ -3,7 +3,7 @@ cohort retention (R4), daily trend (R5), RFM segments (R6) and days to conversio
 
 Position-based credit is a fixed share of the visitor's converting revenue R per session
 position, computed in whole nano-dollars (R in micros x 1000, rounded half up) as decimals so sums
-are exact. Time-decay weights and credits are rounded to decimals before they are summed. Per-visitor figures come from the skew-safe session sequence (operators/skew.py).
+are exact. Time-decay weights and credits are rounded to decimals before they are summed. Per-visitor figures come from the session sequence and totals of operators/per_key.py.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.channels import campaign_identifier, channel_grouping
 from ..functions.numeric import exact, idiv, long_lit, round_to, safe_div, share_of, share_pct, usd_from_micros, usd_from_nanos
 from .attribution import MART_KEYS, sequenced_sessions
-from .skew import global_rank, join_per_key, ntile_of_rank
+from .per_key import ntiles, totals_within
 
 # Position shares (percent) and the time-decay half-life in days.
 U_SHAPE = (40, 20, 40)          # first, all middle sessions together, last
@@ -56,31 +56,30 @@ def _by_campaign(df: DataFrame, nanos: Column, name: str) -> DataFrame:
                     round_to(usd_from_nanos("_nanos"), 2).alias(name))
 
 
-def u_shaped_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
+def u_shaped_attribution(stg: DataFrame) -> DataFrame:
     """40 % first touch, 40 % last touch, 20 % spread over the sessions between
     (one session: 100 %, two sessions: 50 / 50)."""
-    s = sequenced_sessions(stg, hot_rows)
+    s = sequenced_sessions(stg)
     r, seq, n = F.col("conversion_micros"), F.col("session_sequence"), F.col("total_sessions_per_visitor")
     return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _u_shaped(r, seq, n)).otherwise(exact(F.lit(0))),
                         "u_shaped_revenue")
 
 
-def w_shaped_attribution(stg: DataFrame, hot_rows: int) -> DataFrame:
+def w_shaped_attribution(stg: DataFrame) -> DataFrame:
     """R2: 30 % first, 30 % middle session (position ceil(n/2)), 30 % last, 10 % over the rest
     (one session: 100 %, two: 50 / 50, three: a third each)."""
-    s = sequenced_sessions(stg, hot_rows)
+    s = sequenced_sessions(stg)
     r, seq, n = F.col("conversion_micros"), F.col("session_sequence"), F.col("total_sessions_per_visitor")
     return _by_campaign(s, F.when(F.col("visitor_conversions") > 0, _w_shaped(r, seq, n)).otherwise(exact(F.lit(0))),
                         "w_shaped_revenue")
 
 
-def time_decay_attribution(stg: DataFrame, hot_rows: int, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
+def time_decay_attribution(stg: DataFrame, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
     """Credit proportional to 2^(-days before the visitor's last session / half-life)."""
-    s = sequenced_sessions(stg, hot_rows)
+    s = sequenced_sessions(stg)
     s = s.withColumn("_w", F.pow(F.lit(2.0), -F.datediff("visitor_last_date", "session_date") / half_life_days)
                      .cast("decimal(20,18)"))
-    totals = s.groupBy("visitor_id").agg(F.sum("_w").alias("_w_total"), F.count(F.lit(1)).alias("_rows"))
-    s = join_per_key(s, totals, "visitor_id", "_rows", hot_rows)
+    s = totals_within(s, "visitor_id", F.struct("session_start_timestamp", "session_id"), {"_w_total": ("sum", F.col("_w"))})
     credit = F.when(F.col("visitor_conversions") > 0,
                     usd_from_micros("conversion_micros")
                     * (F.col("_w").cast("double") / F.col("_w_total").cast("double"))).otherwise(F.lit(0.0)).cast("decimal(28,9)")
@@ -91,13 +90,12 @@ def time_decay_attribution(stg: DataFrame, hot_rows: int, half_life_days: float
                     round_to(F.col("_credit").cast("double"), 2).alias("time_decay_revenue"))
 
 
-def cohort_retention(stg: DataFrame, hot_rows: int) -> DataFrame:
+def cohort_retention(stg: DataFrame) -> DataFrame:
     """Visitors by the week of their first session, active again 0, 1, 2 ... weeks later.
     Sessions without a visitor id belong to no cohort."""
     stg = stg.where(F.col("visitor_id").isNotNull())
-    first = stg.groupBy("visitor_id").agg(F.min("session_date").alias("first_date"),
-                                          F.count(F.lit(1)).alias("_rows"))
-    s = join_per_key(stg.select("visitor_id", "session_date"), first, "visitor_id", "_rows", hot_rows)
+    days = stg.groupBy("visitor_id", "session_date").agg(F.count(F.lit(1)).alias("_s"))
+    s = totals_within(days, "visitor_id", F.col("session_date"), {"first_date": ("min", F.col("session_date"))})
     active = (s.select(F.trunc("first_date", "week").alias("cohort_week"),
                        idiv(F.datediff("session_date", "first_date"), 7).alias("weeks_since_first"), "visitor_id")
               .groupBy("cohort_week", "weeks_since_first", "visitor_id").agg(F.count(F.lit(1)).alias("_s")))
@@ -140,35 +138,22 @@ def days_to_conversion(stg: DataFrame) -> DataFrame:
 
 
 RFM_BUCKETS = 5
-RANK_ROWS_PER_PARTITION = 1_000_000
 
 
 def rfm_segments(stg: DataFrame) -> DataFrame:
     """Recency / frequency / monetary scores 1-5 per visitor (NTILE, 5 = best), reported
-    per score cell. Each NTILE is an exact distributed rank (operators/skew.global_rank)
-    ordered by the measure and then ``visitor_id``, so ties split the same way every run."""
+    per score cell. The tiles are exact and ordered by the measure and then ``visitor_id``, so ties split the same way
+    every run; ``per_key.ntiles`` finds all three at once without a window over all visitors."""
     micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
     stg = stg.where(F.col("visitor_id").isNotNull())  # a NULL visitor is not a visitor
     per_session = stg.groupBy("visitor_id", "session_id").agg(F.max("session_date").alias("d"),
                                                               F.sum(micros).alias("_rev"))
     v = per_session.groupBy("visitor_id").agg(F.max("d").alias("last_date"), F.count(F.lit(1)).alias("frequency"),
                                               F.sum("_rev").alias("monetary_micros"))
-    # Two numbers for the whole table: visitor count and the latest date.
-    n_visitors, latest = v.agg(F.count(F.lit(1)), F.max("last_date")).first()
-    if not n_visitors:
-        return v.select(*[F.lit(None).cast("bigint").alias(c) for c in ("r_score", "f_score", "m_score")],
-                        F.lit(0).cast("bigint").alias("visitors"), F.lit(0).cast("bigint").alias("sessions"),
-                        F.lit(0.0).alias("revenue")).limit(0)
-    v = v.withColumn("recency_days", F.datediff(F.lit(latest), "last_date"))
-    # range partitions for the ranks: about one per million visitors
-    parts = max(1, min(int(stg.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                       -(-n_visitors // RANK_ROWS_PER_PARTITION)))
-    steps = [("r_score", [F.desc("recency_days"), "visitor_id"]), ("f_score", ["frequency", "visitor_id"]),
-             ("m_score", ["monetary_micros", "visitor_id"])]
-    for score, order in steps:
-        v = global_rank(v, order, "_rank", parts).withColumn(score, ntile_of_rank("_rank", n_visitors, RFM_BUCKETS)) \
-            .drop("_rank")
-    g = v.groupBy("r_score", "f_score", "m_score").agg(
+    # fewer days since the last session are better: the order of recency, falling, is that of the last date
+    scores = ntiles(v, "visitor_id", {"r_score": F.unix_date("last_date"), "f_score": F.col("frequency"),
+                                      "m_score": F.col("monetary_micros")}, RFM_BUCKETS)
+    g = v.join(scores, "visitor_id").groupBy("r_score", "f_score", "m_score").agg(
         F.count(F.lit(1)).alias("visitors"), F.sum("frequency").alias("sessions"),
         F.sum("monetary_micros").alias("_rev"))
     return g.select("r_score", "f_score", "m_score", "visitors", "sessions", usd_from_micros("_rev").alias("revenue"))

@@ -5,15 +5,8 @@ written once into the shared checkpoint folder (a stored table cuts the lineage,
 executor only recomputes from the stored files) and every mart reads it back; each mart is
 a full-rebuild table with a build stamp.
 
-How the staged table is stored depends on the visitor distribution, checked with one
-aggregation over the visitor id column of the raw scan:
-
-* no visitor holds more than ``journeyline.skew.hotKeyRows`` sessions: the table is
-  bucketed by ``visitor_id``. The session window, the visitor totals, the visitor join and
-  the (keys, visitor, session) / (keys, visitor) aggregation levels of all three marts then
-  need no shuffle; writing the buckets is the one shuffle of session rows;
-* otherwise: the table is partitioned by ``session_date`` and the marts take their
-  skew-safe paths (operators/skew.py).
+The staged table is partitioned by ``session_date`` in every build: a refresh replaces days, readers prune days, and
+per-visitor work doesn't depend on how rows are stored (operators/per_key.py).
 """
 
 from __future__ import annotations
@@ -22,12 +15,13 @@ import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import attribution, campaign, funnel, quality
-from ..operators.skew import has_hot_keys
 from ..operators.staging import stg_sessions
-from ..session import checkpoint_dir, hot_key_rows
+from ..schemas import STG_SESSIONS
+from ..session import checkpoint_dir
 
 
 def default_output(spark: SparkSession) -> str:
@@ -39,20 +33,14 @@ def build_project(spark: SparkSession, raw: DataFrame, out_dir: str | None = Non
                   run_tests: bool = True) -> dict[str, DataFrame]:
     """Materialise staging, the marts and (optionally) the test reports; return them read back."""
     out = out_dir or default_output(spark)
-    hot = hot_key_rows(spark)
-    staged = stg_sessions(raw)
-    if has_hot_keys(staged.select("visitor_id"), "visitor_id", hot):
-        stg = sinks.write_model(spark, staged, "stg_ga_sessions", "staging", out,
-                                stamp=False, partition_by=["session_date"])
-    else:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        stg = sinks.write_model(spark, staged, "stg_ga_sessions", "staging", out,
-                                stamp=False, bucket_by=(buckets, "visitor_id"))
+    stg = sinks.write_model(spark, stg_sessions(raw), "stg_ga_sessions", "staging", out, stamp=False,
+                            partition_by=["session_date"])
+    stg = stg.withColumn("session_date", F.col("session_date").cast("date")).select(*STG_SESSIONS.fieldNames())
     built = {"stg_ga_sessions": stg}
     marts = {
         ("campaign_performance", "mart_campaign_performance"): campaign.mart_campaign_performance(stg),
-        ("attribution", "mart_attribution_analysis"): attribution.mart_attribution_analysis(stg, hot),
-        ("funnel", "mart_conversion_funnel"): funnel.mart_conversion_funnel(stg, hot),
+        ("attribution", "mart_attribution_analysis"): attribution.mart_attribution_analysis(stg),
+        ("funnel", "mart_conversion_funnel"): funnel.mart_conversion_funnel(stg),
     }
     for (domain, name), df in marts.items():
         built[name] = sinks.write_model(spark, df, name, domain, out)

@@ -20,7 +20,6 @@ from ..operators import funnel, metrics, quality
 from ..operators import journey_models as jm
 from ..operators.campaign import int_campaign_metrics, mart_campaign_performance
 from ..operators.staging import stg_sessions
-from ..session import hot_key_rows
 from ..sources.events_adapter import load_raw_sessions
 from ..sources.raw_sessions import shard_range
 
@@ -45,7 +44,7 @@ def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     are shared by many queries. MEMORY_AND_DISK keeps them across queries; a lost block
     is recomputed from lineage.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name, hot_key_rows(spark))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MODELS:
         _MODELS[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[key]
@@ -74,12 +73,12 @@ def _campaign_mart(spark, sf_dir):
 
 def _attribution_mart(spark, sf_dir):
     return model(spark, sf_dir, "mart_attribution_analysis",
-                 lambda: attr.mart_attribution_analysis(staged(spark, sf_dir), hot_key_rows(spark)))
+                 lambda: attr.mart_attribution_analysis(staged(spark, sf_dir)))
 
 
 def _funnel_mart(spark, sf_dir):
     return model(spark, sf_dir, "mart_conversion_funnel",
-                 lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir), hot_key_rows(spark)))
+                 lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir)))
 
 
 @query("src_shard_range")
@@ -149,7 +148,7 @@ def q_mart_campaign_performance(spark, sf_dir):
 @query("session_sequence")
 def q_session_sequence(spark, sf_dir):
     """W1 + W2: position of each session in its visitor's journey and the journey length."""
-    seq = attr.sequenced_sessions(staged(spark, sf_dir), hot_key_rows(spark))
+    seq = attr.sequenced_sessions(staged(spark, sf_dir))
     return seq.select("session_id", "visitor_id", "session_start_timestamp", "session_sequence",
                       "total_sessions_per_visitor")
 
@@ -157,14 +156,14 @@ def q_session_sequence(spark, sf_dir):
 @query("touch_flags")
 def q_touch_flags(spark, sf_dir):
     """First / last touch flags and the linear weight."""
-    df = attr.with_touch_flags(attr.sequenced_sessions(staged(spark, sf_dir), hot_key_rows(spark)))
+    df = attr.with_touch_flags(attr.sequenced_sessions(staged(spark, sf_dir)))
     return df.select("session_id", "visitor_id", "session_sequence", "total_sessions_per_visitor",
                      "is_first_touch", "is_last_touch", "linear_weight")
 
 
 @query("int_session_attribution")
 def q_int_session_attribution(spark, sf_dir):
-    return attr.int_session_attribution(staged(spark, sf_dir), hot_key_rows(spark))
+    return attr.int_session_attribution(staged(spark, sf_dir))
 
 
 @query("mart_attribution_analysis")
@@ -202,7 +201,7 @@ def q_visitor_journey(spark, sf_dir):
 
 @query("int_funnel_steps")
 def q_int_funnel_steps(spark, sf_dir):
-    return funnel.int_funnel_steps(staged(spark, sf_dir), hot_key_rows(spark))
+    return funnel.int_funnel_steps(staged(spark, sf_dir))
 
 
 @query("mart_conversion_funnel")
@@ -284,14 +283,14 @@ def q_metric_benchmark_bands(spark, sf_dir):
 
 @query("metric_assisted_conversions")
 def q_metric_assisted_conversions(spark, sf_dir):
-    return metrics.assisted_conversions(attr.int_session_attribution(staged(spark, sf_dir), hot_key_rows(spark)))
+    return metrics.assisted_conversions(attr.int_session_attribution(staged(spark, sf_dir)))
 
 
 # ---- roadmap models (R1-R7) -----------------------------------------------------------
 
 for _name, _fn in [("attr_u_shaped", jm.u_shaped_attribution), ("attr_w_shaped", jm.w_shaped_attribution),
                    ("attr_time_decay", jm.time_decay_attribution), ("cohort_retention", jm.cohort_retention)]:
-    QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir), hot_key_rows(spark)))(_fn)
+    QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir)))(_fn)
 for _name, _fn in [("daily_trend", jm.daily_trend), ("days_to_conversion", jm.days_to_conversion),
                    ("rfm_segments", jm.rfm_segments)]:
     QUERIES[_name] = (lambda fn: lambda spark, sf_dir: fn(staged(spark, sf_dir)))(_fn)

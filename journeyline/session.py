@@ -31,16 +31,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # checkpoint files of the hot-key / rank paths are deleted once no longer referenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Name of the library's own setting: a visitor with more session rows than this is
-# treated as a hot key (see operators/skew.py).
-HOT_KEY_ROWS_CONF = "journeyline.skew.hotKeyRows"
-DEFAULT_HOT_KEY_ROWS = 1_000_000
-
-
 def get_spark(master: str | None = None, app_name: str = "journeyline",
               shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings applied."""
@@ -65,10 +57,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def hot_key_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_KEY_ROWS_CONF, str(DEFAULT_HOT_KEY_ROWS)))
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -2,8 +2,7 @@
 
 Usage: python show_plans.py [sf_dir]
 
-The staged table is built from the adapter and stored twice in a fresh scratch folder:
-bucketed by visitor (what build_project writes when no visitor is hot) and plain Parquet.
+The staged table is built from the adapter and stored by date in a fresh scratch folder, as build_project does.
 For each mart the script prints the operators that decide the cost: exchanges, joins,
 aggregations, windows and scans (projections, filters and sorts are left out).
 """
@@ -14,6 +13,8 @@ import re
 import sys
 import tempfile
 
+from pyspark.sql import functions as F
+
 from journeyline import sinks
 from journeyline.operators import attribution, campaign, funnel
 from journeyline.operators.staging import stg_sessions
@@ -48,19 +49,14 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     base = tempfile.mkdtemp(prefix="jl-plans-", dir="/tmp")
     staged = stg_sessions(load_raw_sessions(spark, sf_dir))
-    layouts = {
-        "bucketed by visitor_id": sinks.write_model(spark, staged, "stg_ga_sessions", "bucketed", base, stamp=False,
-                                                    bucket_by=(8, "visitor_id")),
-        "plain parquet": sinks.write_model(spark, staged, "stg_ga_sessions", "plain", base, stamp=False),
-    }
-    for layout, stg in layouts.items():
-        for name, build in [("mart_campaign_performance", lambda s: campaign.mart_campaign_performance(s)),
-                            ("mart_attribution_analysis", lambda s: attribution.mart_attribution_analysis(s, 10**6)),
-                            ("mart_conversion_funnel", lambda s: funnel.mart_conversion_funnel(s, 10**6))]:
-            lines = condensed(build(stg))
-            print(f"### {name} — staged table {layout} "
-                  f"({sum('Exchange hashpartitioning' in x for x in lines)} shuffle exchanges)\n")
-            print("```\n" + "\n".join(lines) + "\n```\n")
+    stg = sinks.write_model(spark, staged, "stg_ga_sessions", "staging", base, stamp=False, partition_by=["session_date"])
+    stg = stg.withColumn("session_date", F.col("session_date").cast("date"))
+    for name, build in [("mart_campaign_performance", campaign.mart_campaign_performance),
+                        ("mart_attribution_analysis", attribution.mart_attribution_analysis),
+                        ("mart_conversion_funnel", funnel.mart_conversion_funnel)]:
+        lines = condensed(build(stg))
+        print(f"### {name} ({sum('Exchange hashpartitioning' in x for x in lines)} shuffle exchanges)\n")
+        print("```\n" + "\n".join(lines) + "\n```\n")
 
 
 if __name__ == "__main__":

@@ -20,10 +20,10 @@ def _session(visitor, visit, micros, pageviews=3, bounces=None):
 def test_ten_visitors_with_a_billion_dollars_each(spark):
     raw = spark.createDataFrame([_session(f"v{i}", i, 10**15) for i in range(10)], RAW_SESSIONS)
     stg = stg_sessions(raw)
-    row = attribution.mart_attribution_analysis(stg, 10**9).collect()[0]
+    row = attribution.mart_attribution_analysis(stg).collect()[0]
     assert row["linear_attribution_revenue"] == 1e10
-    assert journey_models.u_shaped_attribution(stg, 10**9).collect()[0]["u_shaped_revenue"] == 1e10
-    assert journey_models.w_shaped_attribution(stg, 10**9).collect()[0]["w_shaped_revenue"] == 1e10
+    assert journey_models.u_shaped_attribution(stg).collect()[0]["u_shaped_revenue"] == 1e10
+    assert journey_models.w_shaped_attribution(stg).collect()[0]["w_shaped_revenue"] == 1e10
 
 
 def test_pair_weights_of_one_visitor_with_millions_of_conversions(spark):
@@ -31,7 +31,7 @@ def test_pair_weights_of_one_visitor_with_millions_of_conversions(spark):
     one = spark.createDataFrame([_session("v", 1, 1_000_000)], RAW_SESSIONS)
     raw = (one.crossJoin(F.broadcast(spark.range(n)))
            .withColumn("visitId", F.col("id").cast(one.schema["visitId"].dataType)).drop("id").select(*one.columns))
-    row = attribution.mart_attribution_analysis(stg_sessions(raw), 10**9).collect()[0]
+    row = attribution.mart_attribution_analysis(stg_sessions(raw)).collect()[0]
     assert row["avg_sessions_per_visitor"] == n
     assert row["avg_session_position_in_journey"] == (n + 1) / 2
 

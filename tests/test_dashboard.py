@@ -7,13 +7,13 @@ from journeyline.operators import attribution, campaign, dashboard, funnel
 
 
 def test_attribution_totals_are_equal(hand_stg):
-    t = dashboard.attribution_totals(attribution.mart_attribution_analysis(hand_stg, 10**6)).first()
+    t = dashboard.attribution_totals(attribution.mart_attribution_analysis(hand_stg)).first()
     assert t["first_touch_revenue"] == t["last_touch_revenue"] == pytest.approx(260.0, abs=0.02)
     assert t["linear_attribution_revenue"] == pytest.approx(260.0, abs=0.02)
 
 
 def test_funnel_overall_rate_is_ratio_of_sums(hand_stg):
-    t = dashboard.funnel_totals(funnel.mart_conversion_funnel(hand_stg, 10**6)).first()
+    t = dashboard.funnel_totals(funnel.mart_conversion_funnel(hand_stg)).first()
     assert t["sessions_landing"] == 14 and t["sessions_conversion"] == 6
     assert t["overall_conversion_rate_pct"] == round(6 / 14 * 100, 2)
 

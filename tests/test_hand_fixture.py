@@ -32,8 +32,8 @@ def test_shard_range_keeps_14_sessions(hand_stg):
 
 
 def test_session_level_rules(hand_stg):
-    steps = funnel.int_funnel_steps(hand_stg, hot_rows=10**6).collect()
-    seq = attribution.sequenced_sessions(hand_stg, hot_rows=10**6).collect()
+    steps = funnel.int_funnel_steps(hand_stg).collect()
+    seq = attribution.sequenced_sessions(hand_stg).collect()
     for row in HAND:
         name, visitor, visit = row[0], row[1], row[2]
         if name == "h13":
@@ -47,7 +47,7 @@ def test_session_level_rules(hand_stg):
 
 def test_attribution_mart_rows(hand_stg):
     rows = {(r["traffic_source"], r["traffic_medium"], r["campaign_name"]): r
-            for r in attribution.mart_attribution_analysis(hand_stg, hot_rows=10**6).collect()}
+            for r in attribution.mart_attribution_analysis(hand_stg).collect()}
     assert len(rows) == 13
     expect = {
         ("google", "cpc", "Brand"): (100.0, 0.0, 33.33, 1.0, 3.0, "Initiator", "Medium journey"),
@@ -74,7 +74,7 @@ def test_attribution_mart_rows(hand_stg):
 
 
 def test_attribution_conserves_revenue_and_fanout(hand_stg):
-    per_session = attribution.int_session_attribution(hand_stg, hot_rows=10**6)
+    per_session = attribution.int_session_attribution(hand_stg)
     t = per_session.agg(F.sum("attribution_rows").alias("pairs"), F.sum("first_touch_revenue").alias("f"),
                         F.sum("last_touch_revenue").alias("l"),
                         F.sum("linear_attribution_revenue").alias("lin")).first()
@@ -85,7 +85,7 @@ def test_attribution_conserves_revenue_and_fanout(hand_stg):
 def test_campaign_and_funnel_marts(hand_stg):
     daily = campaign.int_campaign_metrics(hand_stg)
     mart = campaign.mart_campaign_performance(hand_stg)
-    fmart = funnel.mart_conversion_funnel(hand_stg, hot_rows=10**6)
+    fmart = funnel.mart_conversion_funnel(hand_stg)
     assert daily.count() == 13 and mart.count() == 13 and fmart.count() == 13
     assert mart.agg(F.sum("total_revenue")).first()[0] == pytest.approx(265)
     assert fmart.agg(F.sum("total_revenue")).first()[0] == pytest.approx(260)

@@ -13,7 +13,7 @@ def test_funnel_invariants(spark):
     stg = staged(spark, SF_CHECK)
     steps = funnel.funnel_sessions(stg)
     assert steps.where((F.col("reached_deep_engagement") == 1) & (F.col("reached_engagement") == 0)).count() == 0
-    mart = funnel.mart_conversion_funnel(stg, 10**6)
+    mart = funnel.mart_conversion_funnel(stg)
     t = mart.agg(*[F.sum(c).alias(c) for c in ["sessions_landing", "exits_at_landing", "exits_after_landing",
                                                "exits_at_engagement", "exits_at_deep_engagement", "exits_converted"]]).first()
     other = steps.where(F.col("funnel_exit_stage") == "other").count()
@@ -24,7 +24,7 @@ def test_funnel_invariants(spark):
 def test_attribution_credits_converting_revenue(spark):
     stg = staged(spark, SF_CHECK)
     converting = stg.where("is_converted = 1").agg(F.sum("revenue_usd")).first()[0]
-    s = attribution.int_session_attribution(stg, 10**6).agg(
+    s = attribution.int_session_attribution(stg).agg(
         F.sum("first_touch_revenue"), F.sum("last_touch_revenue"), F.sum("linear_attribution_revenue"),
         F.sum("attribution_rows")).first()
     assert s[0] == pytest.approx(converting) and s[1] == pytest.approx(converting) and s[2] == pytest.approx(converting)

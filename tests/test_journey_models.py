@@ -10,14 +10,13 @@ from journeyline.operators import journey_models as jm
                                     (jm.w_shaped_attribution, "w_shaped_revenue"),
                                     (jm.time_decay_attribution, "time_decay_revenue")])
 def test_models_conserve_converting_revenue(hand_stg, fn, col):
-    df = fn(hand_stg, 10**6)
+    df = fn(hand_stg)
     assert df.agg(F.sum(col)).first()[0] == pytest.approx(260, abs=0.05)
-    assert fn(hand_stg, 0).exceptAll(df).count() == 0  # hot-key path gives the same result
 
 
 def test_u_shape_weights(hand_stg):
     rows = {(r["traffic_source"], r["traffic_medium"]): r["u_shaped_revenue"]
-            for r in jm.u_shaped_attribution(hand_stg, 10**6).collect()}
+            for r in jm.u_shaped_attribution(hand_stg).collect()}
     # visitor B: 3 sessions, $100 converted -> 40 / 20 / 40
     assert rows[("google", "cpc")] == 40.0 and rows[("(direct)", "(none)")] == 20.0
     # visitor G: 2 sessions, $120 -> 60 / 60

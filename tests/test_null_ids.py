@@ -43,14 +43,13 @@ def null_stg(spark):
     return stg_sessions(raw).cache()
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_marts_with_null_ids_match_sql(spark, null_stg, hot_rows):
+def test_marts_with_null_ids_match_sql(spark, null_stg):
     pdf = null_stg.withColumn("rev_micros", F.coalesce("transaction_revenue_micros", F.lit(0))).toPandas()
     assert null_stg.where("session_id IS NULL").count() == 3
     _compare(campaign.mart_campaign_performance(null_stg), "WITH " + O.CAMPAIGN_CTES.strip() + " SELECT * FROM mart_cp", pdf)
-    _compare(attribution.mart_attribution_analysis(null_stg, hot_rows),
+    _compare(attribution.mart_attribution_analysis(null_stg),
              "WITH " + O.ATTRIBUTION_CTES.strip() + " SELECT * FROM mart_attr", pdf)
-    _compare(funnel.mart_conversion_funnel(null_stg, hot_rows),
+    _compare(funnel.mart_conversion_funnel(null_stg),
              "WITH " + O.FUNNEL_CTES.strip() + " SELECT * FROM mart_funnel", pdf)
-    _compare(funnel.int_funnel_steps(null_stg, hot_rows),
+    _compare(funnel.int_funnel_steps(null_stg),
              "WITH " + O.FUNNEL_CTES.strip() + f" SELECT {O.IFS_COLUMNS} FROM ifs", pdf)

@@ -4,7 +4,7 @@ import os
 import tempfile
 
 from journeyline.operators import attribution, campaign, funnel
-from journeyline.operators.skew import sequence_within
+from journeyline.operators.per_key import sequence_within
 from journeyline.sources.raw_sessions import read_sessions, write_sessions
 from journeyline.operators.staging import stg_sessions
 
@@ -25,12 +25,15 @@ def test_shard_range_prunes_partitions_and_nested_columns(spark, hand_raw):
 
 
 def test_marts_use_no_expand(hand_stg):
-    for df in [campaign.mart_campaign_performance(hand_stg), attribution.mart_attribution_analysis(hand_stg, 10**6),
-               funnel.mart_conversion_funnel(hand_stg, 10**6)]:
+    for df in [campaign.mart_campaign_performance(hand_stg), attribution.mart_attribution_analysis(hand_stg),
+               funnel.mart_conversion_funnel(hand_stg)]:
         assert "Expand" not in _plan(df)
 
 
-def test_sequence_window_uses_one_exchange(hand_stg):
-    df = sequence_within(hand_stg, "visitor_id", ["session_start_timestamp", "session_id"], 10**6)
-    plan = _plan(df)
-    assert plan.count("Exchange hashpartitioning(visitor_id") == 1
+def test_sessions_are_dealt_by_visitor_and_hour_once(hand_stg):
+    """The sessions cross the network once, by visitor and hour, and the join keeps that order; the other exchanges
+    carry one row for each visitor and hour: their counts, their running sums, and these on their way back."""
+    plan = _plan(sequence_within(hand_stg, "visitor_id", "session_start_timestamp", ["session_id"]))
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(dealt) == 4 and sum("_bucket" in d for d in dealt) == 3
+    assert "Broadcast" not in plan

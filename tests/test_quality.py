@@ -23,7 +23,7 @@ def test_staging_suite_passes_on_fixture(hand_stg):
 
 
 def test_funnel_suite_reports_non_nested_funnel(hand_stg):
-    mart = funnel.mart_conversion_funnel(hand_stg, hot_rows=10**6)
+    mart = funnel.mart_conversion_funnel(hand_stg)
     rows = {(r["test"], r["column_name"]): r for r in
             quality.run_checks(mart, "mart_conversion_funnel", quality.FUNNEL_TESTS).collect()}
     deep = rows[("expression_is_true", "sessions_deep_engagement >= sessions_conversion")]
