@@ -7,6 +7,7 @@ no web-session table), then runs the library's operators on the whole result.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -14,14 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.channels import campaign_identifier, channel_grouping
+from .. import sinks
 from ..operators import attribution as attr
+from ..operators import cuboids as cube
 from ..operators import dashboard as dash
+from ..operators import distinct_visitors as dv
 from ..operators import funnel, metrics, quality
 from ..operators import journey_models as jm
 from ..operators.campaign import int_campaign_metrics, mart_campaign_performance
 from ..operators.staging import stg_sessions
 from ..sources.events_adapter import load_raw_sessions
-from ..sources.raw_sessions import shard_range
+from ..session import checkpoint_dir
+from ..sources.raw_sessions import read_days, read_shards, shard_range, write_sessions, write_shards
+from ..streaming.incremental import daily_table, mart_table, start_campaign_refresh
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +41,7 @@ def query(name: str):
 
 
 _MODELS: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}  # stored, so nothing is persisted
 
 
 def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -50,6 +57,14 @@ def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     return _MODELS[key]
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that ``build`` writes, once per session and input directory."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = build()
+    return _TABLES[key]
+
+
 def release_models(spark: SparkSession) -> int:
     """Unpersist every model this session built through ``model()``; returns how many."""
     keys = [k for k in _MODELS if k[0] == id(spark) and k[1] == spark.sparkContext.applicationId]
@@ -81,10 +96,12 @@ def _funnel_mart(spark, sf_dir):
                  lambda: funnel.mart_conversion_funnel(staged(spark, sf_dir)))
 
 
-@query("src_shard_range")
-def q_src_shard_range(spark, sf_dir):
-    """The shard-range filter on the raw nested records, leaves read by path."""
-    raw = shard_range(load_raw_sessions(spark, sf_dir), "20240108", "20240121")
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one, for tables that a query writes and reads back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/journeyline/{name}-{uuid.uuid4().hex}"
+
+
+def _raw_leaves(raw: DataFrame) -> DataFrame:
     return raw.select(
         "fullVisitorId", "visitId", "visitStartTime", "date",
         F.col("totals.visits").alias("totals_visits"), F.col("totals.hits").alias("totals_hits"),
@@ -100,6 +117,30 @@ def q_src_shard_range(spark, sf_dir):
         F.col("geoNetwork.country").alias("country"))
 
 
+@query("src_shard_range")
+def q_src_shard_range(spark, sf_dir):
+    """The shard-range filter on the raw nested records, leaves read by path."""
+    return _raw_leaves(shard_range(load_raw_sessions(spark, sf_dir), "20240108", "20240121"))
+
+
+@query("src_stored_shards")
+def q_src_stored_shards(spark, sf_dir):
+    """One stored table per day, picked by its name's suffix."""
+    base = _scratch(spark, "shards")
+    write_shards(load_raw_sessions(spark, sf_dir), base)
+    return _raw_leaves(read_shards(spark, base, "20240108", "20240121"))
+
+
+@query("src_days_of_a_table")
+def q_src_days_of_a_table(spark, sf_dir):
+    """The stored ``date=`` layout, read for the days of another table (dynamic partition pruning): days with a
+    purchase of 250 or more."""
+    path = _scratch(spark, "raw")
+    write_sessions(load_raw_sessions(spark, sf_dir), path)
+    big = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'purchase' and value >= 250")
+    return _raw_leaves(read_days(spark, path, big.select(F.date_format("ts", "yyyyMMdd").alias("date"))))
+
+
 @query("stg_sessions")
 def q_stg_sessions(spark, sf_dir):
     return staged(spark, sf_dir)
@@ -142,6 +183,48 @@ def q_mart_campaign_performance(spark, sf_dir):
     return _campaign_mart(spark, sf_dir)
 
 
+@query("campaign_daily_refreshed")
+def q_campaign_daily_refreshed(spark, sf_dir):
+    """The daily table built by the stream, in several micro-batches of stored days, read through its manifest."""
+    raw, out = _scratch(spark, "raw"), _scratch(spark, "refresh")
+    write_sessions(load_raw_sessions(spark, sf_dir), raw)
+    start_campaign_refresh(spark, raw, out, available_now=True, files_per_batch=12).awaitTermination()
+    return daily_table(spark, out)
+
+
+@query("campaign_mart_refreshed")
+def q_campaign_mart_refreshed(spark, sf_dir):
+    """The campaign mart of the newest snapshot."""
+    raw, out = _scratch(spark, "raw"), _scratch(spark, "refresh")
+    write_sessions(load_raw_sessions(spark, sf_dir), raw)
+    start_campaign_refresh(spark, raw, out, available_now=True, files_per_batch=12).awaitTermination()
+    return mart_table(spark, out)
+
+
+def _visitor_states(spark, sf_dir):
+    """The stored daily visitor states."""
+    def build():
+        base = _scratch(spark, "visitors")
+        stg = staged(spark, sf_dir)
+        dv.extend_numbers(stg).write.parquet(f"{base}/numbers")
+        dv.daily_states(stg, spark.read.parquet(f"{base}/numbers")).write.partitionBy("session_date").parquet(f"{base}/states")
+        return spark.read.parquet(f"{base}/states").withColumn("session_date", F.col("session_date").cast("date"))
+    return stored(spark, sf_dir, "visitor_states", build)
+
+
+@query("distinct_visitors_weekly")
+def q_distinct_visitors_weekly(spark, sf_dir):
+    """True distinct visitors by campaign, device and week, merged from stored daily states."""
+    return dv.distinct_visitors(_visitor_states(spark, sf_dir), {
+        "campaign_name": "campaign_name", "device_category": "device_category", "week": F.trunc("session_date", "week")})
+
+
+@query("distinct_visitors_by_channel")
+def q_distinct_visitors_by_channel(spark, sf_dir):
+    """M6: true distinct visitors by channel over all days, from the same states."""
+    return dv.distinct_visitors(_visitor_states(spark, sf_dir), {"channel_grouping": channel_grouping(full=True)})
+
+
 # ---- attribution ------------------------------------------------------------------------
 
 
@@ -256,6 +339,55 @@ for _name, _fn, _mart in [
     QUERIES[_name] = (lambda fn, mart: lambda spark, sf_dir: fn(mart(spark, sf_dir)))(_fn, _mart)
 
 
+def _cuboids(spark, sf_dir):
+    return stored(spark, sf_dir, "cuboids", lambda: cube.build_cuboids(staged(spark, sf_dir), _scratch(spark, "cuboids")))
+
+
+PAGE_FILTERS = {"country": ["NATION_1", "NATION_4", "NATION_7"], "session_date": ("between", _dt.date(2024, 1, 8), _dt.date(2024, 1, 21))}
+
+
+@query("dash_kpis_filtered")
+def q_dash_kpis_filtered(spark, sf_dir):
+    """K1 + K13: the first page's figures for three countries and two weeks."""
+    return cube.kpis(_cuboids(spark, sf_dir), [], PAGE_FILTERS)
+
+
+@query("dash_channel_device_filtered")
+def q_dash_channel_device_filtered(spark, sf_dir):
+    """K2-K4 + K13: by channel and device, for three countries and two weeks."""
+    return cube.kpis(_cuboids(spark, sf_dir), ["channel_grouping", "device_category"], PAGE_FILTERS)
+
+
+@query("dash_daily_country")
+def q_dash_daily_country(spark, sf_dir):
+    """K4 + K13: by day and country, mobile sessions of two channels."""
+    return cube.kpis(_cuboids(spark, sf_dir), ["session_date", "country"],
+                     {"device_category": "mobile", "channel_grouping": ["Paid Search", "Social"]})
+
+
+@query("dash_funnel_filtered")
+def q_dash_funnel_filtered(spark, sf_dir):
+    """K9-K11 + K13: the funnel by channel for one country."""
+    return cube.funnel(_cuboids(spark, sf_dir), ["channel_grouping"], {"country": "NATION_4"})
+
+
+# ---- published tables ----------------------------------------------------------------------
+
+
+def _readback(name: str, schema: str, mart):
+    def run(spark, sf_dir):
+        rows = mart(spark, sf_dir)
+        return sinks.publish_table(spark, rows, name, schema, _scratch(spark, "published")).select(*rows.columns)
+    run.__doc__ = f"S3/S5/S6: {name} as a build in schema {schema}, read through its view."
+    return run
+
+
+for _name, _schema, _mart in [("mart_campaign_performance", "campaign_performance", _campaign_mart),
+                              ("mart_attribution_analysis", "attribution", _attribution_mart),
+                              ("mart_conversion_funnel", "funnel", _funnel_mart)]:
+    QUERIES[f"{_name}_readback"] = _readback(_name, _schema, _mart)
+
+
 # ---- metrics -------------------------------------------------------------------------------
 
 for _name, _fn in [

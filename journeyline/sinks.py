@@ -12,6 +12,7 @@ here so that query results stay comparable between runs.
 
 from __future__ import annotations
 
+import time
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,47 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
     return spark.read.parquet(path)
 
 
+def publish_table(spark: SparkSession, df: DataFrame, name: str, schema: str, base_path: str, stamp: bool = True) -> DataFrame:
+    """Write one build of a model as a catalog table and point the view ``<schema>.<name>`` at it; returns the view's rows.
+
+    Each build is a table of its own, ``<schema>.<name>__<build>`` with its data under ``<base>/<schema>/<name>/<build>``. The
+    view moves only after the write has ended, so readers keep the build before while a new one is written and if it
+    fails. Older builds stay until ``drop_old_builds``."""
+    out = df.withColumn("last_updated", F.current_timestamp()) if stamp else df
+    build = f"b{time.time_ns()}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    path = f"{base_path.rstrip('/')}/{schema}/{name}/{build}"
+    try:
+        out.write.option("path", path).saveAsTable(f"`{schema}`.`{name}__{build}`", format="parquet")
+    except Exception:
+        _delete(spark, path)  # what the failed write left
+        raise
+    spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM `{schema}`.`{name}__{build}`")
+    return spark.table(f"`{schema}`.`{name}`")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def builds(spark: SparkSession, name: str, schema: str) -> list[str]:
+    """The catalog tables of a model's builds, oldest first."""
+    prefix = f"{name}__b"
+    rows = spark.sql(f"SHOW TABLES IN `{schema}`").collect()  # one entry for each table
+    return sorted((r["tableName"] for r in rows if r["tableName"].startswith(prefix.lower())), key=lambda t: int(t[len(prefix):]))
+
+
+def drop_old_builds(spark: SparkSession, name: str, schema: str, keep: int = 1) -> list[str]:
+    """Drop all but the newest ``keep`` builds from the catalog, files included; returns their names. The view's is never dropped."""
+    old = builds(spark, name, schema)[:-max(keep, 1)]
+    for table in old:
+        where = spark.sql(f"DESCRIBE FORMATTED `{schema}`.`{table}`").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE `{schema}`.`{table}`")
+        _delete(spark, where)  # an external table keeps its files
+    return old
+
+
 # The reference's ORDER BY of each mart (O1-O3). A stored table has no order, so
 # ``write_model`` does not sort; readers that display a mart apply this.
 DISPLAY_ORDER = {
