@@ -51,8 +51,8 @@ MART_ATTRIBUTION_COLUMNS = [
 ]
 
 
-def sequenced_sessions(stg: DataFrame) -> DataFrame:
-    """Staged sessions with W1/W2 and the visitor's conversion totals attached."""
+def sequenced_sessions(stg: DataFrame, keep: bool = False) -> DataFrame:
+    """Staged sessions with W1/W2 and the visitor's conversion totals attached. ``keep``: see ``sequence_within``."""
     micros = F.coalesce(F.col("transaction_revenue_micros"), long_lit(0))
     base = stg.select("visitor_id", "session_id", "session_date", "session_start_timestamp", "traffic_source",
                       "traffic_medium", "campaign_name", "is_converted", "revenue_usd",
@@ -66,8 +66,8 @@ def sequenced_sessions(stg: DataFrame) -> DataFrame:
             "conversion_micros": ("sum", F.when(converted, F.col("revenue_micros")).otherwise(long_lit(0))),
             "first_conversion_date": ("min", F.when(converted, F.col("session_date"))),
             "last_conversion_date": ("max", F.when(converted, F.col("session_date"))),
-            "visitor_last_date": ("max", F.col("session_date")),
-        })
+            "visitor_first_date": ("min", F.col("session_date")),
+        }, keep=keep)
     # The conversion join matches on visitor_id equality, so a NULL visitor pairs with nothing.
     no_visitor = F.col("visitor_id").isNull()
     return seq.withColumns({

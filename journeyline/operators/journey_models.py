@@ -3,7 +3,7 @@ cohort retention (R4), daily trend (R5), RFM segments (R6) and days to conversio
 
 Position-based credit is a fixed share of the visitor's converting revenue R per session
 position, computed in whole nano-dollars (R in micros x 1000, rounded half up) as decimals so sums
-are exact. Time-decay weights and credits are rounded to decimals before they are summed. Per-visitor figures come from the session sequence and totals of operators/per_key.py.
+are exact. Time-decay credits are rounded to decimals before they are summed. Per-visitor figures come from the session sequence and totals of operators/per_key.py.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.channels import campaign_identifier, channel_grouping
 from ..functions.numeric import exact, idiv, long_lit, round_to, safe_div, share_of, share_pct, usd_from_micros, usd_from_nanos
 from .attribution import MART_KEYS, sequenced_sessions
-from .per_key import ntiles, totals_within
+from .per_key import ntiles, running_within, totals_within
 
 # Position shares (percent) and the time-decay half-life in days.
 U_SHAPE = (40, 20, 40)          # first, all middle sessions together, last
@@ -75,14 +75,21 @@ def w_shaped_attribution(stg: DataFrame) -> DataFrame:
 
 
 def time_decay_attribution(stg: DataFrame, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
-    """Credit proportional to 2^(-days before the visitor's last session / half-life)."""
-    s = sequenced_sessions(stg)
-    s = s.withColumn("_w", F.pow(F.lit(2.0), -F.datediff("visitor_last_date", "session_date") / half_life_days)
-                     .cast("decimal(20,18)"))
-    s = totals_within(s, "visitor_id", F.struct("session_start_timestamp", "session_id"), {"_w_total": ("sum", F.col("_w"))})
-    credit = F.when(F.col("visitor_conversions") > 0,
-                    usd_from_micros("conversion_micros")
-                    * (F.col("_w").cast("double") / F.col("_w_total").cast("double"))).otherwise(F.lit(0.0)).cast("decimal(28,9)")
+    """Each conversion credits the visitor's sessions up to it, in proportion to 2^(-days before the conversion / half-life).
+
+    The pairs are not listed. With x = 2^(days since the visitor's first session / half-life), a conversion's weights sum to
+    P / x, P being the running sum of x up to it, so a session's credit is its x times the sum of revenue / P over the
+    conversions at or after it: two running sums. Sessions without a visitor or a start have no place in a journey and get
+    no credit. A journey may span 1,000 half-lives (19 years
+    of seven days) before x leaves the range of a double."""
+    order = ("visitor_id", "session_start_timestamp", ["session_id"])
+    s = sequenced_sessions(stg, keep=True)
+    placed = F.col("visitor_id").isNotNull() & F.col("session_start_timestamp").isNotNull()
+    x = F.when(placed, F.pow(F.lit(2.0), F.datediff("session_date", "visitor_first_date") / half_life_days))
+    s = running_within(s.withColumn("_x", x), *order, {"_p": F.col("_x")}, keep=True)
+    share = F.when((F.col("is_converted") == 1) & F.col("_x").isNotNull(), usd_from_micros("revenue_micros") / F.col("_p"))
+    s = running_within(s, *order, {"_later": share}, reverse=True)
+    credit = (F.coalesce("_x", F.lit(0.0)) * F.col("_later")).cast("decimal(28,9)")
     g = s.select(*MART_KEYS, credit.alias("_credit")).groupBy(*MART_KEYS).agg(
         F.count(F.lit(1)).alias("sessions"), F.sum("_credit").alias("_credit"))
     return g.select(*MART_KEYS, campaign_identifier().alias("campaign_identifier"),

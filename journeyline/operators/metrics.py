@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.channels import channel_grouping
 from ..functions.numeric import long_lit, round_to, safe_div, share_pct, usd_from_micros
+from .attribution import sequenced_sessions
 from .funnel import visitor_totals, funnel_sessions
+from .per_key import running_within
 
 # Dwell-time buckets (seconds, left-closed) and benchmark bands.
 DWELL_BUCKETS = [(0, "0-30s"), (30, "30-60s"), (60, "1-3min"), (180, "3-5min"), (300, "5-10min"), (600, "10min+")]
@@ -139,3 +141,21 @@ def assisted_conversions(attributed_sessions: DataFrame) -> DataFrame:
     return per_visitor.groupBy("channel_grouping").agg(
         F.count(F.lit(1)).alias("assisted_conversions"), F.sum("sessions").alias("assisted_sessions"))
 
+
+def journey_assists(stg: DataFrame) -> DataFrame:
+    """M11 in journey order, by channel: a visitor's sessions up to a conversion are that conversion's journey, the converting
+    session closes it, and the others assist it. A session after the visitor's last conversion assists nothing.
+
+    ``assisted_conversions``: conversions that the channel assisted with at least one session; ``closed_conversions``: those
+    it closed; ``assist_ratio``: assisted per closed. A session's journey is the number of conversions before it, a
+    running sum (operators/per_key.py)."""
+    s = sequenced_sessions(stg.where(F.col("visitor_id").isNotNull()), keep=True)
+    s = running_within(s, "visitor_id", "session_start_timestamp", ["session_id"], {"_through": F.col("is_converted")})
+    s = s.withColumn("journey", F.col("_through") - F.col("is_converted")).where(F.col("journey") < F.col("visitor_conversions"))
+    closes = F.col("is_converted") == 1
+    per_journey = s.groupBy(channel_grouping(full=False).alias("channel_grouping"), "visitor_id", "journey").agg(
+        F.count_if(~closes).alias("assists"), F.count_if(closes).alias("closed"))
+    g = per_journey.groupBy("channel_grouping").agg(
+        F.count_if(F.col("assists") > 0).alias("assisted_conversions"), F.sum("assists").alias("assisting_sessions"),
+        F.sum("closed").alias("closed_conversions"))
+    return g.withColumn("assist_ratio", round_to(safe_div("assisted_conversions", "closed_conversions"), 2))

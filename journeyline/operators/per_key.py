@@ -13,6 +13,7 @@ nothing is broadcast by hint. A key with few rows has at most as many bucket row
 
 * ``sequence_within`` buckets by hours of the start time (order preserving), so one task holds at most one hour of one
   key: position = rows in earlier hours + position in the hour.
+* ``running_within`` adds running sums in that order, or against it, in the same way.
 * ``totals_within`` needs no order and buckets by a hash (``SALTS`` buckets a key).
 * ``ntiles`` ranks all rows by several measures at once: cells of near values, the values of a cell, the prefixes of the
   tie breaker within a value, and positions within a prefix take the place of the bucket.
@@ -39,30 +40,57 @@ PREFIX = 4
 _AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def _dealt(df: DataFrame, key: str, bucket: Column) -> tuple[DataFrame, list[str]]:
+_BY = ["_no_key", "_key", "_bucket"]
+
+
+def _dealt(df: DataFrame, key: str, bucket: Column) -> DataFrame:
     """``df`` with the columns by which its rows are dealt, none of them NULL: so the windows, the aggregation and the join share
     one exchange (an ``<=>`` join would deal the rows by expressions of its own, a second time)."""
-    return df.withColumns({"_no_key": F.col(key).isNull(), "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
-                           "_bucket": bucket}), ["_no_key", "_key", "_bucket"]
+    return df.withColumns({"_no_key": F.col(key).isNull(), "_key": F.coalesce(F.col(key).cast("string"), F.lit("")), "_bucket": bucket})
+
+
+def _by_time(df: DataFrame, key: str, start: str, bucket_seconds: int) -> DataFrame:
+    """Rows dealt by key and time bucket; rows that a step before has dealt so (``keep``) stay where they are."""
+    if all(c in df.columns for c in _BY):
+        return df
+    hour = F.floor(F.unix_micros(start) / (bucket_seconds * 1_000_000))
+    return _dealt(df, key, F.coalesce(hour, long_lit(-2 ** 62)))  # a NULL start comes first
 
 
 def sequence_within(df: DataFrame, key: str, start: str, order_cols: list[str], seq_col: str = "seq", count_col: str = "n",
-                    key_aggs: dict[str, tuple[str, Column]] | None = None, bucket_seconds: int = HOUR) -> DataFrame:
+                    key_aggs: dict[str, tuple[str, Column]] | None = None, bucket_seconds: int = HOUR, keep: bool = False) -> DataFrame:
     """Add ``seq_col`` (1-based position of the row in its key, by ``start`` and then ``order_cols``), ``count_col`` (rows of
-    the key) and one column for each ``key_aggs`` entry: ``name: ("sum" | "min" | "max", expression over the rows)``."""
+    the key) and one column for each ``key_aggs`` entry: ``name: ("sum" | "min" | "max", expression over the rows)``.
+    ``keep`` leaves the columns by which rows are dealt, for a further step with the same key and order."""
     aggs = dict(key_aggs or {})
-    hour = F.floor(F.unix_micros(start) / (bucket_seconds * 1_000_000))
-    rows, by = _dealt(df, key, F.coalesce(hour, long_lit(-2 ** 62)))  # a NULL start comes first
-    buckets = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"),
-                                    *[_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in aggs.items()])
-    by_key = Window.partitionBy(*by[:2])
+    rows = _by_time(df, key, start, bucket_seconds)
+    buckets = rows.groupBy(*_BY).agg(F.count(F.lit(1)).alias("_rows"),
+                                     *[_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in aggs.items()])
+    by_key = Window.partitionBy(*_BY[:2])
     earlier = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(*by, F.coalesce(F.sum("_rows").over(earlier), long_lit(0)).alias("_before"),
+    buckets = buckets.select(*_BY, F.coalesce(F.sum("_rows").over(earlier), long_lit(0)).alias("_before"),
                              F.sum("_rows").over(by_key).alias(count_col),
                              *[_AGGREGATES[kind](name).over(by_key).alias(name) for name, (kind, _) in aggs.items()])
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(start, *order_cols)).cast("bigint")
-    placed = rows.withColumn("_place", place).join(buckets, by)
-    return placed.select(*df.columns, (F.col("_before") + F.col("_place")).alias(seq_col), count_col, *aggs)
+    place = F.row_number().over(Window.partitionBy(*_BY).orderBy(start, *order_cols)).cast("bigint")
+    placed = rows.withColumn("_place", place).join(buckets, _BY)
+    kept = [c for c in _BY if keep and c not in df.columns]
+    return placed.select(*df.columns, (F.col("_before") + F.col("_place")).alias(seq_col), count_col, *aggs, *kept)
+
+
+def running_within(df: DataFrame, key: str, start: str, order_cols: list[str], sums: dict[str, Column], reverse: bool = False,
+                   bucket_seconds: int = HOUR, keep: bool = False) -> DataFrame:
+    """Add running sums (name: expression, NULL counts as nothing) over the key's rows up to and with the row, by ``start`` and
+    then ``order_cols``; with ``reverse`` over the row and those after it. ``order_cols`` must tell a key's rows apart."""
+    rows = _by_time(df, key, start, bucket_seconds)
+    buckets = rows.groupBy(*_BY).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
+    turn = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
+    past = Window.partitionBy(*_BY[:2]).orderBy(turn("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(*_BY, *[F.sum(name).over(past).alias(f"_past_{name}") for name in sums])
+    here = Window.partitionBy(*_BY).orderBy(*[turn(c) for c in (start, *order_cols)]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumns({f"_here_{name}": F.sum(expr).over(here) for name, expr in sums.items()}).join(buckets, _BY)
+    kept = [c for c in _BY if keep and c not in df.columns]
+    own = [c for c in df.columns if keep or c not in _BY]
+    return placed.select(*own, *[(F.coalesce(f"_past_{n}", F.lit(0)) + F.coalesce(f"_here_{n}", F.lit(0))).alias(n) for n in sums], *kept)
 
 
 def totals_within(df: DataFrame, key: str, spread: Column, aggs: dict[str, tuple[str, Column]],
@@ -73,7 +101,7 @@ def totals_within(df: DataFrame, key: str, spread: Column, aggs: dict[str, tuple
     Rows are dealt by a hash of ``spread``; rows with one value of a ``distinct`` column must have one ``spread``, so that
     the counts of a key's buckets add up."""
     distinct = distinct or {}
-    rows, by = _dealt(df, key, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    rows, by = _dealt(df, key, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")), _BY
     partial = [_AGGREGATES[kind](expr).alias(name) for name, (kind, expr) in aggs.items()]
     again = [_AGGREGATES[kind](name).alias(name) for name, (kind, _) in aggs.items()]
     if distinct:  # one row for each value first

@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -221,32 +221,59 @@ def failure_sql(check: Check) -> str:
     raise ValueError(f"not a row-level test: {check.test}")
 
 
-REPORT_SCHEMA = "_idx INT, model STRING, test STRING, column_name STRING, severity STRING"
+REPORT_SCHEMA = "model STRING, test STRING, column_name STRING, failures BIGINT, severity STRING, status STRING"
+
+
+def row_failures(checks: list[Check]) -> list[Column]:
+    """One ``count_if`` for each row-level test, named by its place in ``checks``: for ``select`` or ``observe``."""
+    return [F.expr(f"count_if({failure_sql(c)})").alias(f"_t{i}") for i, c in enumerate(checks) if c.test != "unique"]
+
+
+def _duplicates(df: DataFrame, check: Check) -> DataFrame:
+    """One row: values of the column that occur more than once."""
+    return (df.where(F.col(check.column).isNotNull()).groupBy(check.column).count()
+            .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
+
+
+def observed_report(stored: DataFrame, model: str, checks: list[Check], failures: dict[str, int]) -> DataFrame:
+    """The report of a table whose row-level tests were counted while it was written (``failures``: the observed
+    ``row_failures``). Only uniqueness, which no single row shows, reads the stored table."""
+    rows = []
+    for i, c in enumerate(checks):
+        n = _duplicates(stored, c).first()[0] if c.test == "unique" else int(failures.get(f"_t{i}") or 0)
+        rows.append((model, c.test, c.target, n, c.severity, "pass" if n == 0 else "warn" if c.severity == "warn" else "fail"))
+    return stored.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def failing_rows(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
+    """The rows that fail row-level tests, once for each test they fail: ``model``, ``test``, ``column_name`` and the row as JSON."""
+    named = [F.when(F.expr(failure_sql(c)), F.struct(F.lit(c.test).alias("test"), F.lit(c.target).alias("column_name")))
+             for c in checks if c.test != "unique"]
+    failed = df.select(F.to_json(F.struct(*df.columns)).alias("row"), F.explode(F.array_compact(F.array(*named))).alias("_f"))
+    return failed.select(F.lit(model).alias("model"), "_f.test", "_f.column_name", "row")
 
 
 def run_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """The test report of one relation (one row per test).
 
-    The tests are SQL predicates, so the whole pass is one ``selectExpr`` of ``count_if``
+    The tests are SQL predicates, so the whole pass is one ``select`` of ``count_if``
     aggregates; ``stack`` turns its single row into one row per test, and the test
     descriptions (one small row per test) are joined on by broadcast."""
     spark = df.sparkSession
     parts = []
-    row_checks = [(i, c) for i, c in enumerate(checks) if c.test != "unique"]
+    row_checks = [i for i, c in enumerate(checks) if c.test != "unique"]
     if row_checks:
-        counts = df.selectExpr(*[f"count_if({failure_sql(c)}) AS _t{i}" for i, c in row_checks])
-        pairs = ", ".join(f"{i}, _t{i}" for i, _ in row_checks)
+        counts = df.select(*row_failures(checks))
+        pairs = ", ".join(f"{i}, _t{i}" for i in row_checks)
         parts.append(counts.selectExpr(f"stack({len(row_checks)}, {pairs}) AS (_idx, failures)"))
     for i, c in enumerate(checks):
         if c.test == "unique":
-            dupes = (df.where(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                     .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(dupes.select(F.lit(i).alias("_idx"), "failures"))
+            parts.append(_duplicates(df, c).select(F.lit(i).alias("_idx"), "failures"))
     counts_by_test = parts[0]
     for p in parts[1:]:
         counts_by_test = counts_by_test.unionByName(p)
     described = spark.createDataFrame([(i, model, c.test, c.target, c.severity) for i, c in enumerate(checks)],
-                                      REPORT_SCHEMA)
+                                      "_idx INT, model STRING, test STRING, column_name STRING, severity STRING")
     report = counts_by_test.join(F.broadcast(described), "_idx")
     status = (F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))
     return report.select("model", "test", "column_name", F.col("failures").cast("bigint").alias("failures"),

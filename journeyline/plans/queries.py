@@ -418,6 +418,11 @@ def q_metric_assisted_conversions(spark, sf_dir):
     return metrics.assisted_conversions(attr.int_session_attribution(staged(spark, sf_dir)))
 
 
+@query("metric_journey_assists")
+def q_metric_journey_assists(spark, sf_dir):
+    return metrics.journey_assists(staged(spark, sf_dir))
+
+
 # ---- roadmap models (R1-R7) -----------------------------------------------------------
 
 for _name, _fn in [("attr_u_shaped", jm.u_shaped_attribution), ("attr_w_shaped", jm.w_shaped_attribution),

@@ -15,7 +15,7 @@ from __future__ import annotations
 import time
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Default materialisation per model folder; a model may override it.
@@ -29,9 +29,13 @@ def materialization(folder: str, override: str | None = None) -> str:
 def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base_path: str,
                 materialized: str = "table", stamp: bool = True,
                 partition_by: list[str] | None = None,
-                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None,
+                observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
     """Materialise one model and return the relation its consumers should read.
 
+    ``observe`` counts while a table is written: aggregates that the observation holds when the write has ended. They are taken
+    in the tasks that write, after any shuffle, since a shuffle's tasks may run twice when an executor is lost.
+
     ``bucket_by=(n, column)`` stores the table as ``n`` hash buckets of ``column`` and registers
     it in the session catalog (data under the same path): readers then know the table is
     partitioned by ``column`` and run per-column windows, aggregations and joins without a
@@ -46,18 +50,21 @@ def write_model(spark: SparkSession, df: DataFrame, name: str, domain: str, base
         raise ValueError(f"unknown materialization: {materialized}")
     out = df.withColumn("last_updated", F.current_timestamp()) if stamp else df
     path = f"{base_path.rstrip('/')}/{domain}/{name}"
+    def watched(rows: DataFrame) -> DataFrame:
+        return rows.observe(observe[0], *observe[1]) if observe else rows
+
     if bucket_by:
         buckets, column = bucket_by
         table = f"{domain}_{name}_{zlib.crc32(path.encode()):08x}"  # same folder -> same catalog name
         # one shuffle by the bucket column, so that each bucket is one file
-        out.repartition(buckets, column).write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+        watched(out.repartition(buckets, column)).write.mode("overwrite").bucketBy(buckets, column).option("path", path).saveAsTable(table)
         return spark.table(table)
     if partition_by:
         # Group rows by partition value (few files per directory); adaptive execution splits
         # a partition value that holds a large share of the rows across several tasks.
-        out.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        watched(out.hint("rebalance", *partition_by)).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
-        out.write.mode("overwrite").parquet(path)
+        watched(out).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -25,6 +25,27 @@ def test_build_project_on_fixture(spark, hand_raw):
     assert report.where(F.col("status") == "fail").count() >= 1  # the non-nested funnel (T11)
 
 
+def test_tests_are_counted_by_the_writes(spark, hand_raw, monkeypatch):
+    """The build's report equals run_checks over the stored tables, which the build itself never calls; failing rows are stored."""
+    from journeyline.operators import quality
+    from journeyline.sources.raw_sessions import shard_range
+    raw = shard_range(hand_raw, "20170701", "20170731").withColumn("fullVisitorId", F.when(F.col("fullVisitorId") != "H", F.col("fullVisitorId")))
+    dates = (dt.date(2017, 7, 2), dt.date(2017, 7, 31))  # the first day's rows fail
+    with monkeypatch.context() as m:
+        m.setattr(quality, "run_checks", None)
+        built = build_project(spark, raw, tempfile.mkdtemp(prefix="jl-obs-", dir="/tmp"), *dates)
+    got = {(r.model, r.test, r.column_name): (r.failures, r.status) for r in built["test_report"].collect()}
+    want, per_test = {}, {}
+    for name, checks in [("stg_ga_sessions", quality.staging_tests(*dates)), ("mart_campaign_performance", quality.CAMPAIGN_TESTS),
+                         ("mart_attribution_analysis", quality.ATTRIBUTION_TESTS), ("mart_conversion_funnel", quality.FUNNEL_TESTS)]:
+        want.update({(r.model, r.test, r.column_name): (r.failures, r.status) for r in quality.run_checks(built[name], name, checks).collect()})
+    assert built["test_report"].count() == 155 and got == want
+    assert got["stg_ga_sessions", "not_null", "visitor_id"] == (1, "fail")
+    for r in built["failing_rows"].groupBy("model", "test", "column_name").count().collect():
+        per_test[r["model"], r["test"], r["column_name"]] = r["count"]
+    assert per_test == {k: n for k, (n, _) in want.items() if n and k[1] != "unique"}
+
+
 def test_materializations(spark):
     df = spark.range(3).withColumnRenamed("id", "x")
     assert sinks.materialization("example") == "view"
