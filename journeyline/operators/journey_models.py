@@ -8,6 +8,8 @@ are exact. Time-decay credits are rounded to decimals before they are summed. Pe
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,38 +168,66 @@ def rfm_segments(stg: DataFrame) -> DataFrame:
     return g.select("r_score", "f_score", "m_score", "visitors", "sessions", usd_from_micros("_rev").alias("revenue"))
 
 
-SEGMENT_FEATURES = ["sessions", "engaged_sessions", "conversions", "revenue", "days_active"]
-
-
-def kmeans_segments(stg: DataFrame, k: int = 4, seed: int = 7, max_iter: int = 10) -> DataFrame:
-    """K-means visitor segments on standardised journey features, one row per segment.
+SEGMENT_FEATURES = ["sessions", "engaged_sessions", "conversions", "revenue_micros", "days_active"]
+#: Features are scaled to whole numbers from 0 to this, so distances and centres are exact on every engine.
+SEGMENT_SCALE = 10_000
 
-    Training is Spark ML's distributed k-means (each iteration is one pass over the visitor
-    features; only the k centres travel to the driver). The feature table is persisted while
-    the iterations read it. Output: segment, visitors and the mean of each raw feature in
-    the segment.
-    """
-    from pyspark import StorageLevel
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
 
+def visitor_features(stg: DataFrame) -> DataFrame:
+    """One row for each visitor: the features as integers."""
     from .funnel import funnel_sessions, visitor_totals
 
-    v = visitor_totals(funnel_sessions(stg.where(F.col("visitor_id").isNotNull()))).select(
-        "visitor_id",
-        F.col("total_sessions").cast("double").alias("sessions"),
-        F.col("reached_engagement").cast("double").alias("engaged_sessions"),
-        F.col("reached_conversion").cast("double").alias("conversions"),
-        usd_from_micros("_rev_micros").alias("revenue"),
-        F.datediff("last_session_date", "first_session_date").cast("double").alias("days_active")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    model = Pipeline(stages=[
-        VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
-        KMeans(featuresCol="_features", predictionCol="segment", k=k, seed=seed, maxIter=max_iter),
-    ]).fit(v)
-    v.unpersist()
-    scored = model.transform(v)
-    return scored.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("visitors"), *[F.round(F.avg(c), 4).alias(f"avg_{c}") for c in SEGMENT_FEATURES])
+    return visitor_totals(funnel_sessions(stg.where(F.col("visitor_id").isNotNull()))).select(
+        "visitor_id", F.col("total_sessions").alias("sessions"), F.col("reached_engagement").alias("engaged_sessions"),
+        F.col("reached_conversion").alias("conversions"), F.col("_rev_micros").alias("revenue_micros"),
+        F.datediff("last_session_date", "first_session_date").cast("bigint").alias("days_active"))
+
+
+def _distance(scaled: list[str], centre: list[int]) -> Column:
+    return sum((F.col(z) - long_lit(c)) * (F.col(z) - long_lit(c)) for z, c in zip(scaled, centre))
+
+
+def _nearest(scaled: list[str], centres: list[list[int]]) -> Column:
+    """The number of the nearest centre, the first on a tie."""
+    return F.array_min(F.array(*[F.struct(_distance(scaled, c).alias("d"), long_lit(j).alias("j")) for j, c in enumerate(centres)]))["j"]
+
+
+def kmeans_segments(stg: DataFrame, k: int = 4, max_iter: int = 10) -> DataFrame:
+    """K-means visitor segments, one row for each: visitors and the mean of each feature.
+
+    Lloyd's iterations as aggregations over the scaled features, which are stored once; only the k centres come to the driver. All
+    steps are exact, so reruns and other engines agree: features are scaled to integers by their greatest value,
+    a centre is its visitors' sum divided without rest, the start is the mean and then, each time, the visitor farthest
+    from the centres so far (the first by id on a tie). A segment that loses all its visitors keeps its centre."""
+    from ..session import checkpoint_dir
+
+    spark = stg.sparkSession
+    scaled = [f"z{i}" for i in range(len(SEGMENT_FEATURES))]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/journeyline/segments-{uuid.uuid4().hex}"
+    visitor_features(stg).write.parquet(f"{path}/features")
+    v = spark.read.parquet(f"{path}/features")
+    most = v.agg(*[F.max(c) for c in SEGMENT_FEATURES]).first()
+    if most[0] is not None:
+        v = v.withColumns({z: idiv(F.col(c).cast("decimal(38,0)") * F.lit(SEGMENT_SCALE).cast("decimal(6,0)"), F.lit(max(m, 1)).cast("decimal(38,0)")).cast("bigint")
+                           for z, c, m in zip(scaled, SEGMENT_FEATURES, most)})
+        v.write.parquet(f"{path}/scaled")
+        v = spark.read.parquet(f"{path}/scaled")
+        means = [idiv(F.sum(z), F.count(F.lit(1))).alias(z) for z in scaled]
+        centres = [list(v.agg(*means).first())]
+        while len(centres) < k:
+            far = F.least(*[_distance(scaled, c) for c in centres]) if len(centres) > 1 else _distance(scaled, centres[0])
+            centres.append(list(v.orderBy(far.desc(), "visitor_id").select(*scaled).first()))
+        for _ in range(max_iter):
+            found = {r["j"]: [r[z] for z in scaled] for r in v.groupBy(_nearest(scaled, centres).alias("j")).agg(*means).collect()}  # k rows
+            moved = [found.get(j, c) for j, c in enumerate(centres)]
+            if moved == centres:
+                break
+            centres = moved
+        v = v.withColumn("segment", _nearest(scaled, centres))
+    else:
+        v = v.withColumn("segment", long_lit(0))
+    n = F.count(F.lit(1)).cast("double")
+    return v.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("visitors"),
+        *[round_to(F.sum(c).cast("double") / n, 4).alias(f"avg_{c}") for c in SEGMENT_FEATURES if c != "revenue_micros"],
+        round_to(usd_from_micros(F.sum("revenue_micros")) / n, 4).alias("avg_revenue"))

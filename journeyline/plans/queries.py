@@ -435,5 +435,5 @@ for _name, _fn in [("daily_trend", jm.daily_trend), ("days_to_conversion", jm.da
 
 @query("segment_kmeans")
 def q_segment_kmeans(spark, sf_dir):
-    """K-means segments (iterative model training; no SQL twin, rows-only check)."""
+    """K-means segments in exact arithmetic."""
     return jm.kmeans_segments(staged(spark, sf_dir))
