@@ -4,14 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns the rows that go on, with the
 the shard, slot and sizes. ``run`` writes each stage's rows as Parquet in the shared folder and reads them again, so a
 lost executor repeats part of one stage only.
 
-Rows with a null doc_id take part in all stages; as the near-duplicate operator links documents by doc_id, they stay
-there. Of rows that repeat a doc_id one stays. Quality rejects null, empty and blank texts.
+The near-duplicate stage links rows, not ids: each row has a key of its own there, so rows without a doc_id are
+deduplicated too, and of unlike rows that share a doc_id none is lost. Quality rejects null, empty and blank texts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from journeyline.llm import decontam, minhash, mixing, quality, scratch, sharding
@@ -22,14 +21,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group, and one row of it."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = scratch.save(kept, "kept")
+    """One row of each near-duplicate group: that with the smallest doc_id (a null is the greatest)."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row).withColumn("its_id", F.col("row.doc_id").cast("long"))
-    one = F.row_number().over(W.partitionBy("its_id").orderBy(F.xxhash64("row.text")))
-    named = rows.join(kept, F.col("its_id") == F.col("kept_id"), "left_semi").withColumn("nth", one).where("nth = 1")
-    return named.select("row.*").unionByName(rows.where("its_id is null").select("row.*"))
+    # stored, so that a row has the same key wherever it is read again
+    rows = scratch.save(docs.select(row, F.monotonically_increasing_id().alias("key")), "keyed")
+    groups = minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
+    groups = groups.select(F.col("doc_id").alias("key"), "component_id")
+    ids = rows.select("key", F.col("row.doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    kept = groups.join(ids, "key").groupBy("component_id").agg(first).select("first.key")
+    return rows.join(scratch.save(kept, "kept"), "key", "left_semi").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
