@@ -4,7 +4,8 @@ Documents with equal texts form a group, and groups are gathered in packets: a g
 modulo PACKETS, which bounds what the driver places. A group heavier than 1 / HEAVY of the whole in any of the three
 dimensions (there are at most 3 * HEAVY such groups) is a packet of its own, whole where it fits in a shard: only a group
 above a shard's capacity, the mean, in some dimension is split, by doc_id hash in as few parts as capacities hold, so one
-text that a third of all documents share can't overfill a shard. Packets are placed from the heaviest down, by
+text that a third of all documents share can't overfill a shard. If one doc_id, or none, has more than 1 / HEAVY of all rows
+in such a group (there are at most HEAVY such pairs), its rows, which nothing tells apart, are spread by a stored row key. Packets are placed from the heaviest down, by
 their largest share in a dimension, each in the shard where the dot product of its vector with the shards' residual capacities is highest; capacities
 are the means, so a shard that is ahead in one dimension attracts packets that are heavy in the others. Only shards count
 that the packet leaves at or below the level of bytes to which the packets still to come can fill all others; where
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from journeyline.llm import scratch
 from journeyline.llm.mixing import word_count
 
 SHARDS = 16
@@ -52,13 +54,16 @@ def place(weights: np.ndarray, shards: int) -> np.ndarray:
     return where
 
 
-def _measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row`` (all columns) and ``m_`` (what the packing needs), so that no other column's name can clash."""
+def _measured(docs: DataFrame, id_col: str, text_col: str, whole: bool) -> DataFrame:
+    """``m_`` (what the packing needs) and, if ``whole``, ``row`` (all columns), so that no other column's name can clash. Stored: the
+    texts are measured once, and a row keeps its key."""
     text = F.col(text_col).cast("string")
     raw = F.coalesce(text, F.lit("")).cast("binary")
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    return scratch.save(docs.select(*row, F.struct(
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"), word_count(text).alias("tokens"),
-        F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("group"), F.xxhash64(F.col(id_col)).alias("salt")).alias("m_"))
+        F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("group"), F.xxhash64(F.col(id_col)).alias("salt"),
+        F.monotonically_increasing_id().alias("key")).alias("m_")), "measured")
 
 
 _RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -71,13 +76,13 @@ def _results() -> list:
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    return _assigned(_measured(docs, id_col, text_col).select("m_"), shards).select("m_.doc_id", *_results())
+    return _assigned(_measured(docs, id_col, text_col, False), shards).select("m_.doc_id", *_results())
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """All columns of ``docs`` and the results; a column of ``docs`` that is named like a result gives way to it."""
     keep = [F.col(f"row.`{c}`") for c in docs.columns if c not in _RESULT]
-    return _assigned(_measured(docs, id_col, text_col), shards).select(*keep, *_results())
+    return _assigned(_measured(docs, id_col, text_col, True), shards).select(*keep, *_results())
 
 
 def _assigned(rows: DataFrame, shards: int) -> DataFrame:
@@ -94,10 +99,15 @@ def _assigned(rows: DataFrame, shards: int) -> DataFrame:
                                   "group long, parts int, pieces int, nth int")
     own = F.broadcast(known.withColumnRenamed("group", "heavy_group"))
     packed = rows.join(own, F.col("m_.group") == F.col("heavy_group"), "left")
+    pairs = packed.where("nth is not null").groupBy(F.col("m_.group").alias("its_group"), F.col("m_.doc_id").alias("its_id")).agg(F.count(F.lit(1)).alias("n"))
+    crowded = pairs.where((F.col("n") > 1) & (F.col("n") * HEAVY > total[2])).select("its_group", "its_id", F.lit(True).alias("crowded"))  # at most HEAVY rows
+    met = (F.col("m_.group") == F.col("its_group")) & F.col("m_.doc_id").eqNullSafe(F.col("its_id"))
+    packed = packed.join(F.broadcast(crowded), met, "left").drop("its_group", "its_id")
+    packed = packed.withColumn("salt", F.when(F.col("crowded"), F.xxhash64("m_.key")).otherwise(F.col("m_.salt")))
     first = F.lit(PACKETS) + F.col("nth") * (1 << 20)
-    packet = F.when(F.col("nth").isNotNull(), first + F.pmod("m_.salt", "parts")).otherwise(F.pmod("m_.group", F.lit(PACKETS))).cast("long")
-    packed = packed.withColumn("packet", packet).withColumn("block", F.pmod(F.xxhash64("m_.salt"), BLOCKS * F.coalesce("pieces", F.lit(1))).cast("int"))
-    packed = packed.drop("heavy_group", "parts", "pieces", "nth")
+    packet = F.when(F.col("nth").isNotNull(), first + F.pmod("salt", "parts")).otherwise(F.pmod("m_.group", F.lit(PACKETS))).cast("long")
+    packed = packed.withColumn("packet", packet).withColumn("block", F.pmod(F.xxhash64("salt"), BLOCKS * F.coalesce("pieces", F.lit(1))).cast("int"))
+    packed = packed.drop("heavy_group", "parts", "pieces", "nth", "crowded", "salt")
     cells = packed.groupBy("packet", "block").agg(F.sum("m_.size").alias("size"), F.sum("m_.tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     packets = cells.groupBy("packet").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.sum("n").alias("n"))
     most = [max(t, 1) for t in total]

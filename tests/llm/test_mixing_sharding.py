@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from cases import SCHEMA, awkward, table, words
 from journeyline.llm import mixing, sharding
 
@@ -127,3 +128,17 @@ def test_all_three_dimensions_are_balanced(spark):
     for r in got:
         sums[r.shard] += r.size, tokens[r.doc_id], 1
     assert (abs(sums / sums.mean(axis=0) - 1).max(axis=0) < (0.005, 0.02, 0.02)).all(), abs(sums / sums.mean(axis=0) - 1).max(axis=0)
+
+
+@pytest.mark.parametrize("crowd", [None, 7])
+def test_half_of_all_rows_with_one_text_and_no_id_or_one_id(spark, crowd):
+    """Nothing tells these rows apart; they are spread over the shards, by bytes, and the slots have no gaps."""
+    rng = np.random.default_rng(8)
+    rows = [(crowd, "one text that half of all rows have", None, None, 0, "", 0, 0, "")] * 4000
+    rows += [(100 + i, " ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, int(rng.integers(3, 12)))), None, None, 0, "", 0, 0, "") for i in range(4000)]
+    got = sharding.assign(table(spark, rows)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    held = np.array([sum(r.size for r in got if r.shard == s) for s in range(16)])
+    assert abs(held / held.mean() - 1).max() < 0.01, held / held.mean()
+    for s in range(16):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
