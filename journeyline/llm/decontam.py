@@ -1,17 +1,22 @@
 """Operator 8: benchmark decontamination by spaced-seed hashing, with DataFrame functions only.
 
-Texts are lower-cased and cut in words. A seed is the hash of the words that a fixed mask selects from SPAN
-consecutive words; the two masks are disjoint, so one substitution in a span leaves one of its seeds whole. Seeds of
-all positions of all documents are joined with the seeds of the benchmark. A hit names a text, an item and a diagonal
-(document position less item position); around it the words of text and item are compared position by position, and
-the pair counts as contaminated if MATCHED of some WINDOW consecutive positions agree, substitutions included.
-
-The benchmark's seeds are broadcast while they are at most BROADCAST_SEEDS rows (counted); a larger benchmark is
-joined by shuffle. Hits are kept by text hash (two 64-bit hashes), so copies of a text are verified once.
-
-Null and blank texts and texts under SPAN words hold no seed and are clean, as are items under SPAN words, which can't
-be told from common phrases; a null doc_id is returned as it is. Repeated document rows give repeated result rows.
-Other columns are ignored, or kept by ``remove_contaminated``.
+Texts are lower-cased and cut in words. An item of MATCHED words or more is in a text if, on some diagonal (text position
+less item position), MATCHED of some WINDOW consecutive item positions have the same word in the text; substitutions and
+positions beyond the text's ends are the others. Of a shorter item all words must agree.
+
+A seed is the hash of the words that a fixed mask selects from SPAN consecutive words at most. The three masks are chosen so
+that, wherever WINDOW - MATCHED = 3 positions of a window differ, one mask lies on agreeing positions alone (the tests
+go through all 286 cases), so no such pair is without a seed. The first mask spans six words: an item of six to nine words
+that stands whole in a text has that seed. An item of one to five words is a common phrase; it is found where it
+is the whole text, by a join on the hash of all words.
+
+Seeds of all positions of all documents are joined with those of the benchmark. A hit names a text, an item and a diagonal,
+and the windows on it are compared position by position. The benchmark's seeds are broadcast while they are at most
+BROADCAST_SEEDS rows (counted); a larger benchmark is joined by shuffle. Hits are kept by text hash (two 64-bit hashes), so
+copies of a text are verified once. A text's seeds are made BLOCK positions at a time.
+
+Null and blank texts and items hold no word and are never found; a null doc_id is returned as it is. Repeated document rows
+give repeated result rows. Other columns are ignored, or kept by ``remove_contaminated``.
 """
 
 from __future__ import annotations
@@ -23,9 +28,11 @@ from pyspark.sql import functions as F
 
 from journeyline.llm import scratch
 
-SPAN = 12
-MASKS = ((0, 1, 3, 6, 8, 11), (2, 4, 5, 7, 9, 10))
+MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 5, 8), (0, 2, 6, 7, 8))
+SPAN = 1 + max(p for mask in MASKS for p in mask)
 WINDOW, MATCHED = 13, 10
+WHOLE_TEXT = max(MASKS[0])  # items of so many words or fewer have to be the whole text
+BLOCK = 4096
 BROADCAST_SEEDS = 1_000_000
 
 
@@ -40,20 +47,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def seeds(word_list: Column) -> Column:
-    """All seeds of a word array, in order of position; the masks of a position follow each other."""
-    def of(hashes: Column) -> Column:
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN), lambda i: F.array(
-            *[F.xxhash64(F.lit(k), *[F.get(hashes, i + p) for p in mask]) for k, mask in enumerate(MASKS)])))
+def seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., pos, seed) for every mask at every position of ``hashes``, an array of word hashes."""
+    blocks = F.sequence(F.lit(0), F.size("hashes") - 1, F.lit(BLOCK))
+    rows = rows.where(F.size("hashes") > 0).select(*keep, "hashes", F.explode(blocks).alias("start"))
+    used = sorted({p for mask in MASKS for p in mask})
+    # the block's words beside those that follow them at each distance; null beyond the text's end
+    shifted = F.arrays_zip(*[F.slice("hashes", F.col("start") + 1 + p, F.lit(BLOCK)).alias(f"w{p}") for p in used])
+    rows = rows.select(*keep, "start", F.posexplode(shifted).alias("nth", "w"))
+    at = [F.when(F.col(f"w.w{mask[-1]}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"w.w{p}") for p in mask])) for k, mask in enumerate(MASKS)]
+    rows = rows.select(*keep, (F.col("start") + F.col("nth")).alias("pos"), F.explode(F.array(*at)).alias("seed"))
+    return rows.where("seed is not null")
 
-    hashed = F.transform(word_list, lambda w: F.xxhash64(w))
-    return let(hashed, lambda h: F.when(F.size(h) >= SPAN, of(h)))
 
-
-def _exploded(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., pos, seed) for every element of the ``seeds`` array."""
-    return rows.select(*keep, F.posexplode("seeds").alias("nth", "seed")).select(
-        *keep, F.floor(F.col("nth") / len(MASKS)).cast("int").alias("pos"), "seed")
+def _hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
 def text_keys(text: Column) -> list[Column]:
@@ -64,13 +72,19 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                        item_text_col: str = "text") -> DataFrame:
     """(key0, key1, item_id, matched, text_start, item_start): the best window for each text and item."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("item_text"))
-    known = _exploded(items.select("item_id", seeds(words(F.col("item_text"))).alias("seeds")), ["item_id"]).withColumnRenamed("pos", "item_pos").distinct()
+    keyed = items.select("item_id", _hashes(F.col("item_text")).alias("hashes"))
+    known = seeds(keyed.where(F.size("hashes") > WHOLE_TEXT), ["item_id"]).withColumnRenamed("pos", "item_pos").distinct()
+    short = keyed.where(F.size("hashes").between(1, WHOLE_TEXT)).select("item_id", F.xxhash64("hashes").alias("all_words")).distinct()
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
     text = F.col(text_col).cast("string")
-    rows = docs.select(*text_keys(text), seeds(words(text)).alias("seeds"))
-    hits = (_exploded(rows, ["key0", "key1"]).join(known, "seed")
+    rows = docs.select(*text_keys(text), _hashes(text).alias("hashes"))
+    hits = (seeds(rows, ["key0", "key1"]).join(known, "seed")
             .select("key0", "key1", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct())
+    if not short.isEmpty():
+        brief = docs.select(*text_keys(text), _hashes(text).alias("hashes"))
+        brief = brief.where(F.size("hashes").between(1, WHOLE_TEXT)).select("key0", "key1", F.xxhash64("hashes").alias("all_words"))
+        hits = hits.unionByName(brief.join(short, "all_words").select("key0", "key1", "item_id", F.lit(0).alias("diagonal")).distinct())
     hits = scratch.save(hits, "hits")
     hit_texts = docs.select(*text_keys(text), text.alias("text")).join(hits.select("key0", "key1").distinct(), ["key0", "key1"])
     hit_texts = hit_texts.groupBy("key0", "key1").agg(F.first("text").alias("text"))
@@ -88,8 +102,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
             F.aggregate(F.slice(agree, s + 1, width), F.lit(0), lambda a, x: a + x).alias("matched"), (-s).alias("minus")))
 
     pair = F.struct(words(F.col("text")).alias("own"), words(F.col("item_text")).alias("theirs"), F.col("diagonal"))
-    best = (both.select("key0", "key1", "item_id", "diagonal", let(pair, lambda p: let(agreeing(p), lambda a: F.array_max(windows(a)))).alias("best"))
-            .where(F.col("best.matched") >= MATCHED))
+    best = (both.select("key0", "key1", "item_id", "diagonal", F.size(words(F.col("item_text"))).alias("n_words"), let(pair, lambda p: let(agreeing(p), lambda a: F.array_max(windows(a)))).alias("best"))
+            .where(F.col("best.matched") >= F.least(F.lit(MATCHED), F.col("n_words"))))
     top = best.groupBy("key0", "key1", "item_id").agg(
         F.max(F.struct(F.col("best.matched").alias("matched"), F.col("best.minus").alias("minus"), (-F.col("diagonal")).alias("less"))).alias("top"))
     return top.select("key0", "key1", "item_id", F.col("top.matched").cast("long").alias("matched"),

@@ -54,22 +54,19 @@ FROM (SELECT r.*, least(floor(place * each + turn) - floor((place - 1) * each +
       FROM r JOIN best ON r.source IS NOT DISTINCT FROM best.source)
 """
 
-# every diagonal on which six of twelve consecutive words agree in one of the two masks, then the best window of 13
+# no seeds: of 13 words of which 10 agree, three neighbours agree, so every diagonal with three equal words in a row is compared
 OP8 = rf"""
 WITH d AS (SELECT doc_id, {_WORDS.format('lower(text)')} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format('lower(text)')} AS w FROM benchmark),
-ds AS (SELECT doc_id, unnest(range(1, len(w) - 10)) AS i, w FROM d WHERE len(w) >= 12),
-bs AS (SELECT item_id, unnest(range(1, len(w) - 10)) AS i, w FROM b WHERE len(w) >= 12),
-dk AS (SELECT doc_id, i, unnest(['a ' || concat_ws(' ', w[i], w[i+1], w[i+3], w[i+6], w[i+8], w[i+11]),
-                                 'b ' || concat_ws(' ', w[i+2], w[i+4], w[i+5], w[i+7], w[i+9], w[i+10])]) AS k FROM ds),
-bk AS (SELECT item_id, i, unnest(['a ' || concat_ws(' ', w[i], w[i+1], w[i+3], w[i+6], w[i+8], w[i+11]),
-                                  'b ' || concat_ws(' ', w[i+2], w[i+4], w[i+5], w[i+7], w[i+9], w[i+10])]) AS k FROM bs),
-hit AS (SELECT DISTINCT doc_id, item_id, dk.i - bk.i AS diagonal FROM dk JOIN bk USING (k)),
+dk AS (SELECT doc_id, i, concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS k FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d)),
+bk AS (SELECT item_id, i, concat_ws(' ', w[i], w[i + 1], w[i + 2]) AS k FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM b WHERE len(w) > 5)),
+hit AS (SELECT DISTINCT doc_id, item_id, dk.i - bk.i AS diagonal FROM dk JOIN bk USING (k)
+        UNION ALL SELECT DISTINCT doc_id, item_id, 0 FROM d JOIN b USING (w) WHERE len(w) BETWEEN 1 AND 5),
 win AS (SELECT doc_id, item_id, diagonal, unnest(range(1, greatest(len(b.w) - 12, 1) + 1)) AS s, d.w AS own, b.w AS theirs
         FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)),
-m AS (SELECT doc_id, item_id, diagonal, s - 1 AS item_start, len(list_filter(range(s, least(s + 13, len(theirs) + 1)),
+m AS (SELECT doc_id, item_id, diagonal, s - 1 AS item_start, len(theirs) AS n, len(list_filter(range(s, least(s + 13, len(theirs) + 1)),
         lambda x: x + diagonal >= 1 AND x + diagonal <= len(own) AND own[greatest(x + diagonal, 1)] = theirs[x])) AS matched FROM win)
-SELECT doc_id, item_id, matched, item_start + diagonal AS text_start, item_start FROM m WHERE matched >= 10
+SELECT doc_id, item_id, matched, item_start + diagonal AS text_start, item_start FROM m WHERE matched >= least(10, n)
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, item_start, diagonal) = 1
 """
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -85,6 +86,67 @@ def test_leaks(spark):
         decontam.BROADCAST_SEEDS = limit
 
 
+def test_a_mask_is_left_wherever_three_of_thirteen_words_differ():
+    n, k = decontam.WINDOW, decontam.WINDOW - decontam.MATCHED
+    for differ in itertools.combinations(range(n), k):
+        assert any(not {o + p for p in mask} & set(differ) for mask in decontam.MASKS for o in range(n - mask[-1]))
+
+
+def all_leaks(rows, items):
+    """{(doc_id, item_id): best (matched, -item_start)} by comparing every window of every item with every place of every text."""
+    found = {}
+    for doc_id, text in ((r[0], r[1]) for r in rows):
+        own = words((text or "").lower())
+        at = defaultdict(list)
+        for i, w in enumerate(own):
+            at[w].append(i)
+        for item_id, item in items:
+            theirs = words((item or "").lower())
+            if not theirs or len(theirs) <= decontam.WHOLE_TEXT:
+                if theirs and own == theirs:
+                    found[doc_id, item_id] = (len(theirs), 0)
+                continue
+            width = min(len(theirs), decontam.WINDOW)
+            agree = defaultdict(set)
+            for j, w in enumerate(theirs):
+                for i in at[w]:
+                    agree[i - j].add(j)
+            best = max(((sum(j in js for j in range(s, s + width)), -s) for js in agree.values() if len(js) >= min(len(theirs), decontam.MATCHED)
+                        for s in range(len(theirs) - width + 1)), default=(0, 0))
+            if best[0] >= min(len(theirs), decontam.MATCHED):
+                found[doc_id, item_id] = best
+    return found
+
+
+def test_leaks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK", 16)  # passages cross blocks
+    rng = random.Random(77)
+    flat = lambda n: prose(rng, n).replace("\n", " ")
+    items = [(i, flat(13 + i % 9)) for i in range(20)] + [(100 + n, flat(n)) for n in range(1, 13)] + [(200, None), (201, " "), (202, flat(13).upper())]
+    rows, k = [(0, None), (1, ""), (2, "one two")], 10
+    for item_id, item in items:
+        w = (item or "").split()
+        for subs in (0, 1, 2, 3, 3, 3, 4):
+            at = rng.randrange(max(1, len(w) - 12))
+            passage = w[at:at + 13]
+            for j in rng.sample(range(len(passage)), min(subs, len(passage))):
+                passage[j] = f"s{rng.randrange(99)}"
+            for before, after in ((0, 0), (25, 30), (0, 9), (9, 0)):
+                rows.append((k, " ".join([flat(before), *passage, flat(after)])))
+                k += 1
+        rows.append((k, " ".join(w[3:13])))  # the window begins before the text
+        k += 1
+    rows += [(k, "same " * 60), (k + 1, f"{flat(5000)} {items[3][1]} {flat(5000)}")]
+    items.append((300, "same " * 14))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = all_leaks(rows, items)
+    got = decontam.contaminated(df, bench).collect()
+    assert len(got) == len({(r.doc_id, r.item_id) for r in got})
+    assert {(r.doc_id, r.item_id): (r.matched, -r.item_start) for r in got} == want
+    assert sum(1 for _, i in want if i < 100) > 400 and {i for _, i in want} >= set(range(106, 113))
+
+
 def naive_best_fit(sizes, width):
     rows = []
     for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
