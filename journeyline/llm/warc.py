@@ -7,19 +7,26 @@ records with equal payloads (of at least ``revisit_from`` bytes) the one with th
 response; the others are revisits without a body that refer to it. Archives are gzip files of at most FILE_RECORDS
 rows, written by Spark's text writer, so a lost or repeated task leaves no partial archive.
 
-Reading. Archives are parsed record by record by Content-Length. Whole records need no shuffle; segments are grouped by
-origin, put in the order of their numbers, joined and held against the total length. Then the HTTP head is split off,
-the chunked framing decoded, and the payload's digest computed and held against the header's.
+Reading. Archives are inflated member by member through a moving offset and parsed record by record by Content-Length, in
+one pass whose result is stored: whole records are decoded there, segments keep their blocks. Segments are grouped by
+origin, put in the order of their numbers, joined and held against the total length. The HTTP head is split off, the
+chunked framing decoded, and the payload's digest computed and held against the header's. An archive is one binary
+value, so one over 2 GB has to be split at a record's start.
 
 A null html is an empty payload. Rows that repeat page_id and html give equal records, and come back as often; those
-with the smallest page_id of their payload are all responses. A null page_id is kept as null. A record whose segments,
-length, framing or digest don't agree comes back with complete = false. Other columns are ignored.
+with the smallest page_id of their payload are all responses. A null page_id is kept as null. Other columns are ignored.
+
+Damage never fails a job. A record whose segments, length, framing or digest don't agree comes back with complete = false,
+as does one whose Content-Length is missing, or whose archive ends before its block does. Bytes that can't be told as a
+record (no WARC line, an archive that ends inside a header, segments without their first record) come back as one row of
+record_type ``damaged`` for each stretch; reading goes on at the next WARC line or gzip member.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,8 +44,9 @@ BATCH = 4 << 20
 END = b"\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+STEP = 16 * 1024
 PARSED = ("record_id string, type string, page_id long, origin string, segment int, total long, digest string, refers_id string, "
-          "refers_to long, block binary")
+          "refers_to long, block binary, payload_bytes long, payload_digest string, complete boolean")
 PAYLOAD = ("record_id string, type string, page_id long, refers_id string, refers_to long, digest string, payload binary, "
            "payload_bytes long, payload_digest string, complete boolean")
 
@@ -135,37 +143,125 @@ def write_warc(pages: DataFrame, path: str, revisit_from: int = 0, id_col: str =
      .write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path))
 
 
-def _inflated(raw: bytes) -> bytes:
-    """Members of a gzip file one after the other; other bytes as they are."""
+def _pieces(raw: bytes) -> Iterator[bytes | None]:
+    """The inflated bytes of an archive in pieces, None where a gzip member breaks off; other bytes as they are."""
+    at = 0
     if raw[:2] != b"\x1f\x8b":
-        return raw
-    out = []
-    while raw[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(raw) + d.flush())
-        raw = d.unused_data
-    return b"".join(out)
+        yield raw
+        return
+    while at < len(raw):
+        start, d = at, zlib.decompressobj(31)
+        try:
+            while not d.eof and at < len(raw):
+                fed = raw[at:at + STEP]
+                yield d.decompress(fed)
+                at += len(fed) - len(d.unused_data)
+            if not d.eof:
+                yield None
+        except zlib.error:
+            yield None
+            at = raw.find(b"\x1f\x8b\x08", start + 1)
+            if at < 0:
+                return
+
+
+class _Bytes:
+    """What is inflated but not yet read; ends at a break until ``go_on``."""
+
+    def __init__(self, raw: bytes):
+        self.more, self.buffer, self.at, self.ended, self.broken = _pieces(raw), bytearray(), 0, False, False
+
+    def _grow(self) -> bool:
+        piece = None if self.ended or self.broken else next(self.more, b"")
+        if piece:
+            if self.at > 1 << 20:
+                del self.buffer[:self.at]
+                self.at = 0
+            self.buffer += piece
+            return True
+        if piece is None:
+            self.broken = not self.ended
+            return False
+        # an empty piece: a member without output, or the end
+        piece = next(self.more, False)
+        while piece == b"":
+            piece = next(self.more, False)
+        if piece:
+            self.buffer += piece
+            return True
+        self.ended, self.broken = piece is False, piece is None
+        return False
+
+    def has(self, n: int) -> bool:
+        while len(self.buffer) - self.at < n:
+            if not self._grow():
+                return False
+        return True
+
+    def take(self, n: int) -> bytes:
+        self.has(n)
+        out = bytes(self.buffer[self.at:self.at + n])
+        self.at += len(out)
+        return out
+
+    def until(self, mark: bytes) -> int:
+        """How many bytes stand before ``mark``; -1 if it doesn't come."""
+        done = 0
+        while True:
+            found = self.buffer.find(mark, self.at + max(0, done - len(mark) + 1))
+            if found >= 0:
+                return found - self.at
+            done = len(self.buffer) - self.at
+            if not self._grow():
+                return -1
+
+    def go_on(self) -> bool:
+        """Past a break; False at the end of the archive."""
+        self.buffer, self.at, self.broken = bytearray(), 0, False
+        return not self.ended
+
+
+_NUMBER = re.compile(r"[0-9]{1,18}")
+
+
+def _fields(h: dict[str, str], block: bytes | None, sound: bool) -> tuple:
+    number = lambda k: int(h[k]) if _NUMBER.fullmatch(h.get(k, "").removeprefix("-")) else None
+    digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    kind, own, origin, segment = h.get("warc-type"), h.get("warc-record-id"), h.get("warc-segment-origin-id"), number("warc-segment-number")
+    if kind is None or own is None or (kind == "continuation" and (origin is None or segment is None)):
+        kind, segment, sound = "damaged", None, False
+    return (own, kind, number("x-page-id"), origin, segment if segment is None or segment < 1 << 31 else None, number("warc-segment-total-length"), digest,
+            h.get("warc-refers-to"), number("x-refers-to-page-id"), block, sound)
 
 
 def parse(raw: bytes) -> Iterator[tuple]:
-    """The fields of PARSED for each record of an archive."""
-    raw, at = _inflated(raw), 0
-    while at < len(raw):
-        if raw[at:at + 2] == END:
-            at += 2
+    """Record id, type, page, origin, segment, total, digest, refers id, refers page, block, sound for each record of an archive."""
+    b = _Bytes(raw)
+    while True:
+        if b.has(2) and b.buffer[b.at:b.at + 2] == END:
+            b.at += 2
             continue
-        stop = raw.index(END + END, at)
-        lines = raw[at:stop].decode().split("\r\n")
-        if not lines[0].startswith("WARC/1."):
-            raise ValueError(f"no WARC record at byte {at}")
+        if not b.has(1):
+            if not b.broken or not b.go_on():
+                return
+            continue
+        stop = b.until(END + END) if b.has(7) and b.buffer[b.at:b.at + 7] == b"WARC/1." else -1
+        if stop < 0:  # no header: on to the next WARC line, or past the break
+            yield _fields({}, None, False)
+            b.at = min(b.at + 1, len(b.buffer))
+            skip = b.until(b"\r\nWARC/1.")
+            b.at = b.at + skip if skip >= 0 else len(b.buffer)
+            continue
+        lines = b.take(stop + 4).decode(errors="replace").split("\r\n")
         h = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        if not _NUMBER.fullmatch(h.get("content-length", "")):
+            yield _fields(h, None, False)
+            skip = b.until(b"\r\nWARC/1.")
+            b.at = b.at + skip if skip >= 0 else len(b.buffer)
+            continue
         size = int(h["content-length"])
-        block = raw[stop + 4:stop + 4 + size]
-        at = stop + 4 + size
-        number = lambda k: int(h[k]) if k in h else None
-        digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
-        yield (h["warc-record-id"], h["warc-type"], number("x-page-id"), h.get("warc-segment-origin-id"), number("warc-segment-number"),
-               number("warc-segment-total-length"), digest, h.get("warc-refers-to"), number("x-refers-to-page-id"), block)
+        block = b.take(size)
+        yield _fields(h, block, len(block) == size)
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -192,10 +288,6 @@ def _flow(rows: Iterator[tuple], at: int, ddl: str) -> Iterator[pa.RecordBatch]:
         yield _table(out, schema)
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _flow((r for b in batches for raw in b.column(0) for r in parse(raw.as_py())), 9, PARSED)
-
-
 def payload_of(block: bytes) -> bytes:
     head, found, body = block.partition(END + END)
     if not found:
@@ -203,45 +295,73 @@ def payload_of(block: bytes) -> bytes:
     return unchunked(body) if b"\r\ntransfer-encoding: chunked" in head.lower() else body
 
 
-def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
+def _decoded(block: bytes | None, digest: str | None, sound: bool) -> tuple:
+    """(payload, its bytes, its digest, complete) of a response's block."""
+    try:
+        body = payload_of(block or b"")
+    except ValueError:
+        return None, None, None, False
+    got = base32_sha1(body)
+    return body, len(body), got, sound and digest in (None, got)
+
+
+def _parsed(with_payload: bool):
+    """Batches of PARSED: whole records decoded, segments with their blocks."""
+    def rows(raw: bytes) -> Iterator[tuple]:
+        for *head, block, sound in parse(raw):
+            kind, segment, digest = head[1], head[4], head[6]
+            if segment is not None:
+                yield *head, block, None, None, sound
+            elif kind == "response":
+                body, size, got, complete = _decoded(block, digest, sound)
+                yield *head, body if with_payload else None, size, got, complete
+            elif kind in ("revisit", "damaged"):
+                yield *head, None, None, digest if kind == "revisit" else None, sound
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _flow((r for b in batches for raw in b.column(0) for r in rows(raw.as_py())), 9, PARSED)
+
+    return run
+
+
+def _payloads(with_payload: bool):
+    """Batches of PAYLOAD from the blocks of joined records."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            for rid, kind, page, digest, refers_id, refers_to, block, sound in zip(*(c.to_pylist() for c in b.columns)):
-                if kind == "revisit":
-                    yield rid, kind, page, refers_id, refers_to, digest, None, None, digest, sound
-                    continue
-                try:
-                    body = payload_of(block)
-                except ValueError:
-                    yield rid, kind, page, refers_id, refers_to, digest, None, None, None, False
-                    continue
-                got = base32_sha1(body)
-                yield rid, kind, page, refers_id, refers_to, digest, body, len(body), got, sound and digest in (None, got)
+            for k in range(b.num_rows):
+                rid, kind, page, digest, refers_id, refers_to, blocks, sound = (c[k].as_py() for c in b.columns)
+                body, size, got, complete = _decoded(b"".join(blocks), digest, sound)
+                yield rid, kind, page, refers_id, refers_to, digest, body if with_payload else None, size, got, complete
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _flow(rows(batches), 6, PAYLOAD)
 
-    yield from _flow(rows(), 6, PAYLOAD)
+    return run
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row for each response and revisit: page_id, record_type, payload (null for revisits), payload_bytes,
-    payload_digest, refers_to, complete."""
+    """One row for each response, revisit and damaged stretch: page_id, record_type, payload (null for revisits),
+    payload_bytes, payload_digest, refers_to, complete."""
     scratch.prepare(spark)
-    parsed = spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parsed, PARSED)
+    parsed = scratch.save(spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parsed(with_payload), PARSED), "parsed")
     fields = ["record_id", "type", "page_id", "digest", "refers_id", "refers_to"]
-    whole = parsed.where("segment is null").select(*fields, "block", F.lit(True).alias("sound"))
-    part = F.struct("segment", "block")
+    ends = ["payload_bytes", "payload_digest", "complete"]
+    whole = parsed.where("segment is null").select("record_id", "type", "page_id", "refers_id", "refers_to", "digest", F.col("block").alias("payload"), *ends)
     first = F.struct(*fields)
     joined = (parsed.where("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("group"))
-              .agg(F.array_sort(F.collect_set(part)).alias("parts"), F.max("total").alias("total"),
-                   F.max(F.when(F.col("segment") == 1, first)).alias("first"), F.count(F.when(F.col("segment") == 1, 1)).alias("copies")))
-    block = F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
+              .agg(F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"),
+                   F.max(F.when(F.col("segment") == 1, first)).alias("first"), F.count(F.when(F.col("segment") == 1, 1)).alias("copies"),
+                   F.bool_and("complete").alias("sound")))
     numbered = F.forall(F.transform("parts", lambda x, i: x["segment"] == i + 1), lambda x: x)
-    joined = joined.where("first is not null").select("first.*", block.alias("block"), numbered.alias("numbered"), "total",
-                                                      F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
-    joined = joined.select(*fields, "block", (F.col("numbered") & (F.octet_length("block") == F.coalesce("total", F.lit(-1)))).alias("sound"))
-    if with_payload:
-        return _resolved(whole.unionByName(joined).mapInArrow(_payloads, PAYLOAD))
-    slim = whole.unionByName(joined).mapInArrow(_payloads, PAYLOAD).drop("payload")
-    return _resolved(scratch.save(slim, "payloads"))
+    length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x["block"]))
+    joined = joined.select("first", "parts.block", (F.col("sound") & numbered & (length == F.coalesce("total", F.lit(-1)))).alias("sound"),
+                           F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("copies", F.lit(1)))).alias("copy"))
+    typed = [F.coalesce("first.type", F.lit("damaged")).alias("type") if c == "type" else F.col(f"first.{c}") for c in fields]
+    joined = joined.select(*typed, "block", "sound").mapInArrow(_payloads(with_payload), PAYLOAD)
+    joined = joined.withColumn("complete", F.col("complete") & (F.col("type") != "damaged"))
+    if not with_payload:
+        whole, joined = whole.drop("payload"), joined.drop("payload")
+    return _resolved(whole.unionByName(scratch.save(joined, "joined")))
 
 
 def _resolved(rows: DataFrame) -> DataFrame:
@@ -249,7 +369,7 @@ def _resolved(rows: DataFrame) -> DataFrame:
     names = [c for c in ("payload",) if c in rows.columns]
     target = (rows.where("type = 'response'").groupBy(F.col("record_id").alias("refers_id"))
               .agg(F.max("payload_bytes").alias("its_bytes"), F.max("payload_digest").alias("its_digest"), F.bool_and("complete").alias("its_state")))
-    responses = rows.where("type = 'response'").select("page_id", F.col("type").alias("record_type"), *names, "payload_bytes", "payload_digest",
+    responses = rows.where("type in ('response', 'damaged')").select("page_id", F.col("type").alias("record_type"), *names, "payload_bytes", "payload_digest",
                                                        F.lit(None).cast("long").alias("refers_to"), "complete")
     revisits = rows.where("type = 'revisit'").join(target, "refers_id", "left").select(
         "page_id", F.col("type").alias("record_type"), *names, F.col("its_bytes").alias("payload_bytes"), "payload_digest", "refers_to",

@@ -66,3 +66,43 @@ def test_chunked_framing():
     assert warc.unchunked(b"3;name=v\r\nabc\r\nA\r\n0123456789\r\n0\r\nTrailer: x\r\n\r\n") == b"abc0123456789"
     with pytest.raises(ValueError):
         warc.unchunked(b"5\r\nabc")
+
+
+def read(spark, tmp_path, files):
+    folder = tmp_path / "damaged"
+    folder.mkdir()
+    for name, data in files.items():
+        (folder / name).write_bytes(data)
+    return warc.read_warc(scratch.prepare(spark), f"file://{folder}").collect()
+
+
+def test_damage_never_fails_the_job(spark, tmp_path):
+    def one(page, body=b"body of a page"):
+        return b"".join(r + b"\r\n" for r in warc.records(page, "u", body, None, False))
+    bare = one(12).replace(b"Content-Length: ", b"X-Length: ", 1)
+    assert bare != one(12)
+    first, second, third = (r + b"\r\n" for r in warc.records(30, "u", b"y" * 40000, None, False))
+    member = gzip.compress(one(41, bytes(range(256)) * 50))
+    got = read(spark, tmp_path, {
+        "inside-a-header.warc": one(1) + one(2)[:60],
+        "inside-a-block.warc": one(3) + one(4)[:-9],
+        "no-head.warc": b"nothing of a record\r\n\r\nWARC" + b"\r\n" + one(5),
+        "no-length.warc": one(11) + bare + one(13),
+        "inside-a-member.warc.gz": gzip.compress(one(21)) + gzip.compress(one(22) + one(23))[:-30],
+        "bad-member.warc.gz": gzip.compress(one(40)) + member[:40] + b"\xff" * 40 + member[80:] + gzip.compress(one(42)),
+        "no-first-segment.warc": second + third + one(31),
+        "empty.warc": b"", "blank.warc": b"\r\n\r\n", "not-utf8.warc": one(50).replace(b"WARC-Target-URI: u", b"WARC-Target-URI: \xff\xfe"),
+    })
+    state = {r.page_id: r.complete for r in got if r.page_id is not None}
+    assert {p for p, c in state.items() if c} >= {1, 3, 5, 11, 13, 21, 40, 42, 31, 50}
+    assert not any(state.get(p) for p in (2, 4, 12, 23, 41))
+    assert {4, 12} <= set(state)
+    assert all(not r.complete for r in got if r.record_type == "damaged") and sum(r.record_type == "damaged" for r in got) >= 3
+
+
+def test_many_members_are_read_in_linear_time():
+    import time
+    raw = b"".join(gzip.compress(b"".join(r + b"\r\n" for r in warc.records(k, "u", bytes(str(k), "ascii") * 900, None, False)), 1) for k in range(8000))
+    begin = time.process_time()
+    assert sum(1 for r in warc.parse(raw) if r[1] == "response" and r[-1]) == 8000
+    assert time.process_time() - begin < 5
