@@ -198,6 +198,46 @@ def test_packed_rows_decode_to_the_texts(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_texts_that_share_a_doc_id_are_told_apart(spark):
+    rng = random.Random(3)
+    rows = [(7, prose(rng, 900)), (7, prose(rng, 700)), (None, prose(rng, 800)), (None, prose(rng, 30)), (8, "a b"), (8, "a b")]
+    with open(packing.RANKS, "rb") as f:
+        enc = packing.encoder(f.read())
+    parts = defaultdict(list)
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), width=128).collect():
+        ids = np.frombuffer(r.input_ids, "<u2")
+        for k, key in enumerate(zip(r.doc_ids, r.doc_keys)):
+            parts[key].append((r.parts[k], ids[r.cu_seqlens[k]:r.cu_seqlens[k + 1]].tolist()))
+    got = Counter((doc_id, enc.decode([x for _, ids in sorted(many) for x in ids])) for (doc_id, _), many in parts.items())
+    assert got == Counter({**{row: 1 for row in rows[:4]}, (8, "a ba b"): 1})  # equal rows share a key
+
+
+def test_groups_are_sized_by_parts_and_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PARTS", 40)
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.choice([5, 40, 3000]))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    outs = [packing.pack(df.repartition(n), width=64).collect() for n in (1, 4)]
+    assert sorted(map(str, outs[0])) == sorted(map(str, outs[1]))
+    sizes = Counter()
+    for r in outs[0]:
+        sizes[r.pack_group] += len(r.parts)
+    assert len(sizes) > 60 * 3000 / 64 / 40 / 2 and max(sizes.values()) < 4 * 40
+
+
+def test_copies_of_one_row_are_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PARTS", 40)
+    monkeypatch.setattr(packing, "HEAVY", 20)
+    df = spark.createDataFrame([(None, "one text that comes often")] * 600 + [(i, f"text {i}") for i in range(600)], "doc_id long, text string")
+    for limit in (packing.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(packing, "BROADCAST_KEYS", limit)
+        sizes, copies = Counter(), 0
+        for r in packing.pack(df, width=64).collect():
+            sizes[r.pack_group] += len(r.parts)
+            copies += r.doc_ids.count(None)
+        assert copies == 600 and sum(sizes.values()) == 1200 and max(sizes.values()) < 3 * 40
+
+
 def earlier_runs(rows, least=50):
     """Lines of runs of ``least`` words that stand at an earlier place, by comparing all pairs of equal lines; no chunks, no hashes."""
     docs = sorted({(r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None})
