@@ -3,14 +3,16 @@
 Sources are weighted 5, 2, 1, 5, 2, 1, ... by code point order, null last, and share the size of all documents (words
 ``[^\\x20\\x09-\\x0D]+``). A target stops at MOST times its source's size; the excess goes to the others by weight until
 none is above. Every document of a source has target / size expected copies. Its documents stand in the order of
-(size, doc_id), so that each stretch of the prefix sum of expected copies holds documents of like size; one offset per
-source in [0, 1) is added, and a document is emitted once for every integer that its stretch
-of the sum crosses. At most MOST copies are emitted. The offset is the one of OFFSETS evenly spaced ones, starting at
-the md5, whose words come nearest to the target. Nothing is drawn at random at run time, so reruns agree.
+(size, bucket, doc_id), so that each stretch of the prefix sum of expected copies holds documents of like size; one offset
+per source in [0, 1) is added, and a document is emitted once for every integer that its stretch of the sum crosses, at
+most MOST times. The offset is the one of OFFSETS evenly spaced ones, starting at the source's md5, whose words come nearest
+to the target: with the first alone a source of 50 documents missed it by up to 19 %. The documents of one size are
+emitted floor(sum after them) - floor(sum before them) times, so the counts by (source, size) tell the words of every
+offset. Nothing is drawn at random at run time, so reruns agree.
 
-Ranks come from three levels of counts: sizes within a source, blocks of BLOCK doc_ids within a size, rows within a
-block; no task holds more than one block's rows or one level's counts. The table of sources is one row each and is
-ordered in one task.
+Ranks come from three levels of counts: sizes within a source, BUCKETS hash buckets of (doc_id, text) within a size, rows
+within a bucket; a window sees the buckets of one size or the rows of one bucket, whatever the ids. Joins are by (source,
+size, bucket), never by source alone. The table of sources is one row each and is ordered in one task.
 
 Null texts have size 0; a source whose size is 0 has target 0 and no copies; null doc_ids come last in their size;
 repeated rows are separate documents, in any order among themselves. Other columns are kept as they are by ``mix``.
@@ -26,7 +28,7 @@ from journeyline.llm import scratch
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BLOCK = 8192
+BUCKETS = 4096
 OFFSETS = 32
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -55,61 +57,63 @@ def targets(sizes: DataFrame) -> DataFrame:
                         (F.conv(digits, 16, 10).cast("long") / F.lit(4294967296.0)).alias("offset"))
 
 
-def _copies(offset: Column) -> Column:
-    at = F.col("place") * F.col("each") + offset
-    before = (F.col("place") - 1) * F.col("each") + offset
-    return F.least((F.floor(at) - F.floor(before)).cast("long"), F.lit(MOST).cast("long"))
-
-
-def _placed(rows: DataFrame) -> DataFrame:
-    """Rows with doc_id, source and size -> also src, place (rank in the source), each (expected copies), target, offset."""
-    rows = rows.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn(
-        "block", F.coalesce(F.floor(F.col("doc_id") / BLOCK), F.lit((1 << 63) - 1)))
-    narrow = rows.select("source", "src", "size", "block")
-    blocks = narrow.groupBy("src", "size", "block").agg(F.count(F.lit(1)).alias("n"))
-    blocks = blocks.withColumn("within", F.sum("n").over(W.partitionBy("src", "size").orderBy("block")) - F.col("n"))
-    by_size = narrow.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"))
-    by_size = by_size.withColumn("below", F.sum("n").over(W.partitionBy("src").orderBy("size")) - F.col("n")).drop("n")
-    by_source = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"), F.first("source").alias("source"))
-    by_source = targets(by_source.drop("src")).withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).drop("source", "n_docs")
-    starts = blocks.join(by_size, ["src", "size"]).join(by_source, "src").drop("n")
-    rank = F.row_number().over(W.partitionBy("src", "size", "block").orderBy(F.col("doc_id").asc_nulls_last()))
-    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return (rows.withColumn("rank", rank).join(starts, ["src", "size", "block"])
-            .withColumn("place", F.col("below") + F.col("within") + F.col("rank")).withColumn("each", each)
-            .drop("block", "rank", "below", "within"))
+def _crossed(after: Column, before: Column, offset: Column) -> Column:
+    """Integers crossed between two places of a source."""
+    return (F.floor(after * F.col("each") + offset) - F.floor(before * F.col("each") + offset)).cast("long")
 
 
-def _nearest(placed: DataFrame) -> DataFrame:
-    """(src, chosen): each source's offset; OFFSETS sums for each source."""
+def _nearest(by_size: DataFrame) -> DataFrame:
+    """(src, chosen): each source's offset; OFFSETS sums for each source, from counts by size."""
     def turned(k: int) -> Column:
         x = F.col("offset") + F.lit(k / OFFSETS)
         return F.when(x >= 1, x - 1).otherwise(x)
 
-    sums = placed.groupBy("src").agg(F.first("target").alias("target"), F.first("offset").alias("offset"),
-                                     *[F.sum(_copies(turned(k)) * F.col("size")).alias(f"t{k}") for k in range(OFFSETS)])
+    sums = by_size.groupBy("src").agg(F.first("target").alias("target"), F.first("offset").alias("offset"), *[
+        F.sum(_crossed(F.col("below") + F.col("n"), F.col("below"), turned(k)) * F.col("size")).alias(f"t{k}") for k in range(OFFSETS)])
     best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("k"), turned(k).alias("at"))
                                  for k in range(OFFSETS)]))
     return sums.select("src", best["at"].alias("chosen"))
 
 
+def _placed(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``_sized`` -> also copies; ``sizes``: these columns of the same rows."""
+    blocks = sizes.groupBy("src", "size", "bucket").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source"))
+    blocks = scratch.save(blocks, "blocks")  # narrow counts, read by all that follows
+    within = blocks.withColumn("within", F.sum("n").over(W.partitionBy("src", "size").orderBy("bucket")) - F.col("n"))
+    by_size = blocks.groupBy("src", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
+    by_source = by_size.groupBy("src").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"), F.first("source").alias("source"))
+    by_source = targets(by_source.drop("src")).select(_src(F.col("source")).alias("src"), "source_size", "target", "offset")
+    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    by_size = (by_size.drop("source").withColumn("below", F.sum("n").over(W.partitionBy("src").orderBy("size")) - F.col("n"))
+               .join(by_source, "src").withColumn("each", each))
+    starts = within.drop("n", "source").join(by_size.join(_nearest(by_size), "src").drop("n"), ["src", "size"])
+    rank = F.row_number().over(W.partitionBy("src", "size", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "spread"))
+    place = F.col("below") + F.col("within") + F.col("rank")
+    return (rows.withColumn("rank", rank).join(starts, ["src", "size", "bucket"])
+            .withColumn("copies", F.least(_crossed(place, place - 1, F.col("chosen")), F.lit(MOST).cast("long"))))
+
+
+def _src(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
-    return [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")]
+    doc_id, source = F.col(id_col).cast("long"), F.col(source_col).cast("string")
+    spread = F.xxhash64(doc_id, F.col(text_col))
+    return [doc_id.alias("doc_id"), source.alias("source"), _src(source).alias("src"), word_count(F.col(text_col)).alias("size"), spread.alias("spread"),
+            F.pmod(spread, F.lit(BUCKETS)).cast("int").alias("bucket")]
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every row."""
     rows = scratch.save(docs.select(*_sized(docs, id_col, text_col, source_col)), "sizes")
-    placed = scratch.save(_placed(rows), "placed")
-    return (placed.join(_nearest(placed), "src").withColumn("copies", _copies(F.col("chosen")))
-            .withColumn("taken", F.col("copies") * F.col("size"))
+    return (_placed(rows, rows).withColumn("taken", F.col("copies") * F.col("size"))
             .select("doc_id", "source", "size", "source_size", "target", "copies", "taken"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the plan takes it."""
     sized = _sized(docs, id_col, text_col, source_col)
-    best = scratch.save(_nearest(_placed(scratch.save(docs.select(*sized), "sizes"))), "offsets")
     rows = docs.select(*sized, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    taken = _placed(rows).join(best, "src").withColumn("copies", _copies(F.col("chosen"))).where("copies > 0")
+    taken = _placed(rows, docs.select(*sized)).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select("row.*")

@@ -64,6 +64,21 @@ def test_mix_returns_whole_rows(spark):
     assert mixing.plan(spark.createDataFrame([], SCHEMA)).count() == 0 == mixing.mix(spark.createDataFrame([], SCHEMA)).count()
 
 
+def test_sparse_missing_and_equal_ids_are_sampled_alike(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 9999, n))
+    rows = [(int(rng.integers(0, 1 << 62)), "" if i % 3 else text(20), None, "a", 0, "", 0, 0, "") for i in range(1500)]
+    rows += [(None, text(20), None, "a", 0, "", 0, 0, "") for _ in range(300)] + [(7, text(20), None, "b", 0, "", 0, 0, "") for _ in range(300)]
+    got = mixing.plan(table(spark, rows)).collect()
+    sizes = {s: sum(len(words(r[1])) for r in rows if r[3] == s) for s in "ab"}
+    want = water(sizes)
+    for s in "ab":
+        own = [r for r in got if r.source == s]
+        assert len(own) == sum(r[3] == s for r in rows) and abs(sum(r.taken for r in own) - want[s]) <= 20
+    key = lambda found: Counter((r.doc_id, r.text) for r in found)
+    assert key(mixing.mix(table(spark, rows)).collect()) == key(mixing.mix(table(spark, rows, 7)).collect())
+
+
 def test_shards_are_gapless_and_balanced(spark):
     rows = awkward(n=900)
     rows += [(10000 + i, "the same text for a third of all rows", "en", "a", 37, "r", 1, 1, "") for i in range(500)]
