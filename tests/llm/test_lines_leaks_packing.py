@@ -238,8 +238,8 @@ def test_copies_of_one_row_are_spread_over_groups(spark, monkeypatch):
         assert copies == 600 and sum(sizes.values()) == 1200 and max(sizes.values()) < 3 * 40
 
 
-def earlier_runs(rows, least=50):
-    """Lines of runs of ``least`` words that stand at an earlier place, by comparing all pairs of equal lines; no chunks, no hashes."""
+def earlier_runs(rows, least=50, least_lines=None):
+    """Lines of runs of ``least`` words, or of ``least_lines`` lines, that stand at an earlier place, by comparing all pairs of equal lines; no chunks, no hashes."""
     docs = sorted({(r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None})
     at, gone = defaultdict(list), defaultdict(set)
     split = [t.split("\n") for _, t in docs]
@@ -249,7 +249,7 @@ def earlier_runs(rows, least=50):
                 n = 0
                 while i + n < len(lines) and j + n < len(split[e]) and lines[i + n] == split[e][j + n]:
                     n += 1
-                if sum(len(words(x)) for x in lines[i:i + n]) >= least:
+                if sum(len(words(x)) for x in lines[i:i + n]) >= least or least_lines and n >= least_lines:
                     gone[docs[d]].update(k for k in range(i, i + n) if words(lines[k]))
             at[line].append((d, i))
     return gone
@@ -266,7 +266,7 @@ def test_every_repeated_run_goes_and_its_first_place_stays(spark):
     rows += [(8100 + i, f"{line(5)}\n{short}\n{line(5)}", None, None, 0, "", 0, 0, "") for i in range(3)]
     loop = line(30)
     rows.append((8200, "\n".join([loop] * 5), None, None, 0, "", 0, 0, ""))
-    want = earlier_runs(rows)
+    want, most = earlier_runs(rows), earlier_runs(rows, least_lines=2)
     assert all(len([x for x in want[r[0], r[1]]]) for r in rows if 8000 <= (r[0] or 0) < 8050 and r[0] % 10)
     got = linededup.passage_dedup(table(spark, rows)).collect()
     texts = defaultdict(list)
@@ -285,6 +285,7 @@ def test_every_repeated_run_goes_and_its_first_place_stays(spark):
             assert all(not r.n_removed_lines for r in texts[doc_id])
         else:
             assert gone is not None and want[doc_id, text] <= gone
+            assert {k for k in gone if words(lines[k])} <= most[doc_id, text]  # nothing goes that has no earlier place
             assert all(left[lines[k]] for k in gone)  # each line that went stands somewhere
     assert all(not r.n_removed_lines for r in got if r.doc_id is not None and 8100 <= r.doc_id < 8103)
     out = linededup.remove_passages(table(spark, rows))
