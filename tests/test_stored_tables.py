@@ -121,6 +121,25 @@ def test_states_use_several_blocks(spark):
     assert states.count() == 3 and distinct_visitors(states, {"campaign_name": "campaign_name"}).collect() == [("(not set)", 70000)]
 
 
+def test_a_state_is_as_large_as_what_it_holds(spark):
+    """A group of one visitor holds one word, not a whole block; words and blocks merge at their edges, with NULL dimensions."""
+    numbers = spark.createDataFrame([(f"v{n}", n) for n in (1, 63, 64, 65, 128, 32767, 32768, 32769, 65536, 65537)], "visitor_id string, visitor_no long")
+    sessions = (numbers.join(spark.range(30)).where("visitor_no % 2 = 1 or id < 20 or visitor_no = 64")
+                .select("visitor_id", F.lit("s").alias("traffic_source"), F.lit(None).cast("string").alias("traffic_medium"),
+                        F.when(F.col("id") % 3 != 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("campaign_name"), F.col("id").cast("string").alias("device_category"),
+                        F.when(F.col("id") % 2 == 0, "n").alias("country"), F.expr("date_add(DATE'2024-01-01', CAST(id AS INT))").alias("session_date")))
+    sessions = sessions.unionByName(sessions)
+    states = daily_states(sessions, numbers).cache()
+    held = sessions.join(numbers, "visitor_id").groupBy("device_category").agg(F.countDistinct("visitor_no").alias("n")).agg(F.sum("n")).first()[0]
+    rows = states.collect()
+    assert len(rows) == 30 * 3 and sum(len(r.visitors) for r in rows) <= held
+    assert {r.block for r in rows} == {1, 2, 3} and all(len(r.visitors) == 1 for r in rows if r.block == 3)
+    named = {"campaign_name": F.coalesce("campaign_name", F.lit("(not set)")), "traffic_medium": F.col("traffic_medium"), "country": F.col("country")}
+    want = sessions.groupBy(*[c.alias(n) for n, c in named.items()]).agg(F.countDistinct("visitor_id").alias("visitors"))
+    assert _same(distinct_visitors(states, {n: n for n in named}), want)
+    assert distinct_visitors(states, {"all": F.lit(1)}).collect() == [(1, 10)]
+
+
 # ---- cuboids -----------------------------------------------------------------------------------
 
 
