@@ -3,18 +3,19 @@
 Sources are weighted 5, 2, 1, 5, 2, 1, ... by code point order, null last, and share the size of all documents (words
 ``[^\\x20\\x09-\\x0D]+``). A target stops at MOST times its source's size; the excess goes to the others by weight until
 none is above. Every document of a source has target / size expected copies. Its documents stand in the order of
-(size, bucket, doc_id), so that each stretch of the prefix sum of expected copies holds documents of like size; one offset
+(size, doc_id), so that each stretch of the prefix sum of expected copies holds documents of like size; one offset
 per source in [0, 1) is added, and a document is emitted once for every integer that its stretch of the sum crosses, at
 most MOST times. The offset is the one of OFFSETS evenly spaced ones, starting at the source's md5, whose words come nearest
 to the target: with the first alone a source of 50 documents missed it by up to 19 %. The documents of one size are
 emitted floor(sum after them) - floor(sum before them) times, so the counts by (source, size) tell the words of every
 offset. Nothing is drawn at random at run time, so reruns agree.
 
-Ranks come from three levels of counts: sizes within a source, BUCKETS hash buckets of (doc_id, text) within a size, rows
-within a bucket; a window sees the buckets of one size or the rows of one bucket, whatever the ids. Joins are by (source,
-size, bucket), never by source alone. The table of sources is one row each and is ordered in one task.
+Ranks come from one range-partitioned sort of the counts of equal rows (source, size, doc_id, text's hash): the rows of a
+source in earlier partitions, then a window over its rows of one partition, so sparse, missing and equal ids or a source
+that holds most rows cross many tasks. Joins are by (source, size, doc_id, hash), never by source alone. The table of
+sources is one row each and is ordered in one task.
 
-Null texts have size 0; a source whose size is 0 has target 0 and no copies; null doc_ids come last in their size;
+Null texts have size 0; a source whose size is 0 has target 0 and no copies; null doc_ids come last in their size, by hash;
 repeated rows are separate documents, in any order among themselves. Other columns are kept as they are by ``mix``.
 """
 
@@ -28,7 +29,6 @@ from journeyline.llm import scratch
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BUCKETS = 4096
 OFFSETS = 32
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -77,22 +77,33 @@ def _nearest(by_size: DataFrame) -> DataFrame:
 
 def _placed(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``_sized`` -> also copies; ``sizes``: these columns of the same rows."""
-    blocks = sizes.groupBy("src", "size", "bucket").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source"))
-    blocks = scratch.save(blocks, "blocks")  # narrow counts, read by all that follows
-    within = blocks.withColumn("within", F.sum("n").over(W.partitionBy("src", "size").orderBy("bucket")) - F.col("n"))
-    by_size = blocks.groupBy("src", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
+    order = [F.col("src").asc(), F.col("size").asc(), F.col("doc_id").asc_nulls_last(), F.col("spread").asc()]
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    alike = sizes.groupBy("src", "size", "doc_id", "spread").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source"))
+    alike = scratch.save(alike.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "alike")  # narrow counts, read by all that follows
+    runs = alike.groupBy("src", "part").agg(F.sum("n").alias("n"))  # partitions + sources rows
+    runs = runs.select("src", "part", (F.sum("n").over(W.partitionBy("src").orderBy("part")) - F.col("n")).alias("before"))
+    by_size = alike.groupBy("src", "size").agg(F.sum("n").alias("n"), F.first("source").alias("source"))
     by_source = by_size.groupBy("src").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"), F.first("source").alias("source"))
     by_source = targets(by_source.drop("src")).select(_src(F.col("source")).alias("src"), "source_size", "target", "offset")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     by_size = (by_size.drop("source").withColumn("below", F.sum("n").over(W.partitionBy("src").orderBy("size")) - F.col("n"))
                .join(by_source, "src").withColumn("each", each))
-    starts = within.drop("n", "source").join(by_size.join(_nearest(by_size), "src").drop("n"), ["src", "size"])
-    rank = F.row_number().over(W.partitionBy("src", "size", "bucket").orderBy(F.col("doc_id").asc_nulls_last(), "spread"))
-    place = F.col("below") + F.col("within") + F.col("rank")
-    return (rows.withColumn("rank", rank).join(starts, ["src", "size", "bucket"])
+    runs = runs.join(by_source.withColumn("each", each).join(_nearest(by_size), "src"), "src")
+    earlier = W.partitionBy("src", "part").orderBy(*order[1:]).rowsBetween(W.unboundedPreceding, -1)
+    starts = (alike.withColumn("within", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(runs, ["src", "part"])
+              .select("src", "size", _key(), "spread", (F.col("before") + F.col("within")).alias("start"), "source_size", "target", "each", "chosen"))
+    rank = F.row_number().over(W.partitionBy("src", "size", "key", "spread").orderBy(F.lit(1)))
+    place = F.col("start") + F.col("rank")
+    return (rows.withColumn("key", _key()).withColumn("rank", rank).join(starts, ["src", "size", "key", "spread"])
             .withColumn("copies", F.least(_crossed(place, place - 1, F.col("chosen")), F.lit(MOST).cast("long"))))
 
 
+def _key() -> Column:
+    """doc_id as a join key that null ids have, too."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id")).alias("key")
+
+
 def _src(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
@@ -100,8 +111,7 @@ def _src(source: Column) -> Column:
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
     doc_id, source = F.col(id_col).cast("long"), F.col(source_col).cast("string")
     spread = F.xxhash64(doc_id, F.col(text_col))
-    return [doc_id.alias("doc_id"), source.alias("source"), _src(source).alias("src"), word_count(F.col(text_col)).alias("size"), spread.alias("spread"),
-            F.pmod(spread, F.lit(BUCKETS)).cast("int").alias("bucket")]
+    return [doc_id.alias("doc_id"), source.alias("source"), _src(source).alias("src"), word_count(F.col(text_col)).alias("size"), spread.alias("spread")]
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
